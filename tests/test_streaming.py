@@ -1,0 +1,136 @@
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewater.plans.queries import COUNTS_SCHEMA
+from tidewater.streaming.word_count import (
+    CSV_NULL_VALUE,
+    run_until_done,
+    start_counts,
+    validate_sink,
+    word_counts,
+)
+
+DAY = "2022-01-01T"
+LATE_FILES = [
+    ["00:00:10+00:00 foo"],
+    ["00:03:00+00:00 foo baz"],
+    ["00:00:30+00:00 late late", "00:01:30+00:00 edge"],
+    ["00:00:40+00:00 verylate"],
+    ["00:10:00+00:00 end"],
+]
+
+
+def _write_files(folder, batches, start_index=0):
+    os.makedirs(folder, exist_ok=True)
+    now = time.time() - 1000
+    for i, lines in enumerate(batches, start=start_index):
+        path = os.path.join(folder, f"f{i:03d}.txt")
+        with open(path, "w") as fh:
+            fh.write("\n".join(DAY + line if not line.startswith("20") else line
+                               for line in lines) + "\n")
+        os.utime(path, (now + 10 * i, now + 10 * i))
+
+
+def _run(spark, src, out, ckpt, max_files=None):
+    reader = spark.readStream.format("text")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    counts, _ = word_counts(reader.load(src))
+    q = start_counts(counts, "csv", ckpt, path=out, trigger="available_now", state_partitions=2)
+    run_until_done(q)
+    return q
+
+
+def _read(spark, out):
+    df = spark.read.schema(COUNTS_SCHEMA).option("nullValue", CSV_NULL_VALUE).csv(out)
+    return sorted((r.START_TIME.strftime("%H:%M"), r.WORD, r.COUNT) for r in df.collect())
+
+
+@pytest.mark.parametrize(
+    "allow_multiple,expected,dropped",
+    [
+        ("true", [("00:00", "foo", 1), ("00:00", "late", 2), ("00:01", "edge", 1),
+                  ("00:03", "baz", 1), ("00:03", "foo", 1)], 1),
+        ("false", [("00:00", "foo", 1), ("00:03", "baz", 1), ("00:03", "foo", 1)], 3),
+    ],
+)
+def test_late_rows(spark, scratch, allow_multiple, expected, dropped):
+    key = "spark.sql.streaming.statefulOperator.allowMultiple"
+    old = spark.conf.get(key)
+    spark.conf.set(key, allow_multiple)
+    try:
+        root = scratch("late")
+        _write_files(f"{root}/src", LATE_FILES)
+        q = _run(spark, f"{root}/src", f"{root}/out", f"{root}/ckpt", max_files=1)
+    finally:
+        spark.conf.set(key, old)
+    assert _read(spark, f"{root}/out") == expected
+    total_dropped = sum(
+        op.get("numRowsDroppedByWatermark", 0)
+        for p in q.recentProgress for op in p.get("stateOperators", [])
+    )
+    assert total_dropped == dropped
+
+
+def test_restart_emits_each_window_once(spark, scratch):
+    root = scratch("restart")
+    src, out, ckpt = f"{root}/src", f"{root}/out", f"{root}/ckpt"
+    _write_files(src, [["2022-01-01T00:00:10.123456 foo bar"], ["00:00:20+00:00 foo"]])
+    _run(spark, src, out, ckpt)
+    assert _read(spark, out) == []
+    _write_files(src, [["00:05:00+00:00 x"]], start_index=2)
+    _run(spark, src, out, ckpt)
+    _run(spark, src, out, ckpt)
+    assert _read(spark, out) == [("00:00", "", 1), ("00:00", "bar", 1), ("00:00", "foo", 2)]
+
+
+def test_complete_mode_memory_sink(spark, scratch):
+    root = scratch("complete")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a a b"], ["00:00:50+00:00 b"]])
+    counts, _ = word_counts(spark.readStream.format("text").load(f"{root}/src"))
+    q = start_counts(counts, "memory", f"{root}/ckpt", trigger="available_now",
+                     query_name="complete_counts_test")
+    run_until_done(q)
+    rows = sorted((r.WORD, r.COUNT) for r in spark.table("complete_counts_test").collect())
+    assert rows == [("a", 2), ("b", 2)]
+
+
+def test_batch_equals_stream(spark, scratch):
+    root = scratch("parity")
+    lines = [["00:00:10+00:00 a b"], ["00:01:10+00:00 b c"], ["00:02:10+00:00 a"]]
+    _write_files(f"{root}/src", lines)
+    batch, _ = word_counts(spark.read.text(f"{root}/src"), watermark=None)
+    counts, _ = word_counts(spark.readStream.format("text").load(f"{root}/src"))
+    q = start_counts(counts, "snapshot", f"{root}/ckpt", path=f"{root}/snap",
+                     trigger="available_now")
+    run_until_done(q)
+    streamed = spark.read.parquet(f"{root}/snap")
+    assert sorted(batch.collect()) == sorted(streamed.collect())
+
+
+def test_quarantine_side_output(spark, scratch):
+    root = scratch("quarantine")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a", "garbage"]])
+    counts, rejects = word_counts(spark.read.text(f"{root}/src"), watermark=None,
+                                  mode="quarantine")
+    assert [r.raw_value for r in rejects.collect()] == ["2022-01-01Tgarbage"]
+    assert counts.agg(F.sum("COUNT")).first()[0] == 1
+
+
+@pytest.mark.parametrize(
+    "sink,mode,wm",
+    [("csv", "complete", True), ("csv", "append", False), ("parquet", "update", True),
+     ("nope", "append", True)],
+)
+def test_invalid_sink_mode_pairs(sink, mode, wm):
+    with pytest.raises(ValueError):
+        validate_sink(sink, mode, wm)
+
+
+def test_valid_sink_mode_pairs():
+    validate_sink("console", "complete", True)
+    validate_sink("csv", "append", True)
+    validate_sink("snapshot", "complete", False)

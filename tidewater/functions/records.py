@@ -61,7 +61,8 @@ def java_split(text: Column | str, separator: str = WORD_SEPARATOR) -> Column:
         raise ValueError("separator must be non-empty")
     text = _c(text)
     sep = _quoted(separator)
-    without_tail = F.regexp_replace(text, "(" + sep + ")+$", "")
+    # \z, not $: in Java regex $ also matches before a final line terminator.
+    without_tail = F.regexp_replace(text, "(" + sep + ")+\\z", "")
     return (
         F.when(text == F.lit(""), F.array(F.lit("")))
         .when(without_tail == F.lit(""), F.array().cast("array<string>"))

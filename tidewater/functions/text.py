@@ -22,7 +22,7 @@ def split_lines(text: Column | str) -> Column:
     ``\\n``, ``\\r\\n`` and ``\\r`` all end a line; one terminator at the very
     end does not open an extra empty line (a file ``"a\\n"`` has one line).
     """
-    body = F.regexp_replace(_c(text), r"(\r\n|\r|\n)$", "")
+    body = F.regexp_replace(_c(text), r"(\r\n|\r|\n)\z", "")
     return F.split(body, LINE_BREAK)
 
 
