@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.messages import iso_micros, message_text, utf8_bytes
-from tidewater.functions.text import tokenize
-from tidewater.sources.text import numbered_lines
+from tidewater.functions.text import split_lines, tokenize
 
 # Fixed values of the reference producer: lines sent per iteration (its
 # constant is 101,209 but the check runs before sending, so 101,210 go out)
@@ -26,11 +25,15 @@ CADENCE_SECONDS = 60
 
 
 def corpus_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, line_no, tokens, n_tokens)`` for every corpus line."""
-    lines = numbered_lines(docs, id_col, text_col)
-    tokens = tokenize("line")
-    return lines.select(
-        id_col, "line_no", tokens.alias("tokens")
+    """``(doc_id, line_no, tokens, n_tokens)`` for every corpus line.
+
+    Lines are tokenised inside the generator (``posexplode`` of the tokenised
+    line array), so ``tokens`` is a generator output: a later filter on
+    ``n_tokens`` reads it instead of re-running the regex split.
+    """
+    per_line = F.transform(split_lines(text_col), lambda line: tokenize(line))
+    return docs.select(
+        F.col(id_col), F.posexplode(per_line).alias("line_no", "tokens")
     ).withColumn("n_tokens", F.size("tokens"))
 
 
@@ -83,15 +86,34 @@ def to_messages(timed: DataFrame, extra: list[str] | None = None) -> DataFrame:
     )
 
 
+def message_columns(
+    time_key: F.Column | str = "time_key", tokens: str = "tokens"
+) -> list[F.Column]:
+    """``key`` and ``value`` as text plus ``n_bytes`` (UTF-8 length of value),
+    as one projection."""
+    text = message_text(time_key, tokens)
+    return [
+        iso_micros(time_key).alias("key"),
+        text.alias("value"),
+        F.octet_length(text).alias("n_bytes"),
+    ]
+
+
 def capped_messages(
     docs: DataFrame,
     base_time: str | _dt.datetime,
     limit: int = LINES_PER_ITERATION,
 ) -> DataFrame:
-    """One iteration: the first ``limit`` non-empty lines as messages."""
+    """One iteration: the first ``limit`` non-empty lines as message text.
+
+    A single projection sits on the ordered limit, so the plan stays a
+    per-task top-``limit`` (``TakeOrderedAndProject``).
+    """
     lines = capped_lines(nonempty_lines(corpus_tokens(docs)), limit)
-    timed = lines.withColumn("time_key", F.lit(base_time).cast("timestamp"))
-    return to_messages(timed, extra=["doc_id", "line_no"])
+    return lines.select(
+        "doc_id", "line_no",
+        *message_columns(F.lit(base_time).cast("timestamp"), "tokens"),
+    )
 
 
 def replay_counts(timed: DataFrame) -> DataFrame:

@@ -22,10 +22,10 @@ from tidewater.operators.replay import (
     capped_lines,
     capped_messages,
     corpus_tokens,
+    message_columns,
     nonempty_lines,
     replay,
     replay_counts,
-    to_messages,
 )
 from tidewater.operators.summary import (
     AVG_COL,
@@ -334,25 +334,14 @@ def drop_empty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _token_text(nonempty_lines(_tokens(spark, sf_dir)))
 
 
-def _message_text(df: DataFrame, *extra: str) -> DataFrame:
-    return df.select(
-        *extra,
-        F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
-        F.octet_length("value").alias("n_bytes"),
-    )
-
-
 def first_n_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = capped_messages(S.documents(spark, sf_dir), S.REPLAY_BASE_TIME)
-    return _message_text(msgs, "doc_id", "line_no")
+    return capped_messages(S.documents(spark, sf_dir), S.REPLAY_BASE_TIME)
 
 
 def build_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = nonempty_lines(_tokens(spark, sf_dir)).withColumn(
-        "time_key", F.lit(S.REPLAY_BASE_TIME).cast("timestamp")
-    )
-    return _message_text(to_messages(lines, extra=["doc_id", "line_no"]), "doc_id", "line_no")
+    lines = nonempty_lines(_tokens(spark, sf_dir))
+    base = F.lit(S.REPLAY_BASE_TIME).cast("timestamp")
+    return lines.select("doc_id", "line_no", *message_columns(base, "tokens"))
 
 
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,8 +350,9 @@ def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def timed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = to_messages(_replayed(spark, sf_dir), extra=["doc_id", "line_no", "iteration"])
-    return _message_text(msgs, "doc_id", "line_no", "iteration")
+    return _replayed(spark, sf_dir).select(
+        "doc_id", "line_no", "iteration", *message_columns("time_key", "tokens")
+    )
 
 
 def replay_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.messages import iso_micros, utf8_bytes
+from tidewater.operators.layout import spread
 from tidewater.sources.envelope import ENVELOPE_SCHEMA
 
 # Fixed stand-in parameters.
@@ -28,8 +29,9 @@ ENVELOPE_PARTITIONS = 8
 REPLAY_BASE_TIME = "2024-01-01 00:00:00"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def delay_expr() -> F.Column:
@@ -63,7 +65,7 @@ def events_value() -> F.Column:
 
 def events_envelope(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """The stream envelope of ``events`` (key = ISO time, value = record)."""
-    events = events if events is not None else table(spark, sf_dir, "events")
+    events = events if events is not None else table(spark, sf_dir, "events", True)
     iso = iso_micros("ts")
     env = events.select(
         utf8_bytes(iso).alias("key"),
@@ -78,4 +80,4 @@ def events_envelope(spark: SparkSession, sf_dir: str, events: DataFrame | None =
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return table(spark, sf_dir, "documents", True).select("doc_id", "text")
