@@ -79,3 +79,15 @@ def test_connection_password_from_env(monkeypatch):
     assert opts == {"url": "jdbc:x://h/db", "user": "u", "password": "s3cret"}
     with pytest.raises(KeyError):
         connection_options("jdbc:x://h/db", password_env="TW_MISSING_PW_VAR")
+
+
+def test_range_read_options():
+    from tidewater.sources.jdbc import range_read_options
+
+    assert range_read_options("S.T") == {"dbtable": "S.T", "fetchsize": "10000"}
+    opts = range_read_options("S.T", "ID", 4, 1, 1000)
+    assert opts["partitionColumn"] == "ID" and opts["numPartitions"] == "4"
+    assert (opts["lowerBound"], opts["upperBound"]) == ("1", "1000")
+    assert range_read_options("S.T", "ID", 4, 7, 7)["numPartitions"] == "1"
+    # Empty table: no bounds, plain read.
+    assert "partitionColumn" not in range_read_options("S.T", "ID", 4, None, None)

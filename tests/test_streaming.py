@@ -134,3 +134,17 @@ def test_valid_sink_mode_pairs():
     validate_sink("console", "complete", True)
     validate_sink("csv", "append", True)
     validate_sink("snapshot", "complete", False)
+
+
+def test_state_settings_apply_to_new_checkpoint(spark, scratch):
+    root = scratch("stateconf")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a b c d"]])
+    counts, _ = word_counts(spark.readStream.format("text").load(f"{root}/src"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = start_counts(counts, "parquet", f"{root}/ckpt", path=f"{root}/out",
+                     trigger="available_now", state_partitions=3, state_store="rocksdb")
+    progress = run_until_done(q)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    op = progress["stateOperators"][0]
+    assert op["numShufflePartitions"] == 3
+    assert "rocksdb" in str(op.get("customMetrics", {})).lower()

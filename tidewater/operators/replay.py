@@ -77,12 +77,24 @@ def replay(
     )
 
 
-def to_messages(timed: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """``key`` (ISO time bytes) and ``value`` (message bytes) per timed line."""
+def to_messages(
+    timed: DataFrame, extra: list[str] | None = None, key_by: str = "time"
+) -> DataFrame:
+    """``key`` and ``value`` bytes per timed line.
+
+    ``key_by="time"`` keys every message of an iteration by its ISO time (all
+    land in one topic partition under key hashing); ``key_by="line"`` keys by
+    a hash of the message, spreading an iteration over all partitions.
+    """
+    value = message_text("time_key", "tokens")
+    if key_by == "time":
+        key = iso_micros("time_key")
+    elif key_by == "line":
+        key = F.xxhash64(value).cast("string")
+    else:
+        raise ValueError("key_by must be 'time' or 'line'")
     return timed.select(
-        *(extra or []),
-        utf8_bytes(iso_micros("time_key")).alias("key"),
-        utf8_bytes(message_text("time_key", "tokens")).alias("value"),
+        *(extra or []), utf8_bytes(key).alias("key"), utf8_bytes(value).alias("value")
     )
 
 

@@ -61,6 +61,31 @@ def column_bounds(
     return row[0], row[1]
 
 
+def range_read_options(
+    table: str,
+    partition_column: str | None = None,
+    num_partitions: int | None = None,
+    lower_bound: object | None = None,
+    upper_bound: object | None = None,
+    fetch_size: int = 10_000,
+) -> dict[str, str]:
+    """Reader options for one table; a range-partitioned read when
+    ``partition_column`` and both bounds are given."""
+    opts = {"dbtable": table, "fetchsize": str(fetch_size)}
+    if partition_column and lower_bound is not None and upper_bound is not None:
+        n = num_partitions or 1
+        if lower_bound == upper_bound:
+            n = 1
+            upper_bound = _next(upper_bound)
+        opts.update(
+            partitionColumn=partition_column,
+            lowerBound=str(lower_bound),
+            upperBound=str(upper_bound),
+            numPartitions=str(n),
+        )
+    return opts
+
+
 def read_table(
     spark: SparkSession,
     conn: dict[str, str],
@@ -76,12 +101,6 @@ def read_table(
     Bounds only shape the ranges (rows outside them are still read by the
     first and last partition); missing bounds are fetched from the database.
     """
-    reader = (
-        spark.read.format("jdbc")
-        .options(**conn)
-        .option("dbtable", table)
-        .option("fetchsize", str(fetch_size))
-    )
     if partition_column:
         if num_partitions is None:
             num_partitions = spark.sparkContext.defaultParallelism
@@ -89,18 +108,10 @@ def read_table(
             lo, hi = column_bounds(spark, conn, table, partition_column)
             lower_bound = lo if lower_bound is None else lower_bound
             upper_bound = hi if upper_bound is None else upper_bound
-        if lower_bound is None:  # empty table
-            return reader.load()
-        if lower_bound == upper_bound:
-            num_partitions = 1
-            upper_bound = _next(upper_bound)
-        reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", str(lower_bound))
-            .option("upperBound", str(upper_bound))
-            .option("numPartitions", str(num_partitions))
-        )
-    return reader.load()
+    opts = range_read_options(
+        table, partition_column, num_partitions, lower_bound, upper_bound, fetch_size
+    )
+    return spark.read.format("jdbc").options(**conn).options(**opts).load()
 
 
 def _next(value: object) -> object:

@@ -28,3 +28,19 @@ def numbered_lines(
     return docs.select(
         F.col(id_col), F.posexplode(split_lines(text_col)).alias("line_no", "line")
     )
+
+
+def read_lines_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with columns that sort them in file order: ``(file, block, row)``.
+
+    Files are split across tasks and Spark packs splits into partitions by
+    size, not by position, so partition order is not file order. A line's
+    file, the start offset of its split and its increasing id within the task
+    do sort lines exactly as a sequential reader would see them.
+    """
+    return spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )

@@ -97,18 +97,39 @@ def validate_sink(sink: str, output_mode: str, has_watermark: bool) -> None:
         raise ValueError("append mode on a windowed count needs a watermark")
 
 
+STATE_STORES = {
+    # Off-heap, spills to local disk, incremental (changelog) checkpoints:
+    # the store for large state.
+    "rocksdb": {
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    },
+    # Spark's default: all state on the executor heap.
+    "memory": {
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+        ),
+    },
+}
+
+
 @contextlib.contextmanager
-def _shuffle_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
-    if n is None:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+def _query_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for the start of one query (a started query keeps its
+    own copy of the session configuration)."""
+    old = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for key, value in old.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _overwrite_snapshot(path: str):
@@ -128,11 +149,15 @@ def start_counts(
     has_watermark: bool = True,
     query_name: str | None = None,
     state_partitions: int | None = None,
+    state_store: str | None = "rocksdb",
 ) -> StreamingQuery:
     """Start the counting query on ``sink``.
 
     ``trigger``: ``None`` (sink default), ``"available_now"`` (process what is
     there, then stop), or a processing-time interval such as ``"1 minute"``.
+    ``state_partitions`` and ``state_store`` (``"rocksdb"``, ``"memory"`` or
+    ``None`` for the session's choice) only take effect when the checkpoint
+    is new; a restarted query keeps what its checkpoint recorded.
     """
     output_mode = output_mode or DEFAULT_MODE.get(sink, "append")
     validate_sink(sink, output_mode, has_watermark)
@@ -159,8 +184,10 @@ def start_counts(
         writer = writer.foreachBatch(_overwrite_snapshot(path))
     elif sink == "memory":
         writer = writer.format("memory")
-    spark = counts.sparkSession
-    with _shuffle_partitions(spark, state_partitions):
+    settings = dict(STATE_STORES[state_store]) if state_store else {}
+    if state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with _query_conf(counts.sparkSession, settings):
         return writer.start()
 
 
