@@ -88,3 +88,20 @@ def test_cli_validation(argv):
 def test_unknown_sink_rejected():
     with pytest.raises(SystemExit):
         build_parser().parse_args(["stream-counts", "--checkpoint", "c", "--sink", "kafka"])
+
+
+def test_stream_counts_quarantine_side_output(spark, scratch):
+    root = scratch("cli-quarantine")
+    rows = [("2024-01-01T00:00:00.000000 a b",), ("garbage",), ("2024-01-01T00:09:00.000000 c",)]
+    env = spark.createDataFrame(rows, "v string").select(
+        F.lit(None).cast("binary").alias("key"), F.col("v").cast("binary").alias("value"),
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
+        F.current_timestamp().alias("timestamp"), F.lit(0).alias("timestampType"),
+    )
+    env.write.parquet(f"{root}/env/p1")
+    main(["stream-counts", "--source-path", f"{root}/env/*", "--checkpoint", f"{root}/ck",
+          "--sink", "parquet", "--output", f"{root}/out", "--trigger", "available_now",
+          "--mode", "quarantine", "--rejects-output", f"{root}/rejects"])
+    assert [r.raw_value for r in spark.read.parquet(f"{root}/rejects").collect()] == ["garbage"]
+    got = sorted((r.WORD, r.COUNT) for r in spark.read.parquet(f"{root}/out").collect())
+    assert got == [("", 1), ("a", 1), ("b", 1)]

@@ -148,3 +148,23 @@ def test_state_settings_apply_to_new_checkpoint(spark, scratch):
     op = progress["stateOperators"][0]
     assert op["numShufflePartitions"] == 3
     assert "rocksdb" in str(op.get("customMetrics", {})).lower()
+
+
+def test_output_partitions_narrow_only_the_sink(spark, scratch):
+    root = scratch("coalesce")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a b c"], ["00:05:00+00:00 z"]])
+    counts, _ = word_counts(spark.read.text(f"{root}/src"), watermark=None, output_partitions=1)
+    assert counts.rdd.getNumPartitions() == 1
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 1" in plan and "HashAggregate" in plan
+
+
+def test_schema_text():
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from tidewater.sinks.preview import schema_text
+
+    class Fake:
+        schema = StructType([StructField("COUNT", LongType())])
+
+    assert "COUNT: long" in schema_text(Fake())

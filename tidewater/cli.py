@@ -115,11 +115,16 @@ def stream_counts(args: argparse.Namespace) -> None:
         counts, args.sink, args.checkpoint, path=args.output, trigger=args.trigger,
         state_partitions=args.state_partitions, state_store=args.state_store,
     )
+    queries = [query]
     if rejects is not None:
-        rejects.writeStream.format("parquet").option("path", args.rejects_output).option(
-            "checkpointLocation", args.checkpoint.rstrip("/") + "-rejects"
-        ).start()
-    query.awaitTermination()
+        writer = rejects.writeStream.format("parquet").option(
+            "path", args.rejects_output
+        ).option("checkpointLocation", args.checkpoint.rstrip("/") + "-rejects")
+        if args.trigger == "available_now":
+            writer = writer.trigger(availableNow=True)
+        queries.append(writer.start())
+    for q in queries:
+        q.awaitTermination()
 
 
 # --- publish -----------------------------------------------------------------------

@@ -25,11 +25,16 @@ def join_dimension(
     dim: DataFrame,
     on: Column,
     how: str = "left",
-    max_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Join ``fact`` to a dimension, broadcasting the dimension only when its
-    size is checked to be small; otherwise a shuffle join (AQE may still pick a
-    broadcast at run time from real sizes)."""
+    """Join ``fact`` to a dimension.
+
+    By default the strategy is Spark's: a broadcast when the planner's size
+    estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks
+    with real sizes at run time), a shuffle join otherwise. With
+    ``max_broadcast_rows`` the dimension is counted first (bounded job) and
+    hinted for broadcast only when it has at most that many rows.
+    """
     if max_broadcast_rows is not None and fits_broadcast(dim, max_broadcast_rows):
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)

@@ -13,15 +13,19 @@ Semantics (kept from the reference job):
 
 Two plans compute the same rows:
 
-``direct``  broadcast the (checked-small) dimension into the fact scan, then a
-            partial/final aggregation by name.
 ``preagg``  aggregate the fact by key first (sum, non-null count, key count),
             join the per-key rows to the dimension and re-aggregate by name.
-            The big side shrinks to one row per key before any join, so this
-            needs no broadcast and is the plan for a large dimension.
-``auto``    ``direct`` when the dimension passes the size check, else ``preagg``.
+            The big side shrinks to one row per key before any join, and a key
+            holding a third of all rows costs one partial row per task. The
+            join strategy of the small join is left to Spark's size-based
+            choice (broadcast under ``spark.sql.autoBroadcastJoinThreshold``,
+            re-checked by AQE on real sizes, sort-merge beyond). Default.
+``direct``  broadcast the dimension into the fact scan, then a partial/final
+            aggregation by name. Used only after an explicit row-bound check
+            of the dimension (one small job); raises when the check fails.
 
-Both are exact for integral measures (sums are carried in 64-bit integers).
+``auto`` is ``preagg``. Both are exact for integral measures (sums are carried
+in 64-bit integers); the tests check they agree.
 """
 
 from __future__ import annotations
@@ -55,12 +59,11 @@ def summary_aggregate(
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     names = dim.select(F.col(dim_key).alias("_dim_key"), F.col(dim_name).alias(NAME_COL))
-    small = fits_broadcast(names, max_broadcast_rows)
-    if strategy == "auto":
-        strategy = "direct" if small else "preagg"
     if strategy == "direct":
-        if not small:
-            raise ValueError("direct strategy needs a dimension that fits a broadcast")
+        if not fits_broadcast(names, max_broadcast_rows):
+            raise ValueError(
+                f"direct strategy needs a dimension of at most {max_broadcast_rows} rows"
+            )
         facts = fact.select(F.col(fact_key).alias("_key"), F.col(measure).alias("_m"))
         joined = facts.join(F.broadcast(names), F.col("_key") == F.col("_dim_key"), "left")
         return joined.groupBy(NAME_COL).agg(
@@ -71,8 +74,7 @@ def summary_aggregate(
         F.sum(measure).alias("_s"),
         F.count(measure).alias("_c"),
     )
-    right = F.broadcast(names) if small else names
-    joined = per_key.join(right, F.col("_key") == F.col("_dim_key"), "left")
+    joined = per_key.join(names, F.col("_key") == F.col("_dim_key"), "left")
     return joined.groupBy(NAME_COL).agg(
         F.sum("_n").alias(COUNT_COL),
         (F.sum("_s") / F.nullif(F.sum("_c"), F.lit(0))).cast("double").alias(AVG_COL),

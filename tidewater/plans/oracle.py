@@ -131,6 +131,7 @@ replayed AS (
 ORACLE_SQL: dict[str, str] = {
     "delay_summary": _SUMMARY,
     "delay_summary_preagg": _SUMMARY,
+    "delay_summary_direct": _SUMMARY,
     "json_sink_roundtrip": _SUMMARY,
     "sorted_single_file": _SUMMARY,
     "csv_infer_scan": (

@@ -94,6 +94,12 @@ def delay_summary_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(spark, sf_dir, "preagg")
 
 
+def delay_summary_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's shape: broadcast dimension, aggregate joined rows; the
+    dimension is row-counted (bounded) before it is broadcast."""
+    return _summary(spark, sf_dir, "direct")
+
+
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = S.fact_table(spark, sf_dir)
     dim = S.dimension_table(spark, sf_dir).select(
@@ -362,6 +368,7 @@ def replay_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "delay_summary": delay_summary,
     "delay_summary_preagg": delay_summary_preagg,
+    "delay_summary_direct": delay_summary_direct,
     "csv_infer_scan": csv_infer_scan,
     "text_line_scan": text_line_scan,
     "json_sink_roundtrip": json_sink_roundtrip,
