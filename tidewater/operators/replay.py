@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.messages import iso_micros, message_text, utf8_bytes
 from tidewater.functions.text import split_lines, tokenize
+from tidewater.operators.limits import first_rows, spread_bounded
 
 # Fixed values of the reference producer: lines sent per iteration (its
 # constant is 101,209 but the check runs before sending, so 101,210 go out)
@@ -49,10 +50,12 @@ def capped_lines(
 ) -> DataFrame:
     """The first ``limit`` lines in corpus order (exactly ``limit`` if present).
 
-    Planned as a per-task top-``limit`` and one merge of bounded size, not a
-    full sort of the corpus.
+    A per-task top-``limit`` while that stays small, otherwise a verified key
+    bound first (see ``operators.limits.first_rows``); never a full sort of the
+    corpus and never ``partitions x limit`` rows in one task. The result is
+    spread over the task slots, so work generated from it runs in parallel.
     """
-    return lines.orderBy(*order_cols).limit(limit)
+    return spread_bounded(first_rows(lines, list(order_cols), limit), limit)
 
 
 def replay(
