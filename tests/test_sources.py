@@ -91,3 +91,14 @@ def test_range_read_options():
     assert range_read_options("S.T", "ID", 4, 7, 7)["numPartitions"] == "1"
     # Empty table: no bounds, plain read.
     assert "partitionColumn" not in range_read_options("S.T", "ID", 4, None, None)
+
+
+def test_kafka_missing_package_is_explained(spark):
+    from tidewater.sources.kafka import read_kafka_stream
+
+    opts = kafka_source_options("127.0.0.1:1", "t")
+    try:
+        read_kafka_stream(spark, opts)
+    except RuntimeError as exc:
+        assert "spark-sql-kafka" in str(exc)
+    # With the package present the stream would be created lazily (no broker contact).

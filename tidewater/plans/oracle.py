@@ -183,6 +183,19 @@ FROM words""",
     "record_word_counts": "WITH "
     + _PARSED
     + '\nSELECT word AS WORD, count(*) AS "COUNT" FROM word_rows GROUP BY word',
+    "first_space_word_counts": """
+WITH records AS (
+  SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || ' ' || event_type || ' ' || props AS value
+  FROM events
+),
+msgs AS (SELECT substr(value, strpos(value, ' ') + 1) AS message FROM records),
+words AS (
+  SELECT unnest(CASE WHEN message = '' THEN ['']
+                     WHEN regexp_full_match(message, ' +') THEN []::VARCHAR[]
+                     ELSE string_split(regexp_replace(message, ' +$', ''), ' ') END) AS word
+  FROM msgs
+)
+SELECT word AS WORD, count(*) AS "COUNT" FROM words GROUP BY word""",
     "tumbling_counts": _TUMBLING,
     "stream_counts_complete": _TUMBLING,
     "stream_counts_append": _APPEND,

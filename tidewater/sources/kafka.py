@@ -88,6 +88,17 @@ def kafka_source_options(
     return opts
 
 
+KAFKA_PACKAGE_HINT = (
+    "the Kafka source needs the spark-sql-kafka package on the classpath "
+    "(spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_<scala>:<spark>)"
+)
+
+
 def read_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Streaming envelope (key, value, topic, partition, offset, timestamp, ...)."""
-    return spark.readStream.format("kafka").options(**options).load()
+    try:
+        return spark.readStream.format("kafka").options(**options).load()
+    except Exception as exc:
+        if "kafka" in str(exc).lower() and "data source" in str(exc).lower():
+            raise RuntimeError(KAFKA_PACKAGE_HINT) from exc
+        raise
