@@ -14,10 +14,12 @@ MAX_BROADCAST_ROWS = 1_000_000
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Costs one bounded job: at most ``max_rows + 1`` rows are read, however
-    large ``df`` is.
+    A plain distributed count: every task counts its rows (no columns are
+    read beyond filter columns; parquet answers from footers when unfiltered)
+    and only per-task counts are summed. A ``limit(max_rows + 1)`` would
+    instead move up to ``max_rows + 1`` rows from every task into one.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def join_dimension(
