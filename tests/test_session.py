@@ -15,3 +15,12 @@ def test_scratch_paths_are_fresh(spark):
 
 def test_maintenance_interval_has_unit():
     assert STREAMING_CONF["spark.sql.streaming.stateStore.maintenanceInterval"].endswith("s")
+
+
+def test_build_session_reuses_active_session(spark):
+    from tidewater.session import build_session
+
+    session = build_session("x", shuffle_partitions=8)
+    assert session.sparkContext is spark.sparkContext
+    assert session.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert session.conf.get("spark.sql.streaming.minBatchesToRetain") == "10"

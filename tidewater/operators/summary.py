@@ -91,15 +91,21 @@ def dimension_summary(
     strategy: str = "auto",
     ordered: bool = True,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    output_names: tuple[str, str, str] = (NAME_COL, COUNT_COL, AVG_TEXT_COL),
 ) -> DataFrame:
     """``(NAME_COL, COUNT_COL, AVG_TEXT_COL)``, ascending by the numeric average.
 
     ``ordered=False`` leaves ordering to the sink (see
     ``sinks.write_sorted_single_file``), which saves a range-partitioning pass.
+    ``output_names`` renames the three output columns.
     """
     agg = summary_aggregate(
         fact, dim, fact_key, measure, dim_key, dim_name, strategy, max_broadcast_rows
     ).withColumn(AVG_TEXT_COL, format_2dp(AVG_COL))
     if ordered:
         agg = agg.orderBy(F.col(AVG_COL).asc_nulls_first())
-    return agg.drop(AVG_COL)
+    name, count, text = output_names
+    return agg.select(
+        F.col(NAME_COL).alias(name), F.col(COUNT_COL).alias(count),
+        F.col(AVG_TEXT_COL).alias(text),
+    )

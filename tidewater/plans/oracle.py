@@ -132,6 +132,11 @@ ORACLE_SQL: dict[str, str] = {
     "delay_summary": _SUMMARY,
     "delay_summary_preagg": _SUMMARY,
     "delay_summary_direct": _SUMMARY,
+    "document_label_summary": """
+SELECT l.quality AS quality, count(d.doc_id) AS documents,
+       format('{:,.2f}', avg(d.n_chars)) AS avg_chars_text
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+GROUP BY l.quality""",
     "json_sink_roundtrip": _SUMMARY,
     "sorted_single_file": _SUMMARY,
     "csv_infer_scan": (

@@ -35,7 +35,6 @@ from tidewater.operators.summary import (
     dimension_summary,
     summary_aggregate,
 )
-from tidewater.operators.windows import windowed_counts
 from tidewater.plans import standins as S
 from tidewater.session import scratch_path
 from tidewater.sinks.files import write_json, write_sorted_single_file
@@ -100,6 +99,16 @@ def delay_summary_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(spark, sf_dir, "direct")
 
 
+def document_label_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary on a natural left join: most documents carry no label."""
+    docs = S.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    labels = S.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return dimension_summary(
+        docs, labels, fact_key="doc_id", measure="n_chars", dim_key="doc_id",
+        dim_name="quality", output_names=("quality", "documents", "avg_chars_text"),
+    )
+
+
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = S.fact_table(spark, sf_dir)
     dim = S.dimension_table(spark, sf_dir).select(
@@ -377,6 +386,7 @@ QUERIES: dict[str, QueryFn] = {
     "delay_summary": delay_summary,
     "delay_summary_preagg": delay_summary_preagg,
     "delay_summary_direct": delay_summary_direct,
+    "document_label_summary": document_label_summary,
     "csv_infer_scan": csv_infer_scan,
     "text_line_scan": text_line_scan,
     "json_sink_roundtrip": json_sink_roundtrip,
