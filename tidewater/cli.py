@@ -143,7 +143,8 @@ def publish(args: argparse.Namespace) -> None:
     ).filter(F.size("tokens") > 0)
     capped = capped_lines(lines, args.limit, order)
     base = args.base_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    timed = replay(capped, args.iterations, base, args.cadence_seconds)
+    timed = replay(capped, args.iterations, base, args.cadence_seconds,
+                   bounded_rows=args.limit)
     messages = to_messages(timed, key_by=args.key_by)
     if args.output:
         messages.write.mode("errorifexists").parquet(args.output)

@@ -52,10 +52,9 @@ def capped_lines(
 
     A per-task top-``limit`` while that stays small, otherwise a verified key
     bound first (see ``operators.limits.first_rows``); never a full sort of the
-    corpus and never ``partitions x limit`` rows in one task. The result is
-    spread over the task slots, so work generated from it runs in parallel.
+    corpus and never ``partitions x limit`` rows in one task.
     """
-    return spread_bounded(first_rows(lines, list(order_cols), limit), limit)
+    return first_rows(lines, list(order_cols), limit)
 
 
 def replay(
@@ -63,14 +62,22 @@ def replay(
     iterations: int,
     base_time: str | _dt.datetime,
     cadence_seconds: int = CADENCE_SECONDS,
+    bounded_rows: int | None = None,
 ) -> DataFrame:
     """Every line once per iteration, stamped ``base + iteration * cadence``.
 
+    ``bounded_rows`` declares that ``lines`` is a bounded result (a capped
+    top-n); it is then spread over the task slots before the iterations are
+    generated, so no single task produces ``rows x iterations`` rows.
+
     The iterations are generated per row (``explode(sequence)``), so the
     replication runs inside the scan tasks with no join and no shuffle.
     """
     if iterations < 1:
         raise ValueError("iterations must be >= 1")
+    if iterations > 1 and bounded_rows is not None:
+        # A capped input sits in one partition; spread it before multiplying.
+        lines = spread_bounded(lines, bounded_rows)
     base = F.lit(base_time).cast("timestamp")
     return lines.select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration")

@@ -19,6 +19,7 @@ from tidewater.functions.numbers import format_2dp
 from tidewater.functions.records import explode_words, parse_records
 from tidewater.operators.joins import join_dimension
 from tidewater.operators.replay import (
+    LINES_PER_ITERATION,
     capped_lines,
     capped_messages,
     corpus_tokens,
@@ -368,8 +369,9 @@ def build_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = capped_lines(nonempty_lines(_tokens(spark, sf_dir)))
-    return replay(lines, REPLAY_ITERATIONS, S.REPLAY_BASE_TIME)
+    lines = capped_lines(nonempty_lines(_tokens(spark, sf_dir)), LINES_PER_ITERATION)
+    return replay(lines, REPLAY_ITERATIONS, S.REPLAY_BASE_TIME,
+                  bounded_rows=LINES_PER_ITERATION)
 
 
 def timed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
