@@ -47,3 +47,17 @@ def test_bound_filter_reaches_scan(spark, scratch):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(doc_id" in plan
     assert sorted(r.doc_id for r in got.collect()) == list(range(100))
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], "doc_id long, line_no int, v string").repartition(4)
+    assert first_rows(df, ["doc_id", "line_no"], 10, max_merge_rows=1).count() == 0
+
+
+def test_large_n_small_fraction(spark):
+    # n far below the row count: the sample-based bound path with real sampling.
+    df = spark.range(0, 200000, numPartitions=16).select(
+        (F.col("id") * 7919 % 200000).alias("doc_id"), F.lit(0).alias("line_no")
+    )
+    got = first_rows(df, ["doc_id", "line_no"], 5000, max_merge_rows=1)
+    assert sorted(r.doc_id for r in got.collect()) == list(range(5000))

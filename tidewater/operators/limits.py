@@ -4,12 +4,18 @@
 that merges every task's top-``n``: ``partitions x n`` rows. That is fine for a
 preview, but for a large ``n`` over a large input it funnels billions of rows
 into one task. ``first_rows`` keeps that plan only while ``partitions x n`` is
-small. Past that bound it first narrows the input to a key range that provably
-holds at least ``n`` rows (a quantile sketch proposes the bound, a count
-verifies it, the bound widens until it does), so the final merge sees about
-``2n`` rows. The filter on the leading key is pushed below generators and into
-the scan, where it also prunes row groups. The result is exact; only a few
-scalars reach the driver.
+small. Past that bound it first narrows the input to a range of the leading
+key that provably holds at least ``n`` rows:
+
+1. a Bernoulli sample at rate ``HITS / n`` puts about ``HITS`` sampled rows
+   among the first ``n`` whatever the input size; the ``2 x HITS``-th smallest
+   sampled key is a bound near rank ``2n`` (a top-``2 x HITS``, tiny merge);
+2. a count verifies that the bound covers ``n`` rows (else it widens);
+3. the top-``n`` runs on ``key <= bound`` only, a filter pushed below
+   generators into the scan, where it also prunes row groups.
+
+The result is exact; only scalars reach the driver; the final merge sees about
+``2n`` rows.
 """
 
 from __future__ import annotations
@@ -31,6 +37,8 @@ def _is_number(df: DataFrame, name: str) -> bool:
 def _at_most(df: DataFrame, name: str, bound: float):
     """``name <= bound`` with the bound in the column's own type, so the
     predicate is pushed to the scan (integral keys: the floor of the bound)."""
+    if bound is None:  # empty input
+        return F.lit(False)
     if isinstance(df.schema[name].dataType, IntegralType):
         bound = math.floor(bound)
     return F.col(name) <= F.lit(bound).cast(df.schema[name].dataType)
@@ -52,23 +60,33 @@ def first_rows(
     partitions = df.rdd.getNumPartitions()
     if partitions * n <= max_merge_rows or not _is_number(df, lead):
         return df.orderBy(*order).limit(n)
-    total = df.count()
-    if total <= n:
-        return df
-    bound = _covering_bound(df, lead, n, total)
+    bound = _covering_bound(df, lead, n)
     return df.filter(_at_most(df, lead, bound)).orderBy(*order).limit(n)
 
 
-def _covering_bound(df: DataFrame, lead: str, n: int, total: int):
-    """A value ``b`` of ``lead`` with ``count(lead <= b) >= n``."""
-    frac = min(1.0, 2.0 * n / total)
+# Expected sampled rows among the first n (sample rate HITS / n).
+HITS = 20
+SAMPLE_SEED = 20240101
+
+
+def _covering_bound(df: DataFrame, lead: str, n: int):
+    """A value ``b`` of ``lead`` with ``count(lead <= b) >= n`` (or the maximum
+    of ``lead`` when the input is small)."""
+    frac = min(1.0, HITS / max(n, 1))
+    sample = df.select(lead).sample(withReplacement=False, fraction=frac, seed=SAMPLE_SEED)
+    k = 2 * HITS
     while True:
-        if frac >= 1.0:
+        bound, taken = (
+            sample.orderBy(F.col(lead).asc()).limit(k)
+            .agg(F.max(lead), F.count(F.lit(1))).first()
+        )
+        if bound is None or taken < k:
+            # The whole sample is below rank k: the input has about 2n rows or
+            # fewer, so every row may take part.
             return df.agg(F.max(lead)).first()[0]
-        (bound,) = df.approxQuantile(lead, [frac], frac / 4)
         if df.filter(_at_most(df, lead, bound)).count() >= n:
             return bound
-        frac = min(1.0, frac * 2)
+        k *= 4
 
 
 def spread_bounded(df: DataFrame, rows_bound: int, partitions: int | None = None) -> DataFrame:
