@@ -72,3 +72,26 @@ def test_java_split_keeps_line_break_word(spark):
     # Java: "a \n".split(" ") -> ["a", "\n"]; the trailing space is not at the end.
     got = spark.createDataFrame([("a \n",)], "m string").select(java_split("m")).first()[0]
     assert got == ["a", "\n"]
+
+
+@pytest.mark.parametrize("column", ["timestamp", "message"])
+def test_failfast_survives_column_pruning(spark, column):
+    df = _frame(spark, ["2022-01-01T00:00:00+00:00 ok", "short"])
+    with pytest.raises(Exception, match="malformed record"):
+        parse_records(df).select(column).collect()
+
+
+def test_failfast_in_word_counts(spark):
+    df = _frame(spark, ["2022-01-01T00:00:00+00:00 ok", None])
+    words = explode_words(parse_records(df))
+    with pytest.raises(Exception, match="malformed record"):
+        words.groupBy("value").count().collect()
+
+
+def test_window_filter_not_duplicated(spark):
+    from tidewater.operators.windows import windowed_counts
+
+    df = _frame(spark, ["2022-01-01T00:00:00+00:00 a b"]).repartition(2)
+    plan = windowed_counts(explode_words(parse_records(df)))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Filter" not in plan

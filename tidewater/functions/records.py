@@ -104,14 +104,16 @@ def parse_records(
     bad = value.isNull() | short | ts.isNull()
     carried = [F.col(c) for c in (keep or [])]
     if mode == "failfast":
-        checked = F.when(
-            bad,
-            F.raise_error(
-                F.concat(F.lit("malformed record: "), F.coalesce(value, F.lit("<null>")))
-            ),
-        ).otherwise(ts)
-        return df.select(*carried, checked.cast("timestamp").alias("timestamp"),
-                         message.alias("message"))
+        # The check guards both outputs, so it survives column pruning when a
+        # consumer reads only the words or only the times.
+        fail = F.raise_error(
+            F.concat(F.lit("malformed record: "), F.coalesce(value, F.lit("<null>")))
+        )
+        return df.select(
+            *carried,
+            _never_null(F.when(bad, fail).otherwise(ts)).alias("timestamp"),
+            F.when(bad, fail).otherwise(message).alias("message"),
+        )
     return df.select(
         *carried,
         F.when(~bad, ts).alias("timestamp"),
@@ -121,9 +123,21 @@ def parse_records(
     )
 
 
+def _never_null(ts: Column) -> Column:
+    """``ts`` typed as non-nullable. Only for values that cannot be null here
+    (bad records raised or were filtered out): it lets the optimizer drop the
+    ``isnotnull`` filter that windowing adds, which would otherwise be pushed
+    down with a second copy of the whole parse expression."""
+    return F.coalesce(ts.cast("timestamp"), F.lit(0).cast("timestamp"))
+
+
 def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows) of a ``mode="quarantine"`` parse."""
-    good = parsed.filter(~F.col("malformed")).drop("malformed", "raw_value")
+    good = (
+        parsed.filter(~F.col("malformed"))
+        .withColumn("timestamp", _never_null(F.col("timestamp")))
+        .drop("malformed", "raw_value")
+    )
     bad = parsed.filter(F.col("malformed")).select("raw_value")
     return good, bad
 
