@@ -71,7 +71,7 @@ def replay(
     generated, so no single task produces ``rows x iterations`` rows.
 
     The iterations are generated per row (``explode(sequence)``), so the
-    replication runs inside the scan tasks with no join and no shuffle.
+    replication needs no join.
     """
     if iterations < 1:
         raise ValueError("iterations must be >= 1")

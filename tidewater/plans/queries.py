@@ -18,6 +18,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from tidewater.functions.numbers import format_2dp
 from tidewater.functions.records import explode_words, parse_records
 from tidewater.operators.joins import join_dimension
+from tidewater.operators.layout import spread
 from tidewater.operators.replay import (
     LINES_PER_ITERATION,
     capped_lines,
@@ -245,7 +246,8 @@ def tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming ---------------------------------------------------------------
 
 def _stage_envelope(spark: SparkSession, events: DataFrame, root: str, part: str) -> None:
-    S.events_envelope(spark, "", events).write.parquet(f"{root}/{part}")
+    """Land ``events`` as envelope files: the stand-in for a topic's records."""
+    S.events_envelope(spark, "", spread(events)).write.parquet(f"{root}/{part}")
 
 
 def _stream_counts(spark: SparkSession, source: str) -> DataFrame:
