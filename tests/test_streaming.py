@@ -168,3 +168,27 @@ def test_schema_text():
         schema = StructType([StructField("COUNT", LongType())])
 
     assert "COUNT: long" in schema_text(Fake())
+
+
+def test_console_sink_complete_mode(spark, scratch):
+    root = scratch("console")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a b"]])
+    counts, _ = word_counts(spark.readStream.format("text").load(f"{root}/src"))
+    q = start_counts(counts, "console", f"{root}/ckpt", trigger="available_now")
+    progress = run_until_done(q)
+    assert progress["sink"]["description"].startswith("org.apache.spark.sql.execution.streaming")
+    assert progress["numInputRows"] == 1
+
+
+def test_processing_time_trigger(spark, scratch):
+    root = scratch("ptime")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a"], ["00:05:00+00:00 b"]])
+    counts, _ = word_counts(spark.readStream.format("text").load(f"{root}/src"))
+    q = start_counts(counts, "memory", f"{root}/ckpt", output_mode="append",
+                     trigger="1 second", query_name="ptime_counts_test")
+    try:
+        q.processAllAvailable()
+        rows = [(r.WORD, r.COUNT) for r in spark.table("ptime_counts_test").collect()]
+    finally:
+        q.stop()
+    assert rows == [("a", 1)]
