@@ -123,9 +123,11 @@ _CAPPED = f"""
 capped AS (
   SELECT * FROM token_text WHERE n_tokens > 0 ORDER BY doc_id, line_no LIMIT {_CAP}
 ),
+iterations AS (
+  SELECT *, unnest(range(0, {_ITERATIONS})) AS iteration FROM capped
+),
 replayed AS (
-  SELECT c.*, i AS iteration, {_BASE} + i * INTERVAL 60 SECOND AS tk
-  FROM capped c, range(0, {_ITERATIONS}) r(i)
+  SELECT *, {_BASE} + iteration * INTERVAL 60 SECOND AS tk FROM iterations
 )"""
 
 ORACLE_SQL: dict[str, str] = {
