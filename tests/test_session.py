@@ -24,3 +24,19 @@ def test_build_session_reuses_active_session(spark):
     assert session.sparkContext is spark.sparkContext
     assert session.conf.get("spark.sql.adaptive.enabled") == "true"
     assert session.conf.get("spark.sql.streaming.minBatchesToRetain") == "10"
+
+
+def test_cluster_profile_keys():
+    from tidewater.session import CLUSTER_CONF
+
+    assert CLUSTER_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
+    assert int(CLUSTER_CONF["spark.sql.shuffle.partitions"]) >= 1000
+
+
+def test_unknown_profile_rejected():
+    import pytest
+
+    from tidewater.session import build_session
+
+    with pytest.raises(ValueError):
+        build_session("x", profile="huge")

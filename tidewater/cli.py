@@ -22,7 +22,8 @@ def _session(app: str, args: argparse.Namespace):
     from tidewater.session import build_session
 
     return build_session(app, master=getattr(args, "master", None),
-                         shuffle_partitions=getattr(args, "shuffle_partitions", None))
+                         shuffle_partitions=getattr(args, "shuffle_partitions", None),
+                         profile=getattr(args, "profile", "default"))
 
 
 def _password(env_name: str | None) -> str | None:
@@ -157,6 +158,8 @@ def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidewater")
     p.add_argument("--master", help="used only when no master is configured")
     p.add_argument("--shuffle-partitions", type=int)
+    p.add_argument("--profile", choices=["default", "cluster"], default="default",
+                   help="cluster: wide shuffles coalesced by AQE, 512 MB scan splits")
     sub = p.add_subparsers(dest="command", required=True)
 
     s = sub.add_parser("delay-summary", help="per-name count and average of a fact CSV")

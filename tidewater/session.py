@@ -28,6 +28,20 @@ BATCH_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Settings for a large cluster (opt-in with ``profile="cluster"``): start
+# with a wide shuffle and let AQE coalesce it to ~256 MB partitions, read
+# scans in 512 MB splits, let AQE split skewed join partitions. Values in the
+# submitted configuration win over these.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
@@ -39,11 +53,14 @@ def build_session(
     shuffle_partitions: int | None = None,
     rocksdb_state: bool = False,
     extra: dict[str, str] | None = None,
+    profile: str = "default",
 ) -> SparkSession:
     """Return a session; a cluster master is used when one is configured.
 
     ``master`` is only applied when the submitted configuration has none, so the
     same entry point runs under ``spark-submit`` and from a laptop.
+    ``profile="cluster"`` adds ``CLUSTER_CONF`` for keys the submitted
+    configuration does not set.
     """
     conf = SparkConf()
     builder = SparkSession.builder.appName(app_name)
@@ -51,6 +68,10 @@ def build_session(
         builder = builder.master(master or "local[*]")
     settings = dict(BATCH_CONF)
     settings.update(STREAMING_CONF)
+    if profile == "cluster":
+        settings.update({k: v for k, v in CLUSTER_CONF.items() if not conf.contains(k)})
+    elif profile != "default":
+        raise ValueError("profile must be 'default' or 'cluster'")
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if rocksdb_state:
