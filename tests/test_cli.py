@@ -105,3 +105,20 @@ def test_stream_counts_quarantine_side_output(spark, scratch):
     assert [r.raw_value for r in spark.read.parquet(f"{root}/rejects").collect()] == ["garbage"]
     got = sorted((r.WORD, r.COUNT) for r in spark.read.parquet(f"{root}/out").collect())
     assert got == [("", 1), ("a", 1), ("b", 1)]
+
+
+def test_kafka_cli_options(monkeypatch):
+    from tidewater.cli import kafka_auth
+    from tidewater.sources.kafka import kafka_source_options
+
+    monkeypatch.setenv("TW_KAFKA_PW", "pw")
+    args = build_parser().parse_args(
+        ["stream-counts", "--bootstrap-servers", "h:9092", "--topics", "t", "--username", "u",
+         "--password-env", "TW_KAFKA_PW", "--checkpoint", "c", "--sink", "console",
+         "--max-offsets-per-trigger", "500000"])
+    validate(args)
+    opts = kafka_source_options(args.bootstrap_servers, args.topics, kafka_auth(args),
+                                starting_offsets=args.starting_offsets,
+                                max_offsets_per_trigger=args.max_offsets_per_trigger)
+    assert opts["maxOffsetsPerTrigger"] == "500000"
+    assert 'password="pw"' in opts["kafka.sasl.jaas.config"]

@@ -105,7 +105,11 @@ def stream_counts(args: argparse.Namespace) -> None:
         envelope = read_envelope_stream(spark, args.source_path,
                                         args.max_files_per_trigger, args.source_format)
     else:
-        opts = kafka_source_options(args.bootstrap_servers, args.topics, kafka_auth(args))
+        opts = kafka_source_options(
+            args.bootstrap_servers, args.topics, kafka_auth(args),
+            starting_offsets=args.starting_offsets,
+            max_offsets_per_trigger=args.max_offsets_per_trigger,
+        )
         envelope = read_kafka_stream(spark, opts)
     counts, rejects = word_counts(
         decode_value(envelope), watermark=args.watermark, window=args.window,
@@ -195,6 +199,9 @@ def build_parser() -> argparse.ArgumentParser:
     w.add_argument("--sasl-mechanism")
     w.add_argument("--login-module")
     w.add_argument("--login-option", action="append", help="key=value for the JAAS entry")
+    w.add_argument("--starting-offsets", default="latest")
+    w.add_argument("--max-offsets-per-trigger", type=int,
+                   help="bound each micro-batch (records across all partitions)")
     w.add_argument("--source-path", help="read envelope files instead of Kafka")
     w.add_argument("--source-format", default="parquet")
     w.add_argument("--max-files-per-trigger", type=int)
