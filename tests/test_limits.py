@@ -61,3 +61,13 @@ def test_large_n_small_fraction(spark):
     )
     got = first_rows(df, ["doc_id", "line_no"], 5000, max_merge_rows=1)
     assert sorted(r.doc_id for r in got.collect()) == list(range(5000))
+
+
+def test_string_and_constant_lead(spark):
+    # File order: constant file name (one file), then block, then row.
+    rows = [("f.txt", b * 1000, r, "x") for b in range(8) for r in range(50)]
+    df = spark.createDataFrame(rows, "file string, block long, row long, v string").repartition(8)
+    got = first_rows(df, ["file", "block", "row"], 120, max_merge_rows=1)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(rows)[:120]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "named_struct" in plan or "struct" in plan.lower()

@@ -9,10 +9,11 @@ key that provably holds at least ``n`` rows:
 
 1. a Bernoulli sample at rate ``HITS / n`` puts about ``HITS`` sampled rows
    among the first ``n`` whatever the input size; the ``2 x HITS``-th smallest
-   sampled key is a bound near rank ``2n`` (a top-``2 x HITS``, tiny merge);
+   sampled key tuple is a bound near rank ``2n`` (a top-``2 x HITS``, tiny);
 2. a count verifies that the bound covers ``n`` rows (else it widens);
-3. the top-``n`` runs on ``key <= bound`` only, a filter pushed below
-   generators into the scan, where it also prunes row groups.
+3. the top-``n`` runs on ``key <= bound`` only (lexicographic, exact), with
+   ``lead <= bound[0]`` alongside, which is pushed below generators into the
+   scan, where it also prunes row groups.
 
 The result is exact; only scalars reach the driver; the final merge sees about
 ``2n`` rows.
@@ -20,28 +21,14 @@ The result is exact; only scalars reach the driver; the final merge sees about
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NumericType
 
 # Rows the final merge of a plain top-n may receive (partitions x n).
 MAX_MERGE_ROWS = 5_000_000
-
-
-def _is_number(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, NumericType)
-
-
-def _at_most(df: DataFrame, name: str, bound: float):
-    """``name <= bound`` with the bound in the column's own type, so the
-    predicate is pushed to the scan (integral keys: the floor of the bound)."""
-    if bound is None:  # empty input
-        return F.lit(False)
-    if isinstance(df.schema[name].dataType, IntegralType):
-        bound = math.floor(bound)
-    return F.col(name) <= F.lit(bound).cast(df.schema[name].dataType)
+# Expected sampled rows among the first n (sample rate HITS / n).
+HITS = 20
+SAMPLE_SEED = 20240101
 
 
 def first_rows(
@@ -55,36 +42,40 @@ def first_rows(
     The result is not ordered; sort it afterwards if needed."""
     if n < 0:
         raise ValueError("n must be >= 0")
-    order = [F.col(c).asc() for c in order_cols]
-    lead = order_cols[0]
-    partitions = df.rdd.getNumPartitions()
-    if partitions * n <= max_merge_rows or not _is_number(df, lead):
+    cols = list(order_cols)
+    order = [F.col(c).asc() for c in cols]
+    if df.rdd.getNumPartitions() * n <= max_merge_rows:
+        return df.orderBy(*order).limit(n)
+    bound = _covering_bound(df, cols, n)
+    if bound is None:  # about 2n rows or fewer in all: the plain merge is small
         return df.orderBy(*order).limit(n)
-    bound = _covering_bound(df, lead, n)
-    return df.filter(_at_most(df, lead, bound)).orderBy(*order).limit(n)
+    return df.filter(_at_most(df, cols, bound)).orderBy(*order).limit(n)
 
 
-# Expected sampled rows among the first n (sample rate HITS / n).
-HITS = 20
-SAMPLE_SEED = 20240101
+def _at_most(df: DataFrame, cols: list[str], bound: tuple):
+    """``(cols) <= bound`` in lexicographic order (a struct comparison, exact),
+    plus ``cols[0] <= bound[0]`` on its own so the scan can use it."""
+    typed = [F.lit(v).cast(df.schema[c].dataType) for c, v in zip(cols, bound)]
+    lead = F.col(cols[0]) <= typed[0]
+    if len(cols) == 1:
+        return lead
+    return lead & (F.struct(*[F.col(c) for c in cols]) <= F.struct(*typed))
 
 
-def _covering_bound(df: DataFrame, lead: str, n: int):
-    """A value ``b`` of ``lead`` with ``count(lead <= b) >= n`` (or the maximum
-    of ``lead`` when the input is small)."""
+def _covering_bound(df: DataFrame, cols: list[str], n: int) -> tuple | None:
+    """A key tuple ``b`` with ``count((cols) <= b) >= n``; ``None`` when the
+    sample shows the input has about ``2n`` rows or fewer."""
     frac = min(1.0, HITS / max(n, 1))
-    sample = df.select(lead).sample(withReplacement=False, fraction=frac, seed=SAMPLE_SEED)
+    sample = df.select(*cols).sample(withReplacement=False, fraction=frac, seed=SAMPLE_SEED)
     k = 2 * HITS
     while True:
-        bound, taken = (
-            sample.orderBy(F.col(lead).asc()).limit(k)
-            .agg(F.max(lead), F.count(F.lit(1))).first()
-        )
-        if bound is None or taken < k:
-            # The whole sample is below rank k: the input has about 2n rows or
-            # fewer, so every row may take part.
-            return df.agg(F.max(lead)).first()[0]
-        if df.filter(_at_most(df, lead, bound)).count() >= n:
+        smallest = sample.orderBy(*[F.col(c).asc() for c in cols]).limit(k).collect()
+        if len(smallest) < k:
+            return None
+        bound = tuple(smallest[-1])
+        if any(v is None for v in bound):
+            return None
+        if df.filter(_at_most(df, cols, bound)).count() >= n:
             return bound
         k *= 4
 
