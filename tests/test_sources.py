@@ -102,3 +102,10 @@ def test_kafka_missing_package_is_explained(spark):
     except RuntimeError as exc:
         assert "spark-sql-kafka" in str(exc)
     # With the package present the stream would be created lazily (no broker contact).
+
+
+def test_csv_inference_on_a_sample(spark, scratch):
+    path = scratch("csv-sample")
+    spark.range(5000).selectExpr("id AS k", "id * 2 AS v").write.option("header", "true").csv(path)
+    df = read_csv(spark, path, infer=True, infer_sampling_ratio=0.1)
+    assert dict(df.dtypes)["v"] == "int" and df.count() == 5000
