@@ -290,18 +290,20 @@ def stream_counts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_counts_csv(spark, out)
 
 
+def _time_cuts(events: DataFrame, parts: int) -> list:
+    """Cut points splitting the events' time range into ``parts`` equal spans
+    (whole microseconds), as TIMESTAMP_NTZ literals the scan can filter on."""
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) // parts
+    return [F.to_timestamp_ntz(F.lit((lo + step * i).isoformat())) for i in range(1, parts)]
+
+
 def _event_thirds(spark: SparkSession, sf_dir: str):
-    """Events split at the thirds of their time range (integer microseconds)."""
-    events = S.table(spark, sf_dir, "events").withColumn(
-        "_us", F.unix_micros(F.col("ts").cast("timestamp"))
-    )
-    lo, hi = events.agg(F.min("_us"), F.max("_us")).first()
-    step = (hi - lo) // 3
-    c1, c2 = lo + step, lo + 2 * step
-    first = events.filter(F.col("_us") < c1).drop("_us")
-    middle = events.filter((F.col("_us") >= c1) & (F.col("_us") < c2)).drop("_us")
-    last = events.filter(F.col("_us") >= c2).drop("_us")
-    return first, middle, last
+    """Events split at the thirds of their time range (filters reach the scan)."""
+    events = S.table(spark, sf_dir, "events")
+    c1, c2 = _time_cuts(events, 3)
+    ts = F.col("ts")
+    return events.filter(ts < c1), events.filter((ts >= c1) & (ts < c2)), events.filter(ts >= c2)
 
 
 def _run_csv_counts(spark: SparkSession, source: str, out: str, ckpt: str) -> dict:
@@ -328,15 +330,12 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs on one checkpoint: first half, second half, nothing new.
     Each closed window is emitted exactly once across the runs."""
-    events = S.table(spark, sf_dir, "events").withColumn(
-        "_us", F.unix_micros(F.col("ts").cast("timestamp"))
-    )
-    lo, hi = events.agg(F.min("_us"), F.max("_us")).first()
-    mid = lo + (hi - lo) // 2
+    events = S.table(spark, sf_dir, "events")
+    (mid,) = _time_cuts(events, 2)
     source, out, ckpt = (scratch_path(spark, n) for n in ("envelope", "restart-csv", "ckpt"))
-    _stage_envelope(spark, events.filter(F.col("_us") < mid).drop("_us"), source, "run1")
+    _stage_envelope(spark, events.filter(F.col("ts") < mid), source, "run1")
     _run_csv_counts(spark, source, out, ckpt)
-    _stage_envelope(spark, events.filter(F.col("_us") >= mid).drop("_us"), source, "run2")
+    _stage_envelope(spark, events.filter(F.col("ts") >= mid), source, "run2")
     _run_csv_counts(spark, source, out, ckpt)
     _run_csv_counts(spark, source, out, ckpt)
     return _read_counts_csv(spark, out)
