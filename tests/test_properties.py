@@ -68,3 +68,25 @@ def test_tokenize_then_join_is_idempotent(spark, lines):
     once = df.select(F.concat_ws(" ", tokenize("l")).alias("j"))
     twice = once.select("j", F.concat_ws(" ", tokenize("j")).alias("k"))
     assert all(r.j == r.k for r in twice.collect())
+
+
+def python_format_2dp(x: float) -> str:
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    return format(Decimal(x).quantize(Decimal("0.01"), rounding=ROUND_HALF_EVEN), ",")
+
+
+@SETTINGS
+@given(st.lists(
+    st.floats(min_value=-1e12, max_value=1e12, allow_nan=False, allow_infinity=False)
+    | st.integers(min_value=-10**6, max_value=10**6).map(lambda i: i / 1000),
+    min_size=1, max_size=60))
+def test_format_2dp_matches_decimal_half_even(spark, values):
+    """Holds below ~2**45; beyond it a double has too few fraction digits and
+    Spark formats its shortest round-trip digits instead (see numbers.py)."""
+    from tidewater.functions.numbers import format_2dp
+
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, x double")
+    got = {r.i: r.t for r in df.select("i", format_2dp("x").alias("t")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == python_format_2dp(float(v)), v
