@@ -92,3 +92,26 @@ def test_single_sorted_file(spark, scratch):
     assert len(files) == 1
     names = [json.loads(line).get("AIRLINE_NAME") for line in open(files[0])]
     assert names == ["American", None, "United"]
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    from tidewater.operators.joins import fits_broadcast
+
+    dim = spark.createDataFrame([(1, "x" * 1000), (2, "y" * 1000)], "k long, name string")
+    assert fits_broadcast(dim, max_rows=10, max_bytes=10_000)
+    assert not fits_broadcast(dim, max_rows=10, max_bytes=1_000)
+    assert not fits_broadcast(dim, max_rows=1)
+
+
+def test_over_bound_dimension_is_merge_joined(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators.joins import join_dimension
+
+    fact = spark.range(100).select(F.col("id").alias("k"))
+    dim = spark.range(50).select(F.col("id").alias("dk"))
+    small = join_dimension(fact, dim, fact["k"] == dim["dk"])
+    large = join_dimension(fact, dim, fact["k"] == dim["dk"], max_rows=10)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+    assert large.count() == 100

@@ -1,25 +1,60 @@
-"""Fact-to-dimension joins with a checked broadcast."""
+"""Fact-to-dimension joins with a proven broadcast bound."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-# Rows of a (key, name) dimension that may be copied to every executor.
-# At ~100 bytes per row this is ~100 MB, under the default 8 GB broadcast limit
-# and small next to executor memory.
+# What may be copied to every executor: at most this many rows and this many
+# bytes of payload (measured, not estimated from compressed file sizes).
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+_FIXED_WIDTH = 8
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def _row_bytes(df: DataFrame) -> Column:
+    parts = []
+    for field in df.schema.fields:
+        if isinstance(field.dataType, StringType | BinaryType):
+            parts.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + _FIXED_WIDTH)
+        else:
+            parts.append(F.lit(_FIXED_WIDTH))
+    total = parts[0]
+    for part in parts[1:]:
+        total = total + part
+    return total.cast("long")
 
-    A plain distributed count: every task counts its rows (no columns are
-    read beyond filter columns; parquet answers from footers when unfiltered)
-    and only per-task counts are summed. A ``limit(max_rows + 1)`` would
-    instead move up to ``max_rows + 1`` rows from every task into one.
+
+def fits_broadcast(
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    One distributed aggregation: each task counts its rows and sums their
+    payload sizes, and only those partial sums are merged. (A
+    ``limit(max_rows + 1)`` would move up to ``max_rows + 1`` rows from every
+    task into one.)
     """
-    return df.count() <= max_rows
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
+
+
+def bounded_side(
+    dim: DataFrame,
+    check: bool = True,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """``dim`` marked for broadcast when it passes the bound, else for a
+    sort-merge join (no broadcast on an unproven estimate)."""
+    if not check:
+        return dim
+    if fits_broadcast(dim, max_rows, max_bytes):
+        return F.broadcast(dim)
+    return dim.hint("shuffle_merge")
 
 
 def join_dimension(
@@ -27,16 +62,15 @@ def join_dimension(
     dim: DataFrame,
     on: Column,
     how: str = "left",
-    max_broadcast_rows: int | None = None,
+    check: bool = True,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``fact`` to a dimension.
 
-    By default the strategy is Spark's: a broadcast when the planner's size
-    estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks
-    with real sizes at run time), a shuffle join otherwise. With
-    ``max_broadcast_rows`` the dimension is counted first (bounded job) and
-    hinted for broadcast only when it has at most that many rows.
+    With ``check`` (default) the dimension is measured first and broadcast
+    only within ``MAX_BROADCAST_ROWS`` / ``MAX_BROADCAST_BYTES``; beyond that
+    the join is a sort-merge join, where AQE splits hot-key partitions.
+    ``check=False`` leaves the choice to Spark's planner (size estimates).
     """
-    if max_broadcast_rows is not None and fits_broadcast(dim, max_broadcast_rows):
-        dim = F.broadcast(dim)
-    return fact.join(dim, on, how)
+    return fact.join(bounded_side(dim, check, max_rows, max_bytes), on, how)

@@ -17,9 +17,8 @@ Two plans compute the same rows:
             join the per-key rows to the dimension and re-aggregate by name.
             The big side shrinks to one row per key before any join, and a key
             holding a third of all rows costs one partial row per task. The
-            join strategy of the small join is left to Spark's size-based
-            choice (broadcast under ``spark.sql.autoBroadcastJoinThreshold``,
-            re-checked by AQE on real sizes, sort-merge beyond). Default.
+            dimension is measured (rows and bytes) and broadcast only within
+            the bound, else sort-merge joined. Default.
 ``direct``  broadcast the dimension into the fact scan, then a partial/final
             aggregation by name. Used only after an explicit row-bound check
             of the dimension (one small job); raises when the check fails.
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import format_2dp
-from tidewater.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast
+from tidewater.operators.joins import MAX_BROADCAST_ROWS, bounded_side, fits_broadcast
 
 # Output column names of the summary (fixed values of the reference's output).
 NAME_COL = "AIRLINE_NAME"
@@ -74,7 +73,7 @@ def summary_aggregate(
         F.sum(measure).alias("_s"),
         F.count(measure).alias("_c"),
     )
-    joined = per_key.join(names, F.col("_key") == F.col("_dim_key"), "left")
+    joined = per_key.join(bounded_side(names), F.col("_key") == F.col("_dim_key"), "left")
     return joined.groupBy(NAME_COL).agg(
         F.sum("_n").alias(COUNT_COL),
         (F.sum("_s") / F.nullif(F.sum("_c"), F.lit(0))).cast("double").alias(AVG_COL),
