@@ -192,3 +192,17 @@ def test_processing_time_trigger(spark, scratch):
     finally:
         q.stop()
     assert rows == [("a", 1)]
+
+
+def test_single_watermark_option(spark, scratch):
+    root = scratch("single-wm")
+    _write_files(f"{root}/src", LATE_FILES)
+    counts, _ = word_counts(
+        spark.readStream.format("text").option("maxFilesPerTrigger", "1").load(f"{root}/src")
+    )
+    q = start_counts(counts, "csv", f"{root}/ckpt", path=f"{root}/out",
+                     trigger="available_now", state_partitions=2, single_watermark=True)
+    run_until_done(q)
+    assert _read(spark, f"{root}/out") == [("00:00", "foo", 1), ("00:03", "baz", 1),
+                                            ("00:03", "foo", 1)]
+    assert spark.conf.get("spark.sql.streaming.statefulOperator.allowMultiple") == "true"

@@ -119,6 +119,7 @@ def stream_counts(args: argparse.Namespace) -> None:
     query = start_counts(
         counts, args.sink, args.checkpoint, path=args.output, trigger=args.trigger,
         state_partitions=args.state_partitions, state_store=args.state_store,
+        single_watermark=args.single_watermark,
     )
     queries = [query]
     if rejects is not None:
@@ -217,6 +218,8 @@ def build_parser() -> argparse.ArgumentParser:
     w.add_argument("--output-partitions", type=int)
     w.add_argument("--state-partitions", type=int)
     w.add_argument("--state-store", choices=["rocksdb", "memory"], default="rocksdb")
+    w.add_argument("--single-watermark", action="store_true",
+                   help="drop late rows by the current watermark (Spark 3 rule)")
     w.set_defaults(func=stream_counts)
 
     u = sub.add_parser("publish", help="send a text file as timed keyed messages")

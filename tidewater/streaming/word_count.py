@@ -152,6 +152,7 @@ def start_counts(
     query_name: str | None = None,
     state_partitions: int | None = None,
     state_store: str | None = "rocksdb",
+    single_watermark: bool = False,
 ) -> StreamingQuery:
     """Start the counting query on ``sink``.
 
@@ -160,6 +161,10 @@ def start_counts(
     ``state_partitions`` and ``state_store`` (``"rocksdb"``, ``"memory"`` or
     ``None`` for the session's choice) only take effect when the checkpoint
     is new; a restarted query keeps what its checkpoint recorded.
+    ``single_watermark=True`` filters late rows with the same watermark that
+    evicts state (Spark 3 behaviour); by default Spark 4 filters with the
+    previous batch's watermark, so rows for a window closed in the batch
+    before still count.
     """
     output_mode = output_mode or DEFAULT_MODE.get(sink, "append")
     validate_sink(sink, output_mode, has_watermark)
@@ -189,6 +194,8 @@ def start_counts(
     settings = dict(STATE_STORES[state_store]) if state_store else {}
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if single_watermark:
+        settings["spark.sql.streaming.statefulOperator.allowMultiple"] = "false"
     with _query_conf(counts.sparkSession, settings):
         return writer.start()
 
