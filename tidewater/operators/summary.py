@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import format_2dp
-from tidewater.operators.joins import MAX_BROADCAST_ROWS, bounded_side, fits_broadcast
+from tidewater.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast
 
 # Output column names of the summary (fixed values of the reference's output).
 NAME_COL = "AIRLINE_NAME"
@@ -55,29 +55,40 @@ def summary_aggregate(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """``(NAME_COL, COUNT_COL, AVG_COL)`` with the numeric average."""
+    return _aggregate(
+        fact, dim, fact_key, measure, dim_key, dim_name, strategy, max_broadcast_rows
+    )[0]
+
+
+def _aggregate(fact, dim, fact_key, measure, dim_key, dim_name, strategy, max_broadcast_rows):
+    """(aggregate, whether the dimension passed the broadcast bound)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     names = dim.select(F.col(dim_key).alias("_dim_key"), F.col(dim_name).alias(NAME_COL))
+    small = fits_broadcast(names, max_broadcast_rows)
     if strategy == "direct":
-        if not fits_broadcast(names, max_broadcast_rows):
+        if not small:
             raise ValueError(
                 f"direct strategy needs a dimension of at most {max_broadcast_rows} rows"
             )
         facts = fact.select(F.col(fact_key).alias("_key"), F.col(measure).alias("_m"))
         joined = facts.join(F.broadcast(names), F.col("_key") == F.col("_dim_key"), "left")
-        return joined.groupBy(NAME_COL).agg(
+        agg = joined.groupBy(NAME_COL).agg(
             F.count("_key").alias(COUNT_COL), F.avg("_m").alias(AVG_COL)
         )
+        return agg, True
     per_key = fact.groupBy(F.col(fact_key).alias("_key")).agg(
         F.count(fact_key).alias("_n"),
         F.sum(measure).alias("_s"),
         F.count(measure).alias("_c"),
     )
-    joined = per_key.join(bounded_side(names), F.col("_key") == F.col("_dim_key"), "left")
-    return joined.groupBy(NAME_COL).agg(
+    right = F.broadcast(names) if small else names.hint("shuffle_merge")
+    joined = per_key.join(right, F.col("_key") == F.col("_dim_key"), "left")
+    agg = joined.groupBy(NAME_COL).agg(
         F.sum("_n").alias(COUNT_COL),
         (F.sum("_s") / F.nullif(F.sum("_c"), F.lit(0))).cast("double").alias(AVG_COL),
     )
+    return agg, small
 
 
 def dimension_summary(
@@ -94,15 +105,21 @@ def dimension_summary(
 ) -> DataFrame:
     """``(NAME_COL, COUNT_COL, AVG_TEXT_COL)``, ascending by the numeric average.
 
+    The result has one row per dimension name plus the null group. When the
+    dimension passed the broadcast bound that is at most
+    ``max_broadcast_rows + 1`` rows, and it is ordered inside one partition
+    after one small shuffle; otherwise it is range-partitioned and sorted.
     ``ordered=False`` leaves ordering to the sink (see
-    ``sinks.write_sorted_single_file``), which saves a range-partitioning pass.
-    ``output_names`` renames the three output columns.
+    ``sinks.write_sorted_single_file``). ``output_names`` renames the three
+    output columns.
     """
-    agg = summary_aggregate(
+    agg, bounded = _aggregate(
         fact, dim, fact_key, measure, dim_key, dim_name, strategy, max_broadcast_rows
-    ).withColumn(AVG_TEXT_COL, format_2dp(AVG_COL))
+    )
+    agg = agg.withColumn(AVG_TEXT_COL, format_2dp(AVG_COL))
     if ordered:
-        agg = agg.orderBy(F.col(AVG_COL).asc_nulls_first())
+        key = F.col(AVG_COL).asc_nulls_first()
+        agg = agg.repartition(1).sortWithinPartitions(key) if bounded else agg.orderBy(key)
     name, count, text = output_names
     return agg.select(
         F.col(NAME_COL).alias(name), F.col(COUNT_COL).alias(count),
