@@ -22,3 +22,16 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, name):
     res = compare(spark, SF_SMALL, [name], verbose=True)[name]
     assert res["ok"], res
+
+
+PYTHON_OPERATORS = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow",
+                    "FlatMapGroupsInPandas", "MapPartitions", "PythonUDF")
+STREAMING = {"stream_counts_complete", "stream_counts_append", "stream_late_rows",
+             "stream_restart"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - STREAMING))
+def test_plans_stay_in_the_jvm(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in PYTHON_OPERATORS if op in plan], plan
