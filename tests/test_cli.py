@@ -122,3 +122,15 @@ def test_kafka_cli_options(monkeypatch):
                                 max_offsets_per_trigger=args.max_offsets_per_trigger)
     assert opts["maxOffsetsPerTrigger"] == "500000"
     assert 'password="pw"' in opts["kafka.sasl.jaas.config"]
+
+
+def test_stream_counts_from_text_records(spark, scratch):
+    root = scratch("cli-text")
+    os.makedirs(f"{root}/src")
+    with open(f"{root}/src/a.txt", "w") as fh:
+        fh.write("2022-01-01T00:00:10+00:00 x y\n2022-01-01T00:05:00+00:00 z\n")
+    main(["stream-counts", "--source-path", f"{root}/src", "--source-format", "text",
+          "--checkpoint", f"{root}/ck", "--sink", "parquet", "--output", f"{root}/out",
+          "--trigger", "available_now"])
+    got = sorted((r.WORD, r.COUNT) for r in spark.read.parquet(f"{root}/out").collect())
+    assert got == [("x", 1), ("y", 1)]

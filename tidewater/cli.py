@@ -101,7 +101,13 @@ def stream_counts(args: argparse.Namespace) -> None:
     from tidewater.streaming.word_count import start_counts, word_counts
 
     spark = _session("stream-counts", args)
-    if args.source_path:
+    if args.source_path and args.source_format == "text":
+        # One record per line, already text: no envelope to decode.
+        reader = spark.readStream.format("text")
+        if args.max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(args.max_files_per_trigger))
+        records = reader.load(args.source_path)
+    elif args.source_path:
         envelope = read_envelope_stream(spark, args.source_path,
                                         args.max_files_per_trigger, args.source_format)
     else:
@@ -111,8 +117,10 @@ def stream_counts(args: argparse.Namespace) -> None:
             max_offsets_per_trigger=args.max_offsets_per_trigger,
         )
         envelope = read_kafka_stream(spark, opts)
+    if not (args.source_path and args.source_format == "text"):
+        records = decode_value(envelope)
     counts, rejects = word_counts(
-        decode_value(envelope), watermark=args.watermark, window=args.window,
+        records, watermark=args.watermark, window=args.window,
         record_format=args.record_format, mode=args.mode,
         output_partitions=args.output_partitions,
     )
@@ -204,7 +212,8 @@ def build_parser() -> argparse.ArgumentParser:
     w.add_argument("--max-offsets-per-trigger", type=int,
                    help="bound each micro-batch (records across all partitions)")
     w.add_argument("--source-path", help="read envelope files instead of Kafka")
-    w.add_argument("--source-format", default="parquet")
+    w.add_argument("--source-format", default="parquet",
+                   help="envelope files (parquet, json, ...) or text: one record per line")
     w.add_argument("--max-files-per-trigger", type=int)
     w.add_argument("--checkpoint", required=True)
     w.add_argument("--sink", choices=["console", "csv", "parquet", "snapshot"], required=True)
