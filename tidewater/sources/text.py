@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import split_lines
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -17,19 +16,6 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def numbered_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``(id, line_no, line)`` for every line of every document.
-
-    The line number keeps the corpus order (document, then line) that a
-    sequential reader of the concatenated text would see.
-    """
-    return docs.select(
-        F.col(id_col), F.posexplode(split_lines(text_col)).alias("line_no", "line")
-    )
-
-
 def read_lines_in_order(spark: SparkSession, path: str) -> DataFrame:
     """Lines with columns that sort them in file order: ``(file, block, row)``.
 
