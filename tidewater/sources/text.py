@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files as a ``value`` column.
 
