@@ -171,7 +171,7 @@ def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_infer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = S.table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders-csv")
-    orders.write.option("header", "true").csv(path)
+    spread(orders).write.option("header", "true").csv(path)
     inferred = read_csv(spark, path, infer=True)
     return inferred.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema.fields]
