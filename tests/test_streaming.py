@@ -206,3 +206,15 @@ def test_single_watermark_option(spark, scratch):
     assert _read(spark, f"{root}/out") == [("00:00", "foo", 1), ("00:03", "baz", 1),
                                             ("00:03", "foo", 1)]
     assert spark.conf.get("spark.sql.streaming.statefulOperator.allowMultiple") == "true"
+
+
+def test_sliding_windows(spark):
+    from tidewater.functions.records import explode_words, parse_records
+    from tidewater.operators.windows import windowed_counts
+
+    rows = [("2022-01-01T00:00:10+00:00 a",), ("2022-01-01T00:00:50+00:00 a",)]
+    words = explode_words(parse_records(spark.createDataFrame(rows, "value string")))
+    counts = windowed_counts(words, size="1 minute", slide="30 seconds")
+    got = sorted((r.START_TIME.isoformat(), r.COUNT) for r in counts.collect())
+    assert got == [("2021-12-31T23:59:30", 1), ("2022-01-01T00:00:00", 2),
+                   ("2022-01-01T00:00:30", 1)]

@@ -120,7 +120,7 @@ def stream_counts(args: argparse.Namespace) -> None:
     if not (args.source_path and args.source_format == "text"):
         records = decode_value(envelope)
     counts, rejects = word_counts(
-        records, watermark=args.watermark, window=args.window,
+        records, watermark=args.watermark, window=args.window, slide=args.slide,
         record_format=args.record_format, mode=args.mode,
         output_partitions=args.output_partitions,
     )
@@ -221,6 +221,7 @@ def build_parser() -> argparse.ArgumentParser:
     w.add_argument("--trigger", help='"available_now" or an interval like "1 minute"')
     w.add_argument("--watermark", default="1 minute")
     w.add_argument("--window", default="1 minute")
+    w.add_argument("--slide", help="shorter than --window for sliding windows")
     w.add_argument("--record-format", choices=["fixed", "first_space"], default="fixed")
     w.add_argument("--mode", choices=["failfast", "quarantine"], default="failfast")
     w.add_argument("--rejects-output")
