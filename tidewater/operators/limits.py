@@ -24,8 +24,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows the final merge of a plain top-n may receive (partitions x n).
-MAX_MERGE_ROWS = 5_000_000
+# Rows the final merge of a plain top-n may receive (partitions x n): they are
+# all shuffled into that one task and streamed through an n-row heap.
+MAX_MERGE_ROWS = 2_000_000
 # Expected sampled rows among the first n (sample rate HITS / n).
 HITS = 20
 SAMPLE_SEED = 20240101
