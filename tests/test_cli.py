@@ -78,6 +78,8 @@ def test_publish_then_stream_counts(spark, scratch):
         ["stream-counts", "--checkpoint", "c", "--sink", "console", "--source-path", "p",
          "--mode", "quarantine"],
         ["publish", "--input", "x"],
+        ["publish", "--input", "x", "--bootstrap-servers", "h:1", "--topic", "t"],
+        ["publish", "--input", "x", "--output", "o", "--iterations", "0"],
     ],
 )
 def test_cli_validation(argv):

@@ -263,6 +263,10 @@ def validate(args: argparse.Namespace) -> None:
     if args.command == "publish" and not args.output:
         if not (args.bootstrap_servers and args.topic):
             raise SystemExit("give --bootstrap-servers and --topic, or --output")
+        if not (args.username and args.password_env):
+            raise SystemExit("publishing to Kafka needs --username and --password-env")
+    if args.command == "publish" and (args.limit < 0 or args.iterations < 1):
+        raise SystemExit("--limit must be >= 0 and --iterations >= 1")
 
 
 def main(argv: list[str] | None = None) -> None:
