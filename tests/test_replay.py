@@ -36,7 +36,7 @@ def test_replay_stamps_and_counts(spark):
     timed = replay(lines, 2, "2024-01-01 00:00:00")
     counts = sorted((r.iteration, r.time_key.isoformat(), r.lines_sent)
                     for r in replay_counts(timed).collect())
-    assert counts == [(0, "2024-01-01T00:00:00", 3), (1, "2024-01-01T00:01:00", 3)]
+    assert counts == [(1, "2024-01-01T00:00:00", 3), (2, "2024-01-01T00:01:00", 3)]
 
 
 def test_message_format_and_consumer_roundtrip(spark):

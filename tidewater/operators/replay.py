@@ -3,7 +3,7 @@
 The corpus is read line by line in (document, line) order; each line is cut
 into words, lines without words are skipped, the first ``limit`` remaining
 lines form one iteration, and every iteration is sent under its own time key
-(``base + iteration * cadence``). A message is ``"<ISO time> <words>"`` with
+(``base + (iteration - 1) * cadence``, iterations numbered from 1). A message is ``"<ISO time> <words>"`` with
 the ISO time (six fraction digits) as its key, both UTF-8 encoded.
 """
 
@@ -64,7 +64,8 @@ def replay(
     cadence_seconds: int = CADENCE_SECONDS,
     bounded_rows: int | None = None,
 ) -> DataFrame:
-    """Every line once per iteration, stamped ``base + iteration * cadence``.
+    """Every line once per iteration (numbered from 1), stamped
+    ``base + (iteration - 1) * cadence``.
 
     ``bounded_rows`` declares that ``lines`` is a bounded result (a capped
     top-n); it is then spread over the task slots before the iterations are
@@ -80,10 +81,10 @@ def replay(
         lines = spread_bounded(lines, bounded_rows)
     base = F.lit(base_time).cast("timestamp")
     return lines.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration")
+        "*", F.explode(F.sequence(F.lit(1), F.lit(iterations))).alias("iteration")
     ).withColumn(
         "time_key",
-        base + F.make_dt_interval(secs=F.col("iteration") * F.lit(cadence_seconds)),
+        base + F.make_dt_interval(secs=(F.col("iteration") - 1) * F.lit(cadence_seconds)),
     )
 
 

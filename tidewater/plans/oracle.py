@@ -124,10 +124,10 @@ capped AS (
   SELECT * FROM token_text WHERE n_tokens > 0 ORDER BY doc_id, line_no LIMIT {_CAP}
 ),
 iterations AS (
-  SELECT *, unnest(range(0, {_ITERATIONS})) AS iteration FROM capped
+  SELECT *, unnest(range(1, {_ITERATIONS} + 1)) AS iteration FROM capped
 ),
 replayed AS (
-  SELECT *, {_BASE} + iteration * INTERVAL 60 SECOND AS tk FROM iterations
+  SELECT *, {_BASE} + (iteration - 1) * INTERVAL 60 SECOND AS tk FROM iterations
 )"""
 
 ORACLE_SQL: dict[str, str] = {
