@@ -2,9 +2,10 @@
 
 The corpus is read line by line in (document, line) order; each line is cut
 into words, lines without words are skipped, the first ``limit`` remaining
-lines form one iteration, and every iteration is sent under its own time key
-(``base + (iteration - 1) * cadence``, iterations numbered from 1). A message is ``"<ISO time> <words>"`` with
-the ISO time (six fraction digits) as its key, both UTF-8 encoded.
+lines form one iteration, and every iteration (numbered from 1) is sent under
+its own time key ``base + (iteration - 1) * cadence``. A message is
+``"<ISO time> <words>"`` with the ISO time (six fraction digits) as its key,
+both UTF-8 encoded.
 """
 
 from __future__ import annotations
