@@ -90,3 +90,19 @@ def test_format_2dp_matches_decimal_half_even(spark, values):
     got = {r.i: r.t for r in df.select("i", format_2dp("x").alias("t")).collect()}
     for i, v in enumerate(values):
         assert got[i] == python_format_2dp(float(v)), v
+
+
+@settings(max_examples=8, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.integers(0, 40), st.integers(0, 10**6)), min_size=0, max_size=300,
+             unique=True),
+    st.integers(0, 320),
+    st.integers(1, 12),
+)
+def test_first_rows_matches_brute_force(spark, rows, n, parts):
+    from tidewater.operators.limits import first_rows
+
+    df = spark.createDataFrame(rows, "k long, s long").repartition(parts)
+    got = first_rows(df, ["k", "s"], n, max_merge_rows=1)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(rows)[:n]
