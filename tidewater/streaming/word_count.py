@@ -71,8 +71,10 @@ def word_counts(
     """(counts, rejects). ``rejects`` is ``None`` unless ``mode="quarantine"``.
 
     ``lines`` is a batch or streaming frame with a string ``value_col``.
-    ``output_partitions`` narrows the sink side (``coalesce``), e.g. one file
-    per trigger; it never narrows the aggregation itself.
+    ``output_partitions`` sets how many files each trigger writes (the
+    reference used one). It shuffles only the emitted rows
+    (``repartition``); a ``coalesce`` would instead fold the state-store stage
+    into that many tasks.
     """
     parsed = parse_records(lines, value_col, record_format, header_chars, mode)
     rejects = None
@@ -83,7 +85,7 @@ def word_counts(
         words = words.withWatermark("timestamp", watermark)
     counts = windowed_counts(words, size=window, slide=slide)
     if output_partitions:
-        counts = counts.coalesce(output_partitions)
+        counts = counts.repartition(output_partitions)
     return counts, rejects
 
 
