@@ -16,10 +16,10 @@ Sinks and output modes (checked before ``start``):
 
 Late rows: a row whose window already closed (window end at or before the
 watermark) is dropped by the state operator. On Spark 4 the late-row filter
-uses the previous batch's watermark while eviction uses the current one; set
-``spark.sql.streaming.statefulOperator.allowMultiple=false`` for a single
-watermark. The state partition count is fixed when a checkpoint is first
-used; pass ``state_partitions`` on the first start to choose it.
+uses the previous batch's watermark while eviction uses the current one;
+``start_counts(single_watermark=True)`` uses one watermark for both. The
+state partition count and state store are fixed when a checkpoint is first
+used; pass ``state_partitions`` / ``state_store`` on the first start.
 """
 
 from __future__ import annotations
