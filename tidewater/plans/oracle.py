@@ -2,7 +2,8 @@
 tables (views ``lineitem``, ``supplier``, ``events``, ``documents`` ...).
 
 Column names and types match the Spark side; timestamps are plain
-(zone-less) TIMESTAMPs.
+(zone-less) TIMESTAMPs. Written for DuckDB 2.0 (``lambda x: ...`` syntax,
+RE2 regular expressions, where ``$`` is the end of the text).
 """
 
 from __future__ import annotations
