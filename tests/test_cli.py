@@ -117,12 +117,14 @@ def test_kafka_cli_options(monkeypatch):
     args = build_parser().parse_args(
         ["stream-counts", "--bootstrap-servers", "h:9092", "--topics", "t", "--username", "u",
          "--password-env", "TW_KAFKA_PW", "--checkpoint", "c", "--sink", "console",
-         "--max-offsets-per-trigger", "500000"])
+         "--max-offsets-per-trigger", "500000", "--min-partitions", "64"])
     validate(args)
     opts = kafka_source_options(args.bootstrap_servers, args.topics, kafka_auth(args),
                                 starting_offsets=args.starting_offsets,
-                                max_offsets_per_trigger=args.max_offsets_per_trigger)
+                                max_offsets_per_trigger=args.max_offsets_per_trigger,
+                                min_partitions=args.min_partitions)
     assert opts["maxOffsetsPerTrigger"] == "500000"
+    assert opts["minPartitions"] == "64"
     assert 'password="pw"' in opts["kafka.sasl.jaas.config"]
 
 

@@ -115,6 +115,7 @@ def stream_counts(args: argparse.Namespace) -> None:
             args.bootstrap_servers, args.topics, kafka_auth(args),
             starting_offsets=args.starting_offsets,
             max_offsets_per_trigger=args.max_offsets_per_trigger,
+            min_partitions=args.min_partitions,
         )
         envelope = read_kafka_stream(spark, opts)
     if not (args.source_path and args.source_format == "text"):
@@ -211,6 +212,8 @@ def build_parser() -> argparse.ArgumentParser:
     w.add_argument("--starting-offsets", default="latest")
     w.add_argument("--max-offsets-per-trigger", type=int,
                    help="bound each micro-batch (records across all partitions)")
+    w.add_argument("--min-partitions", type=int,
+                   help="split hot topic partitions over at least this many tasks")
     w.add_argument("--source-path", help="read envelope files instead of Kafka")
     w.add_argument("--source-format", default="parquet",
                    help="envelope files (parquet, json, ...) or text: one record per line")

@@ -72,8 +72,14 @@ def kafka_source_options(
     starting_offsets: str = STARTING_OFFSETS,
     max_partition_fetch_bytes: int = MAX_PARTITION_FETCH_BYTES,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Options for ``spark.readStream.format("kafka")``."""
+    """Options for ``spark.readStream.format("kafka")``.
+
+    ``min_partitions`` splits large offset ranges of one topic partition over
+    several tasks: messages keyed by one time key all land in one (hot) topic
+    partition, which would otherwise be read by a single task.
+    """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topics,
@@ -82,6 +88,8 @@ def kafka_source_options(
     }
     if max_offsets_per_trigger is not None:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions is not None:
+        opts["minPartitions"] = str(min_partitions)
     if auth is not None:
         opts["kafka.security.protocol"] = SECURITY_PROTOCOL
         opts.update(kafka_auth_options(auth))
