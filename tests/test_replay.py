@@ -56,3 +56,13 @@ def test_replay_plan_has_no_join(spark):
     lines = nonempty_lines(corpus_tokens(_docs(spark)))
     plan = replay(lines, 3, "2024-01-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Python" not in plan
+
+
+def test_line_tokens_tokenise_once(spark):
+    from tidewater.operators.replay import line_tokens
+
+    df = spark.createDataFrame([(1, "a b"), (2, "...")], "i int, value string")
+    out = nonempty_lines(line_tokens(df, ["i"]))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1
+    assert [(r.i, r.tokens) for r in out.collect()] == [(1, ["a", "b"])]

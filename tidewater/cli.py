@@ -145,17 +145,20 @@ def stream_counts(args: argparse.Namespace) -> None:
 # --- publish -----------------------------------------------------------------------
 
 def publish(args: argparse.Namespace) -> None:
-    from tidewater.functions.text import tokenize
-    from tidewater.operators.replay import capped_lines, replay, to_messages
+    from tidewater.operators.replay import (
+        capped_lines,
+        line_tokens,
+        nonempty_lines,
+        replay,
+        to_messages,
+    )
     from tidewater.sinks.kafka import kafka_sink_options, write_kafka
     from tidewater.sources.kafka import kafka_auth_options, PlainAuth
     from tidewater.sources.text import read_lines_in_order
 
     spark = _session("publish", args)
     order = ("file", "block", "row")
-    lines = read_lines_in_order(spark, args.input).select(
-        *order, tokenize("value").alias("tokens")
-    ).filter(F.size("tokens") > 0)
+    lines = nonempty_lines(line_tokens(read_lines_in_order(spark, args.input), list(order)))
     capped = capped_lines(lines, args.limit, order)
     base = args.base_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     timed = replay(capped, args.iterations, base, args.cadence_seconds,

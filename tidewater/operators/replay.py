@@ -39,6 +39,18 @@ def corpus_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ).withColumn("n_tokens", F.size("tokens"))
 
 
+def line_tokens(lines: DataFrame, keep: list[str], text_col: str = "value") -> DataFrame:
+    """``(keep..., tokens, n_tokens)`` for one line per row.
+
+    The tokens come out of a one-element generator, so a later filter on
+    ``n_tokens`` reads them; a plain projection would be inlined into the
+    pushed-down filter and tokenise every line twice.
+    """
+    return lines.select(
+        *keep, F.explode(F.array(tokenize(text_col))).alias("tokens")
+    ).withColumn("n_tokens", F.size("tokens"))
+
+
 def nonempty_lines(tokens: DataFrame) -> DataFrame:
     """Lines with at least one word."""
     return tokens.filter(F.col("n_tokens") > 0)
