@@ -224,3 +224,15 @@ def test_sliding_windows(spark):
     got = sorted((r.START_TIME.isoformat(), r.COUNT) for r in counts.collect())
     assert got == [("2021-12-31T23:59:30", 1), ("2022-01-01T00:00:00", 2),
                    ("2022-01-01T00:00:30", 1)]
+
+
+def test_retention_settings_are_query_scoped(spark, scratch):
+    key = "spark.sql.streaming.minBatchesToRetain"
+    before = spark.conf.get(key, None)
+    root = scratch("retain")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a"]])
+    counts, _ = word_counts(spark.readStream.format("text").load(f"{root}/src"))
+    q = start_counts(counts, "parquet", f"{root}/ckpt", path=f"{root}/out",
+                     trigger="available_now")
+    run_until_done(q)
+    assert spark.conf.get(key, None) == before

@@ -37,6 +37,7 @@ from tidewater.functions.records import (
     split_malformed,
 )
 from tidewater.operators.windows import WINDOW_SIZE, windowed_counts
+from tidewater.session import STREAMING_CONF
 
 # Fixed values of the reference stream: 1-minute watermark delay and a
 # 1-minute processing-time trigger for the CSV sink.
@@ -193,7 +194,8 @@ def start_counts(
         writer = writer.foreachBatch(_overwrite_snapshot(path))
     elif sink == "memory":
         writer = writer.format("memory")
-    settings = dict(STATE_STORES[state_store]) if state_store else {}
+    settings = dict(STREAMING_CONF)  # retention and maintenance, per query
+    settings.update(STATE_STORES[state_store] if state_store else {})
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     if single_watermark:
