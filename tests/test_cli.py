@@ -13,12 +13,13 @@ from tidewater.plans.queries import COUNTS_SCHEMA, delay_summary
 from conftest import SF_SMALL
 
 
-def test_delay_summary_cli_matches_query(spark, scratch):
+@pytest.mark.parametrize("extra", [[], ["--infer-schema"], ["--strategy", "direct"]])
+def test_delay_summary_cli_matches_query(spark, scratch, extra):
     root = scratch("cli-etl")
     fact = S.fact_table(spark, SF_SMALL).withColumn("FLIGHT_NUMBER", F.col("l_orderkey"))
     fact.write.option("header", "true").csv(f"{root}/flights")
     S.dimension_table(spark, SF_SMALL).write.option("header", "true").csv(f"{root}/airlines")
-    main(["delay-summary", f"{root}/airlines", f"{root}/flights", f"{root}/out"])
+    main(["delay-summary", f"{root}/airlines", f"{root}/flights", f"{root}/out", *extra])
     files = glob.glob(f"{root}/out/part-*")
     assert len(files) == 1
     got = [json.loads(line) for line in open(files[0])]
