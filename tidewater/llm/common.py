@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,7 +12,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidewater.session import scratch_path
 
 
+#: The folder that holds the package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import the package wherever the driver was started.
+
+    On a cluster without this path, ship the package (``--py-files``).
+    """
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = ":".join([*paths, ROOT])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,6 +59,7 @@ def column(df: DataFrame, name: str) -> Column:
 
 def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, text)`` of ``docs``, a null text as the empty one."""
+    find_package(docs.sparkSession)
     return docs.select(
         column(docs, id_col).alias("id"),
         F.coalesce(column(docs, text_col).cast("string"), F.lit("")).alias("text"),

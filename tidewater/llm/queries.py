@@ -4,11 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewater.llm import packing, token_files
+from tidewater.llm import embeddings, line_dedup, packing, simhash, token_files
 from tidewater.llm.common import read_table
 from tidewater.session import scratch_path
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped", line_dedup.sha256_hex("text").alias("kept_sha256"))
+
+
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_components(
+        read_table(spark, sf_dir, "embeddings"), threshold=0.9).withColumnRenamed("id", "vec_id")
+
+
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.simhash_components(read_table(spark, sf_dir, "documents"), words=4, reach=4)
+    return out.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "tokens")
     token_files.write_token_files(read_table(spark, sf_dir, "documents"), out)
@@ -22,6 +37,9 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_files": op5_token_files,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
