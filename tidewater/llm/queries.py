@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewater.llm import embeddings, line_dedup, packing, simhash, token_files
+from tidewater.llm import (
+    embeddings, line_dedup, packing, simhash, substring_dedup, token_counts, token_files, topk, toxicity,
+)
 from tidewater.llm.common import read_table
 from tidewater.session import scratch_path
 
@@ -31,17 +33,45 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), min_words=25)
+    return out.select(
+        "doc_id", F.size("removed").alias("n_removed"),
+        F.expr("aggregate(removed, 0L, (n, x) -> n + x.end - x.start)").alias("removed_chars"),
+        F.expr("array_sort(array_distinct(transform(removed, x -> x.first_id)))").alias("first_doc_ids"),
+        "removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(read_table(spark, sf_dir, "documents"))
     return packing.pack(pieces).withColumnRenamed("id", "doc_id")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.expr("id % 50 = 0"), k=5)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit_toxicity(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    scored = toxicity.score_toxicity(docs, model, threshold=0.3, keep=("doc_id",))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_files": op5_token_files,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_token_counts": op8_token_counts,
+    "op9_exact_top_k": op9_exact_top_k,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
