@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
-import numpy as np
-
-#: Chunks kept a worker; beyond it the cache starts anew.
-CACHE_CHUNKS = 600_000
+#: Entries kept a worker; beyond it a cache starts anew.
+CACHE_CHUNKS = 400_000
+CACHE_WORDS = 800_000
 #: A blank after white space, and the places to cut a text that has one.
 _ODD_BLANK = re.compile(r"\s ")
 _CUTS = re.compile(r"(?<=\S)(?=[ \t\n])")
+#: Latin letters, closing marks, and the same again after a line end.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*))?")
 
 
 def public_path(name: str) -> str:
@@ -20,53 +22,90 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others
+    for the code points from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Words(dict):
+    """Ids of words in the byte-level alphabet, by the library's model."""
+
+    def __init__(self, model, most):
+        super().__init__()
+        self._tokenize, self._most = model.tokenize, most
+
+    def __missing__(self, word):
+        if len(self) >= self._most:
+            self.clear()
+        ids = self[word] = array("I", [t.id for t in self._tokenize(word)]).tobytes()
+        return ids
+
+
+class _Chunks(dict):
+    """Ids of a chunk with a blank before it."""
+
+    def __init__(self, encode, most):
+        super().__init__()
+        self._encode, self._most = encode, most
+
+    def __missing__(self, chunk):
+        if len(self) >= self._most:
+            self.clear()
+        ids = self[chunk] = self._encode(chunk, " ")
+        return ids
+
+
 class CachedTokenizer:
-    """Ids of texts as bytes, little-endian unsigned 32-bit.
-
-    The byte-level BPE splits a text by a fixed pattern first, and no alternative
-    of that pattern goes from a character that isn't white space on to white
-    space. So a text can be cut before each blank that follows such a character,
-    and the ids of the text are those of its chunks in turn. Chunks repeat far
-    more often than texts, so their ids are kept; new ones go to the library in
-    one call a text batch. Special tokens in a text are ordinary text.
+    """Ids of texts as bytes, unsigned 32-bit in this machine's (little) order.
+
+    The byte-level BPE splits a text into words by a fixed pattern first, and no
+    alternative of that pattern goes from a character that isn't white space on
+    to white space. So a text can be cut before each blank that follows such a
+    character, and the ids of the text are those of its chunks in turn. Chunks
+    repeat far more often than texts, so their ids are kept, and so are those of
+    their words. The pattern cuts a chunk of Latin letters and closing marks
+    before the marks and around a line end; every other chunk is split by the
+    library. Special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
+    def __init__(self, path: str, chunks: int = CACHE_CHUNKS, words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._lib = Tokenizer.from_file(path)
-        self._lib.encode_special_tokens = True
-        self._most = cache_chunks
-        self._ids: dict[str, bytes] = {}
+        lib = Tokenizer.from_file(path)
+        self._split = lib.pre_tokenizer.pre_tokenize_str
+        self._words = _Words(lib.model, words)
+        self._chunks = _Chunks(self._encode, chunks)
+        self._letters = _byte_letters()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        ids, cut = self._ids, [_chunks(t) for t in texts]
-        new = list({c for chunks in cut for c in chunks if c not in ids})
-        if len(ids) + len(new) > self._most and ids:
-            ids.clear()
-            new = list({c for chunks in cut for c in chunks})
-        for start in range(0, len(new), 10_000):
-            part = new[start:start + 10_000]
-            out = self._lib.encode_batch_fast(part, add_special_tokens=False)
-            lists = [e.ids for e in out]
-            ends = np.cumsum([len(x) for x in lists]).tolist()
-            flat = np.array([i for x in lists for i in x], dtype="<u4").tobytes()
-            at = 0
-            for chunk, end in zip(part, ends):
-                ids[chunk] = flat[4 * at:4 * end]
-                at = end
-        get = ids.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in cut]
-
-
-def _chunks(text: str) -> list[str]:
-    if not text:
-        return []
-    if _ODD_BLANK.search(text):
-        return _CUTS.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + w for w in rest]]
+        return [self._text(t) for t in texts]
+
+    def _text(self, text: str) -> bytes:
+        if _ODD_BLANK.search(text):
+            return b"".join([self._encode(c) for c in _CUTS.split(text)])
+        first, *rest = text.split(" ")
+        return self._encode(first) + b"".join(map(self._chunks.__getitem__, rest))
+
+    def _encode(self, chunk: str, before: str = "") -> bytes:
+        words, plain = self._words, _PLAIN.fullmatch(chunk)
+        if plain is None:
+            return b"".join([words[w] for w, _ in self._split(before + chunk)])
+        first, marks, second, more = plain.groups()
+        if not chunk.isascii():
+            first = first.encode().decode("latin-1").translate(self._letters)
+            second = second and second.encode().decode("latin-1").translate(self._letters)
+        ids = words["Ġ" + first if before else first]
+        if marks:
+            ids += words[marks]
+        if second:
+            ids += words["Ċ"] + words[second]
+            if more:
+                ids += words[more]
+        return ids
 
 
 _LOADED: dict[str, CachedTokenizer] = {}
