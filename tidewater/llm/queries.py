@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.llm import (
-    embeddings, line_dedup, packing, simhash, substring_dedup, token_counts, token_files, topk, toxicity,
+    embeddings, line_dedup, mixing, packing, simhash, substring_dedup, token_counts, token_files, topk, toxicity,
 )
 from tidewater.llm.common import read_table
 from tidewater.session import scratch_path
@@ -16,6 +16,17 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", line_dedup.sha256_hex("text").alias("kept_sha256"))
 
 
+#: Shares of the expected tokens by domain.
+TARGETS = {"clean": 0.80, "low": 0.15, "toxic": 0.05}
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    mixed = mixing.mix(docs.select("doc_id", "text"), mixing.label_domains(labels), TARGETS)
+    shares = [(F.element_at("shares", i + 1) / mixing.GRAIN).alias(f"p_{d}") for i, d in enumerate(TARGETS)]
+    return mixed.select("doc_id", F.col("tokens").alias("n_tokens"), *shares, "rate", "copies")
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_components(
         read_table(spark, sf_dir, "embeddings"), threshold=0.9).withColumnRenamed("id", "vec_id")
@@ -64,6 +75,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_mixing": op2_mixing,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_files": op5_token_files,

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidewater.llm.blocks import dense_star, search_blocks
-from tidewater.llm.common import id_text, materialise, raw_texts, schema_of, stable_sample
+from tidewater.llm.common import column, fresh_names, id_text, materialise, raw_texts, schema_of, stable_sample
 from tidewater.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -249,6 +249,24 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id")))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
+             reach: int = MAX_BITS) -> DataFrame:
+    """One document of each linked group, the one with the smallest id, with its columns.
+
+    Of rows that share that id one stays, that with the smallest hash over all
+    columns. Rows without an id link with nothing and all stay.
+    """
+    (key,) = fresh_names(docs, "kept_id")
+    kept = (simhash_components(docs, id_col, text_col, words, reach).where("id = component_id")
+            .select(F.col("id").alias(key)).distinct())
+    here = column(docs, id_col).cast("bigint")
+    rows = docs.withColumn(key, here).join(kept, key, "left_semi")
+    fields = [column(rows, c) for c in docs.columns]
+    one = rows.groupBy(key).agg(F.min_by(F.struct(*fields), F.xxhash64(*fields)).alias("row"))
+    one = one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return one.union(docs.where(here.isNull()))
+
+
 def hex_fingerprint(fp: str = "fp"):
     """The unsigned fingerprint as 16 lower-case hex digits."""
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")

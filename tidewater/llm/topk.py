@@ -135,8 +135,8 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     members = rows.select(F.expr(f"pmod(xxhash64(id), {blocks})").alias("block"),
                           F.lit(0).cast("tinyint").alias("kind"), "id", "v")
     # Every query is set against every block of candidates.
-    queries = rows.where(is_query).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("block"),
-                                          F.lit(1).cast("tinyint").alias("kind"), "id", "v")
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))
+    queries = rows.where(is_query).select(F.explode(every).alias("block"), F.lit(1).cast("tinyint").alias("kind"), "id", "v")
     schema = schema_of(query_id="bigint", vec_id="bigint", score="bigint")
     found = search_blocks(members.union(queries), blocks, lambda batches: _Block(batches, width, k), schema)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

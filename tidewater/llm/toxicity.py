@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewater.llm.common import column, id_text, raw_texts, schema_of, stable_sample
+from tidewater.llm.common import column, fresh_names, id_text, raw_texts, schema_of, stable_sample
 
 #: Labelled documents a class that the model is fitted on, at most.
 MAX_LABELLED = 10_000
@@ -249,17 +249,19 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = THRESHOLD,
                    keep: tuple[str, ...] = ()) -> DataFrame:
-    """``keep`` columns of ``docs``, ``score``, ``predicted`` and ``passages``.
+    """``keep`` columns of ``docs``, ``score``, ``predicted`` and ``passages``
+    (new names if a kept column has one of these).
 
     A null or empty text has no evidence and gets the score of such texts.
     ``passages`` are the significant segments as first and last word numbers
     (words are runs of letters) and their score.
     """
     rows = docs.select(*[column(docs, c) for c in keep],
-                       F.coalesce(column(docs, text_col).cast("string"), F.lit("")).alias("__text"))
-    schema = rows.drop("__text").schema
-    for name, kind in (("score", "double"), ("predicted", "int"),
-                       ("passages", "array<struct<first:int,last:int,score:double>>")):
+                       F.coalesce(column(docs, text_col).cast("string"), F.lit("")))
+    rows = rows.toDF(*keep, *fresh_names(docs.select(*[column(docs, c) for c in keep]), "whole_text"))
+    schema = rows.select(*[column(rows, c) for c in keep]).schema
+    names = fresh_names(rows, "score", "predicted", "passages")
+    for name, kind in zip(names, ("double", "int", "array<struct<first:int,last:int,score:double>>")):
         schema = schema.add(schema_of(**{name: kind})[0])
 
     def scored(batches):
@@ -280,6 +282,14 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     return rows.mapInArrow(scored, schema)
 
 
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
+               threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the model does not reject, with their columns."""
+    scored = score_toxicity(docs, model, text_col, threshold, tuple(docs.columns))
+    predicted = scored.columns[len(docs.columns) + 1]
+    return scored.where(F.col(predicted) == 0).select(*[column(scored, c) for c in docs.columns])
+
+
 def held_out(id_col: Column) -> Column:
     """True for the quarter of ids that is never learned from."""
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(False))
