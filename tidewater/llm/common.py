@@ -97,9 +97,17 @@ def cut(items: list, sizes: Iterable[int], limit: int) -> Iterator[slice]:
         yield slice(start, len(items))
 
 
-def stable_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
-    """At most ``rows`` rows, those with the smallest hash of ``key``."""
-    return df.orderBy(F.xxhash64(F.lit("sample"), key), key).limit(rows)
+def stable_sample(df: DataFrame, key: Column, rows: int, total: int | None = None) -> DataFrame:
+    """At most ``rows`` rows, those with the smallest hash of ``key``.
+
+    A bound on the hash, from the count of all rows, leaves about twice as many
+    rows to sort, so what is gathered does not grow with the input.
+    """
+    total = df.count() if total is None else total
+    draw, grain = F.xxhash64(F.lit("sample"), key), 1 << 40
+    if total > 4 * rows:
+        df = df.where(F.pmod(draw, F.lit(grain)) < max(1, 2 * rows * grain // total))
+    return df.orderBy(F.pmod(draw, F.lit(grain)), key).limit(rows)
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:

@@ -145,7 +145,7 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
 
 
 def _found(distinct, n, width, threshold, deviations):
-    sample = stable_sample(distinct.select("rep", "v"), F.col("rep"), SAMPLE).collect()
+    sample = stable_sample(distinct.select("rep", "v"), F.col("rep"), SAMPLE, n).collect()
     k = max(1, min(MAX_CELLS, len(sample) // 16, round(math.sqrt(n) / 2)))
     x = np.zeros((len(sample), width))
     for i, r in enumerate(sample):

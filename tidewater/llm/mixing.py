@@ -30,9 +30,9 @@ BUCKETS = 4_096
 EVIDENCE_WORDS = 30
 GRAIN = 100
 PULL = 1e-3
-MAX_STEPS = 60
+MAX_STEPS = 40
 #: The descent ends when the totals move by less than this share of the budget.
-TOLERANCE = 1e-6
+TOLERANCE = 1e-5
 _SMOOTH = 0.5
 
 

@@ -190,7 +190,7 @@ def hamming_links(distinct: DataFrame, reach: int = MAX_BITS) -> DataFrame:
     within ``reach`` bits, directly or over other links; ``distinct`` has one
     row ``(fp, rep)`` per fingerprint and is read several times."""
     n = distinct.count()
-    sample = np.array([r.fp for r in stable_sample(distinct.select("fp"), F.col("fp"), SAMPLE).collect()],
+    sample = np.array([r.fp for r in stable_sample(distinct.select("fp"), F.col("fp"), SAMPLE, n).collect()],
                       dtype=np.int64).view(np.uint64)
     leaf = max(64, round(BLOCK_MEMBERS * len(sample) / max(1, n)))
     tree = VantageTree(sample, leaf, reach)
