@@ -69,26 +69,33 @@ def usable(vector) -> F.Column:
     return F.coalesce(vector.isNotNull() & ~bad & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
+#: Rows of a block search: links (a, b), and links counted for a vector (a, key, n).
+_LINK_NAMES = ["a", "b", "key", "n"]
+_LINKS = "a bigint, b bigint, key bigint, n bigint"
+
+
 class _Block:
     def __init__(self, batches, width, threshold):
         rows = pa.Table.from_batches(batches).combine_chunks()
         self.reps = rows.column("rep").to_numpy()
         self.copies = rows.column("copies").to_numpy()
-        self.x = np.concatenate([_unit(_matrix(b.column(4), width)) for b in batches])
+        self.keys = rows.column("key").to_numpy()
+        self.x = np.concatenate([_unit(_matrix(b.column(5), width)) for b in batches])
         self.width, self.threshold = width, threshold
         self.seen = np.zeros(len(self.reps), np.int64)
 
     def own(self):
-        yield from self._compare(self.reps, self.copies, self.x, own=True)
+        yield from self._compare(self.reps, self.keys, self.copies, self.x, own=True)
 
     def links(self, b):
-        yield from self._compare(b.column(2).to_numpy(), b.column(3).to_numpy(), _unit(_matrix(b.column(4), self.width)))
+        rep, key, copies = (b.column(i).to_numpy() for i in (2, 3, 4))
+        yield from self._compare(rep, key, copies, _unit(_matrix(b.column(5), self.width)))
 
     def close(self):
         found = np.flatnonzero(self.seen)
-        yield _counted(self.reps[found], self.seen[found])
+        yield _counted(self.reps[found], self.keys[found], self.seen[found])
 
-    def _compare(self, reps, copies, x, own=False):
+    def _compare(self, reps, keys, copies, x, own=False):
         for k in range(0, len(reps), 512):
             linked = x[k:k + 512] @ self.x.T >= self.threshold
             if own:
@@ -98,17 +105,18 @@ class _Block:
             part = reps[k:k + 512]
             n = linked @ self.copies
             r, to, c, c_to = dense_star(linked)
-            yield _counted(part[r], n[r])
+            yield _counted(part[r], keys[k:k + 512][r], n[r])
             if not own:
                 self.seen += copies[k:k + 512] @ linked
             a, b = np.concatenate([part[r], self.reps[c]]), np.concatenate([self.reps[to], self.reps[c_to]])
             keep = a != b
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a[keep]), pa.array(b[keep]), pa.array(np.zeros(keep.sum(), np.int64))], ["a", "b", "n"])
+            none = pa.nulls(int(keep.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep]), none, none], _LINK_NAMES)
 
 
-def _counted(reps, n):
-    return pa.RecordBatch.from_arrays([pa.array(reps), pa.nulls(len(reps), pa.int64()), pa.array(n)], ["a", "b", "n"])
+def _counted(reps, keys, n):
+    none = pa.nulls(len(reps), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(reps), none, pa.array(keys), pa.array(n)], _LINK_NAMES)
 
 
 def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -120,8 +128,8 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     links reach; ``kept`` marks the one representative of each group. Vectors
     that are null, empty, zero or hold null or non-finite components link with
     nothing. A shorter vector counts as padded with zeros. Rows that repeat an
-    id are vectors of their own, and every row with the group's smallest id is
-    kept; a row with a null id links with nothing, is its own (null) component
+    id are vectors of their own, which the id connects, and every row with the
+    group's smallest id is kept; a row with a null id links with nothing, is its own (null) component
     and is kept. ``deviations=None`` takes the exact bound.
     """
     find_package(vectors.sparkSession)
@@ -130,13 +138,14 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     linkable = F.col("id").isNotNull() & usable(F.col("v"))
     distinct = materialise(
         rows.where(linkable).groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("copies"),
-                                              F.max(F.size("v")).alias("width")), "vectors")
+                                              F.max(F.size("v")).alias("width"))
+        .withColumn("key", F.xxhash64("v")), "vectors")
     n, width = distinct.agg(F.count("*"), F.coalesce(F.max("width"), F.lit(1))).first()
     found = materialise(_found(distinct, n, width, threshold, deviations), "vector-links")
-    links = found.where("b is null").groupBy("a").agg(F.sum("n").alias("others"))
+    links = (found.where("b is null").groupBy(F.col("a").alias("rep"), "key").agg(F.sum("n").alias("others")))
     groups = connected_components(found.where("b is not null"))
-    out = (distinct.join(links, distinct["rep"] == links["a"], "left")
-           .join(groups, distinct["rep"] == groups["node"], "left")
+    out = (distinct.join(links, ["rep", "key"], "left")
+           .join(groups, F.col("rep") == groups["node"], "left")
            .select("v", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                    F.coalesce("component", "rep").alias("component_id")))
     used = rows.where(linkable).join(out, "v").select("id", "n_links", "component_id")
@@ -166,14 +175,14 @@ def _found(distinct, n, width, threshold, deviations):
                   .groupBy("cell").agg(F.sum("n").alias("n")).collect())
     parts = np.array([-(-counts.get(i, 1) // BLOCK_MEMBERS) for i in range(k)])
     first = np.concatenate([[0], np.cumsum(parts)])
-    schema = schema_of(block="bigint", kind="tinyint", rep="bigint", copies="bigint", v="array<double>")
+    schema = schema_of(block="bigint", kind="tinyint", rep="bigint", key="bigint", copies="bigint", v="array<double>")
 
     def routed(batches):
         between = np.sqrt(np.maximum(0, 2 - 2 * centers @ centers.T))
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
-                reps, copies, vectors = b.column(0), b.column(1), b.column(2).cast(pa.list_(pa.float64()))
+                reps, keys, copies, vectors = *b.columns[:3], b.column(3).cast(pa.list_(pa.float64()))
                 near = _unit(_matrix(vectors, width)) @ centers.T
                 cell = np.argmax(near, axis=1)
                 own = first[cell] + reps.to_numpy() % parts[cell]
@@ -182,7 +191,7 @@ def _found(distinct, n, width, threshold, deviations):
                     take = pa.array(row_ids)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(block, pa.int64()), pa.array(np.full(len(block), kind, np.int8)),
-                        reps.take(take), copies.take(take), vectors.take(take)], schema.fieldNames())
+                        reps.take(take), keys.take(take), copies.take(take), vectors.take(take)], schema.fieldNames())
 
     def _targets(cell, own, visit):
         yield np.arange(len(cell)), own, 0
@@ -195,6 +204,6 @@ def _found(distinct, n, width, threshold, deviations):
         later = own[row] < blocks
         yield row[later], blocks[later], 1
 
-    routes = distinct.select("rep", "copies", "v").mapInArrow(routed, schema)
+    routes = distinct.select("rep", "key", "copies", "v").mapInArrow(routed, schema)
     return search_blocks(routes, int(first[-1]), lambda batches: _Block(batches, width, threshold),
-                         "a bigint, b bigint, n bigint")
+                         _LINKS)

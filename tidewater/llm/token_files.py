@@ -97,8 +97,10 @@ def write_token_files(docs: DataFrame, out: str, id_col: str = "doc_id", text_co
             ends = np.cumsum([len(f) for f in frames], dtype="<u8")
             index = np.column_stack([ends, np.array(counts, dtype="<u8")]).astype("<u8").tobytes()
             ids = pa.array(held, type=id_arrow)
+            known = ids.drop_null()  # documents without an id come first and are in no range
+            first, last = (known[:1], known[-1:]) if len(known) else (ids[:1], ids[:1])
             return pa.RecordBatch.from_arrays([
-                pa.array([part], pa.int32()), pa.array([n], pa.int32()), ids[:1], ids[-1:],
+                pa.array([part], pa.int32()), pa.array([n], pa.int32()), first, last,
                 pa.array([len(held)], pa.int32()), pa.array([sum(counts)], pa.int64()), pa.array([sha]),
                 pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), ids),
                 pa.array([index], pa.binary()), pa.array([b"".join(frames)], pa.binary()),
@@ -216,7 +218,7 @@ def read_document(spark: SparkSession, out: str, doc_id) -> list[list[int]]:
     for r in rows.toLocalIterator():
         if r.dictionary_sha256 != sha:
             raise ValueError("a block was written with another dictionary")
-        ends = np.frombuffer(bytes(r.index), dtype="<u8").reshape(-1, 2)[:, 0]
+        ends = np.frombuffer(bytes(r["index"]), dtype="<u8").reshape(-1, 2)[:, 0]
         for i, key in enumerate(r.ids):
             if key == doc_id:
                 frame = bytes(r.payload)[int(ends[i - 1]) if i else 0:int(ends[i])]

@@ -26,6 +26,8 @@ _READ = 64
 #: Sums below this are exact in doubles.
 _EXACT = 2.0**53
 _LONG = 2**63 - 1
+#: Components beyond this have no cells.
+_FAR = 2.0**100
 
 
 def scorable(vector) -> Column:
@@ -47,13 +49,22 @@ class VectorFile:
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         order = np.argsort(ids, kind="stable")  # ties of a score go to the smaller id
         self.ids, self.x = ids[order], x[order]
-        low, high = self.x.min(axis=0), self.x.max(axis=0)
-        self.low, self.step = low, np.maximum((high - low) / _CELLS, np.finfo(float).tiny)
-        self.cells = np.minimum(np.floor((self.x - low) / self.step), _CELLS - 1).astype(np.uint8)
         self.largest = np.abs(self.x).max(initial=0)
+        within = np.clip(self.x, -_FAR, _FAR)
+        low, high = within.min(axis=0), within.max(axis=0)
+        self.low, self.step = low, np.maximum((high - low) / _CELLS, np.finfo(float).tiny)
+        self.cells = np.clip(np.floor((within - low) / self.step), 0, _CELLS - 1).astype(np.uint8)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """No candidate's exact score is above its bound (queries x members)."""
+        """No candidate's exact score is above its bound (queries x members).
+
+        Far components have no bound, so such candidates are always read."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            bounds = self._bounds(queries)
+        far = (self.largest > _FAR) | ~np.isfinite(bounds)
+        return np.where(far, np.inf, bounds)
+
+    def _bounds(self, queries):
         scaled = queries * self.step
         middle = scaled @ (self.cells.astype(np.float64).T + 0.5) + (queries @ self.low)[:, None]
         half = np.abs(scaled).sum(axis=1) / 2
@@ -62,7 +73,7 @@ class VectorFile:
 
     def scores(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Exact scores; beyond a long they are the nearest long."""
-        if self.largest * np.abs(query).max(initial=0) * max(1, len(query)) < _EXACT:
+        if float(self.largest) * float(np.abs(query).max(initial=0)) * max(1, len(query)) < _EXACT:
             return (self.x[rows] @ query).astype(np.int64)
         q = [int(v) for v in query]
         sums = [sum(int(a) * b for a, b in zip(x, q)) for x in self.x[rows].tolist()]
