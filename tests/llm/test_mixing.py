@@ -1,0 +1,103 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from corpus_rows import *  # noqa: F403  fixtures
+
+from tidewater.llm import mixing
+from tidewater.llm.mixing import DomainClassifier, fit_rates, label_domains, mix, take_copies
+from tidewater.llm.queries import TARGETS, op2_mixing
+
+
+def bucket(word):
+    value = xxhash.xxh64_intdigest(word.encode(), 42)
+    value -= 2**64 if value >= 2**63 else 0
+    return value % mixing.BUCKETS
+
+
+def plain_shares(model, text):
+    words = [w for w in (text or "").lower().split() if w]
+    scores = [model.priors[0]] + [
+        p + min(1, mixing.EVIDENCE_WORDS / max(1, len(words)))
+        * sum(float(f"{model.weights[d][bucket(w)] - model.weights[0][bucket(w)]:.5g}") for w in words)
+        for d, p in enumerate(model.priors[1:], 1)]
+    parts = [math.exp(s - max(scores)) for s in scores]
+    low = [math.floor(mixing.GRAIN * p / sum(parts) + 1e-12) for p in parts[1:]]
+    return [mixing.GRAIN - sum(low), *low]
+
+
+def plain_rates(shares, tokens, wanted, budget, least, steps=4000):
+    """The same descent over single documents."""
+    p, n = np.array(shares) / mixing.GRAIN, np.array(tokens, float)
+    rate, have = np.ones(len(n)), n @ p
+    for _ in range(steps):
+        error = (rate * n) @ p / budget - wanted
+        rate = np.maximum(least, rate - (p @ (error / np.maximum(have / budget, 1e-9))
+                                         + mixing.PULL * (rate - 1)) / (1 + mixing.PULL))
+    return rate
+
+
+def test_posteriors_match_plain_code(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text")
+    labels = label_domains(spark.read.parquet(f"{SF_CHECK}/labels.parquet"))
+    model = DomainClassifier.fit(docs, labels, ["clean", "low", "toxic"])
+    rows = model.posteriors(docs).collect()
+    off = 0
+    for r in rows:
+        assert r.tokens == len(r.text.split())
+        off += max(abs(a - b) for a, b in zip(r.shares, plain_shares(model, r.text))) > 0
+        assert sum(r.shares) == mixing.GRAIN
+    assert off <= 2  # a floor may differ where a share is whole up to rounding
+    by_id = dict(labels.collect())
+    seen = [(by_id[r.doc_id], model.domains[int(np.argmax(r.shares))]) for r in rows if r.doc_id in by_id]
+    assert sum(a == b for a, b in seen) / len(seen) > 0.85
+
+
+@pytest.mark.parametrize(("budget", "least"), [("same", 0.0), ("keep", 1.0)])
+def test_rates_match_plain_descent(spark, budget, least, monkeypatch):
+    monkeypatch.setattr(mixing, "TOLERANCE", 1e-7)
+    draw = np.random.default_rng(2)
+    low = draw.integers(0, 101, 60)
+    shares = [[100 - int(a), int(a)] for a in low]
+    tokens = [int(x) for x in draw.integers(0, 500, 60)]
+    table = spark.createDataFrame(list(zip(shares, tokens)), "shares array<int>, tokens bigint")
+    groups, reached = fit_rates(table, [0.6, 0.4], budget, least)
+    rates = {tuple(r.shares): r.rate for r in groups.collect()}
+    total = np.array(tokens) @ np.array(shares) / mixing.GRAIN
+    size = total.sum() if budget == "same" else max(total / [0.6, 0.4])
+    want = plain_rates(shares, tokens, np.array([0.6, 0.4]), size, least)
+    got = np.array([rates[tuple(s)] for s in shares])
+    assert (got >= least).all()
+    mass = lambda r: (r * tokens) @ np.array(shares) / mixing.GRAIN / size
+    assert np.allclose(mass(got), mass(want), atol=2e-3)
+    assert np.allclose(reached, [0.6, 0.4], atol=0.02)
+
+
+def test_query_reaches_the_targets_without_python(spark):
+    out = op2_mixing(spark, SF_CHECK)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+    rows = out.collect()
+    assert len(rows) == spark.read.parquet(f"{SF_CHECK}/documents.parquet").count()
+    for d, share in TARGETS.items():
+        mass = sum(r.rate * r.n_tokens * r[f"p_{d}"] for r in rows)
+        assert mass == pytest.approx(share * sum(r.n_tokens for r in rows), rel=0.02)
+    assert all(math.floor(r.rate) <= r.copies <= math.floor(r.rate) + 1 for r in rows)
+    assert sum(r.copies for r in rows) == pytest.approx(sum(r.rate for r in rows), rel=0.05)
+
+
+def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
+    labels = spark.createDataFrame([(1, "a"), (6, "b"), (9, "a"), (9, "b"), (None, "a"), (3, "c"), (4, None)],
+                                   "id bigint, domain string")
+    out = mix(odd_docs, labels, {"a": 0.5, "b": 0.5})
+    assert out.columns[-4:] == ["shares_", "tokens_", "rate_", "copies_"] or set(out.columns) >= {"tokens_", "copies_"}
+    rows = out.collect()
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter(odd_rows)
+    taken = take_copies(odd_docs, labels, {"a": 0.5, "b": 0.5})
+    assert taken.columns == odd_docs.columns
+    assert set(Counter((r.doc_id, r.text) for r in taken.collect())) == set(odd_rows)  # no row goes in "keep"
+    assert take_copies(no_docs, labels, {"a": 1.0, "b": 2.0}).collect() == []
+    alone = take_copies(odd_docs, labels.limit(0), {"a": 1.0, "b": 1.0}).collect()
+    assert set((r.doc_id, r.text) for r in alone) == set(odd_rows)
