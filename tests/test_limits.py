@@ -14,7 +14,7 @@ def _frame(spark, rows, parts=16):
 def test_threshold_path_is_exact(spark, n):
     rnd = random.Random(n)
     rows = [(rnd.randrange(300), i, f"x{i}") for i in range(1000)]
-    got = first_rows(_frame(spark, rows), ["doc_id", "line_no"], n, max_merge_rows=1)
+    got = first_rows(_frame(spark, rows), ["doc_id", "line_no"], n, plain_rows=0)
     want = sorted(rows)[:n]
     assert sorted(tuple(r) for r in got.collect()) == want
 
@@ -22,13 +22,13 @@ def test_threshold_path_is_exact(spark, n):
 def test_hot_leading_key(spark):
     # One doc holds a third of all lines and straddles the cut.
     rows = [(5, i, "h") for i in range(400)] + [(i, 0, "c") for i in range(800)]
-    got = first_rows(_frame(spark, rows), ["doc_id", "line_no"], 300, max_merge_rows=1)
+    got = first_rows(_frame(spark, rows), ["doc_id", "line_no"], 300, plain_rows=0)
     assert sorted(tuple(r) for r in got.collect()) == sorted(rows)[:300]
 
 
 def test_fewer_rows_than_n(spark):
     rows = [(i, 0, "a") for i in range(10)]
-    got = first_rows(_frame(spark, rows), ["doc_id", "line_no"], 50, max_merge_rows=1)
+    got = first_rows(_frame(spark, rows), ["doc_id", "line_no"], 50, plain_rows=0)
     assert got.count() == 10
 
 
@@ -43,15 +43,31 @@ def test_bound_filter_reaches_scan(spark, scratch):
     spark.range(0, 20000).select(F.col("id").alias("doc_id"), F.lit(0).alias("line_no")) \
         .repartition(20).write.parquet(path)
     df = spark.read.parquet(path)
-    got = first_rows(df, ["doc_id", "line_no"], 100, max_merge_rows=1)
+    got = first_rows(df, ["doc_id", "line_no"], 100, plain_rows=0)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(doc_id" in plan
     assert sorted(r.doc_id for r in got.collect()) == list(range(100))
 
 
+def test_null_keys_come_first_on_both_plans(spark):
+    rows = [(None, i, "n") for i in range(5)] + [(i % 90, i, "x") for i in range(1000)] + [(3, None, "y")]
+    key = lambda r: tuple((v is not None, v or 0) for v in r[:2])
+    for n in (3, 20, 60, 1003):
+        want = sorted(sorted(rows, key=key)[:n], key=str)
+        for plain_rows in (0, 10**6):
+            got = first_rows(_frame(spark, rows), ["doc_id", "line_no"], n, plain_rows=plain_rows)
+            assert sorted((tuple(r) for r in got.collect()), key=str) == want
+
+
+def test_no_job_before_the_plan(spark):
+    # A plan for a small n is built without running anything upstream.
+    boom = spark.range(10).select(F.raise_error(F.lit("ran")).cast("long").alias("doc_id"))
+    assert first_rows(boom, ["doc_id"], 5).columns == ["doc_id"]
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "doc_id long, line_no int, v string").repartition(4)
-    assert first_rows(df, ["doc_id", "line_no"], 10, max_merge_rows=1).count() == 0
+    assert first_rows(df, ["doc_id", "line_no"], 10, plain_rows=0).count() == 0
 
 
 def test_large_n_small_fraction(spark):
@@ -59,7 +75,7 @@ def test_large_n_small_fraction(spark):
     df = spark.range(0, 200000, numPartitions=16).select(
         (F.col("id") * 7919 % 200000).alias("doc_id"), F.lit(0).alias("line_no")
     )
-    got = first_rows(df, ["doc_id", "line_no"], 5000, max_merge_rows=1)
+    got = first_rows(df, ["doc_id", "line_no"], 5000, plain_rows=0)
     assert sorted(r.doc_id for r in got.collect()) == list(range(5000))
 
 
@@ -67,7 +83,7 @@ def test_string_and_constant_lead(spark):
     # File order: constant file name (one file), then block, then row.
     rows = [("f.txt", b * 1000, r, "x") for b in range(8) for r in range(50)]
     df = spark.createDataFrame(rows, "file string, block long, row long, v string").repartition(8)
-    got = first_rows(df, ["file", "block", "row"], 120, max_merge_rows=1)
+    got = first_rows(df, ["file", "block", "row"], 120, plain_rows=0)
     assert sorted(tuple(r) for r in got.collect()) == sorted(rows)[:120]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "named_struct" in plan or "struct" in plan.lower()

@@ -31,11 +31,19 @@ def test_cap_is_exact_and_ordered(spark):
     assert got == [(0, 0), (0, 3), (1, 0)]
 
 
+def test_no_cap_by_default(spark):
+    lines = nonempty_lines(corpus_tokens(_docs(spark)))
+    assert capped_lines(lines) is lines
+    spread = replay(capped_lines(lines, 3), 1, "2024-01-01 00:00:00", bounded_rows=3)
+    assert spread.count() == 3
+    assert "RoundRobin" in spread._jdf.queryExecution().executedPlan().toString()
+
+
 def test_replay_stamps_and_counts(spark):
     lines = capped_lines(nonempty_lines(corpus_tokens(_docs(spark))), 3)
-    timed = replay(lines, 2, "2024-01-01 00:00:00")
     counts = sorted((r.iteration, r.time_key.isoformat(), r.lines_sent)
-                    for r in replay_counts(timed).collect())
+                    for r in replay_counts(lines, 2, "2024-01-01 00:00:00").collect())
+    assert replay_counts(lines.limit(0), 2, "2024-01-01 00:00:00").collect() == []
     assert counts == [(1, "2024-01-01T00:00:00", 3), (2, "2024-01-01T00:01:00", 3)]
 
 

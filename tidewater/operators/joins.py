@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 # What may be copied to every executor: at most this many rows and this many
 # bytes of payload (measured, not estimated from compressed file sizes).
@@ -18,6 +18,10 @@ def _row_bytes(df: DataFrame) -> Column:
     for field in df.schema.fields:
         if isinstance(field.dataType, StringType | BinaryType):
             parts.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + _FIXED_WIDTH)
+        elif isinstance(field.dataType, ArrayType | MapType | StructType):
+            # Nested values count with their JSON text, which holds every element.
+            text = F.to_json(F.struct(F.col(field.name)))
+            parts.append(F.octet_length(text) + _FIXED_WIDTH)
         else:
             parts.append(F.lit(_FIXED_WIDTH))
     total = parts[0]

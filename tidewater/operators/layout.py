@@ -16,9 +16,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     shuffled.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    # A large input already has many read tasks: decide without listing files.
-    if df.rdd.getNumPartitions() >= 4 * target:
-        return df
     if len(df.inputFiles()) >= target:
         return df
     return df.repartition(target)

@@ -3,20 +3,22 @@
 ``orderBy(...).limit(n)`` plans as a per-task top-``n`` followed by one task
 that merges every task's top-``n``: ``partitions x n`` rows. That is fine for a
 preview, but for a large ``n`` over a large input it funnels billions of rows
-into one task. ``first_rows`` keeps that plan only while ``partitions x n`` is
-small. Past that bound it first narrows the input to a range of the leading
-key that provably holds at least ``n`` rows:
+into one task. ``first_rows`` keeps that plan only for an ``n`` of a preview's
+size. Past that it first narrows the input to a range of the leading key that
+provably holds at least ``n`` rows:
 
 1. a Bernoulli sample at rate ``HITS / n`` puts about ``HITS`` sampled rows
    among the first ``n`` whatever the input size; the ``2 x HITS``-th smallest
    sampled key tuple is a bound near rank ``2n`` (a top-``2 x HITS``, tiny);
-2. a count verifies that the bound covers ``n`` rows (else it widens);
+2. a count verifies that the bound covers ``n`` rows (else it widens, a fixed
+   number of times);
 3. the top-``n`` runs on ``key <= bound`` only (lexicographic, exact), with
    ``lead <= bound[0]`` alongside, which is pushed below generators into the
    scan, where it also prunes row groups.
 
 The result is exact; only scalars reach the driver; the final merge sees about
-``2n`` rows.
+``2n`` rows. Nulls sort first, in the keys and in the bound. Both plans give the
+same rows; only ``n`` decides between them.
 """
 
 from __future__ import annotations
@@ -24,19 +26,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows the final merge of a plain top-n may receive (partitions x n): they are
-# all shuffled into that one task and streamed through an n-row heap.
-MAX_MERGE_ROWS = 2_000_000
+# Up to this n every task's top-n goes straight into the final merge.
+PLAIN_ROWS = 1_000
 # Expected sampled rows among the first n (sample rate HITS / n).
 HITS = 20
 SAMPLE_SEED = 20240101
+# Sample rows looked at before the plain plan is taken after all.
+MAX_SAMPLE_ROWS = 2 * HITS * 4**4
 
 
 def first_rows(
     df: DataFrame,
     order_cols: list[str] | tuple[str, ...],
     n: int,
-    max_merge_rows: int = MAX_MERGE_ROWS,
+    plain_rows: int = PLAIN_ROWS,
 ) -> DataFrame:
     """Exactly the first ``n`` rows of ``df`` ordered by ``order_cols``
     (ascending; the columns should form a unique key), or all rows if fewer.
@@ -45,19 +48,22 @@ def first_rows(
         raise ValueError("n must be >= 0")
     cols = list(order_cols)
     order = [F.col(c).asc() for c in cols]
-    if df.rdd.getNumPartitions() * n <= max_merge_rows:
+    if n <= plain_rows:
         return df.orderBy(*order).limit(n)
     bound = _covering_bound(df, cols, n)
-    if bound is None:  # about 2n rows or fewer in all: the plain merge is small
+    if bound is None:  # the input has few rows, or no bound was found
         return df.orderBy(*order).limit(n)
     return df.filter(_at_most(df, cols, bound)).orderBy(*order).limit(n)
 
 
 def _at_most(df: DataFrame, cols: list[str], bound: tuple):
-    """``(cols) <= bound`` in lexicographic order (a struct comparison, exact),
-    plus ``cols[0] <= bound[0]`` on its own so the scan can use it."""
+    """``(cols) <= bound`` in lexicographic order (a struct comparison, exact,
+    nulls smallest), plus the same for ``cols[0]`` on its own so the scan can
+    use it."""
     typed = [F.lit(v).cast(df.schema[c].dataType) for c, v in zip(cols, bound)]
-    lead = F.col(cols[0]) <= typed[0]
+    lead = F.col(cols[0]).isNull()
+    if bound[0] is not None:
+        lead = lead | (F.col(cols[0]) <= typed[0])
     if len(cols) == 1:
         return lead
     return lead & (F.struct(*[F.col(c) for c in cols]) <= F.struct(*typed))
@@ -65,20 +71,20 @@ def _at_most(df: DataFrame, cols: list[str], bound: tuple):
 
 def _covering_bound(df: DataFrame, cols: list[str], n: int) -> tuple | None:
     """A key tuple ``b`` with ``count((cols) <= b) >= n``; ``None`` when the
-    sample shows the input has about ``2n`` rows or fewer."""
+    sample shows the input has about ``2n`` rows or fewer, or when no bound
+    from ``MAX_SAMPLE_ROWS`` sampled rows covers ``n``."""
     frac = min(1.0, HITS / max(n, 1))
     sample = df.select(*cols).sample(withReplacement=False, fraction=frac, seed=SAMPLE_SEED)
     k = 2 * HITS
-    while True:
+    while k <= MAX_SAMPLE_ROWS:
         smallest = sample.orderBy(*[F.col(c).asc() for c in cols]).limit(k).collect()
         if len(smallest) < k:
             return None
         bound = tuple(smallest[-1])
-        if any(v is None for v in bound):
-            return None
         if df.filter(_at_most(df, cols, bound)).count() >= n:
             return bound
         k *= 4
+    return None
 
 
 def spread_bounded(df: DataFrame, rows_bound: int, partitions: int | None = None) -> DataFrame:

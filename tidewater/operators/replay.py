@@ -1,8 +1,8 @@
 """Turning a text corpus into timed, keyed messages.
 
 The corpus is read line by line in (document, line) order; each line is cut
-into words, lines without words are skipped, the first ``limit`` remaining
-lines form one iteration, and every iteration (numbered from 1) is sent under
+into words, lines without words are skipped, the remaining lines (all of them,
+or the first ``limit`` if one is given) form one iteration, and every iteration (numbered from 1) is sent under
 its own time key ``base + (iteration - 1) * cadence``. A message is
 ``"<ISO time> <words>"`` with the ISO time (six fraction digits) as its key,
 both UTF-8 encoded.
@@ -19,10 +19,8 @@ from tidewater.functions.messages import iso_micros, message_text, utf8_bytes
 from tidewater.functions.text import split_lines, tokenize
 from tidewater.operators.limits import first_rows, spread_bounded
 
-# Fixed values of the reference producer: lines sent per iteration (its
-# constant is 101,209 but the check runs before sending, so 101,210 go out)
-# and the 60-second cadence between iterations.
-LINES_PER_ITERATION = 101_210
+# Fixed value of the reference producer: the cadence between iterations. (It
+# also sends at most 101,210 lines an iteration; here a cap is never a default.)
 CADENCE_SECONDS = 60
 
 
@@ -58,15 +56,18 @@ def nonempty_lines(tokens: DataFrame) -> DataFrame:
 
 def capped_lines(
     lines: DataFrame,
-    limit: int = LINES_PER_ITERATION,
+    limit: int | None = None,
     order_cols: tuple[str, ...] = ("doc_id", "line_no"),
 ) -> DataFrame:
-    """The first ``limit`` lines in corpus order (exactly ``limit`` if present).
+    """The first ``limit`` lines in corpus order (exactly ``limit`` if present);
+    all lines without a ``limit``.
 
-    A per-task top-``limit`` while that stays small, otherwise a verified key
-    bound first (see ``operators.limits.first_rows``); never a full sort of the
-    corpus and never ``partitions x limit`` rows in one task.
+    A per-task top-``limit`` for a small one, otherwise a verified key bound
+    first (see ``operators.limits.first_rows``); never a full sort of the corpus
+    and never ``partitions x limit`` rows in one task.
     """
+    if limit is None:
+        return lines
     return first_rows(lines, list(order_cols), limit)
 
 
@@ -89,8 +90,8 @@ def replay(
     """
     if iterations < 1:
         raise ValueError("iterations must be >= 1")
-    if iterations > 1 and bounded_rows is not None:
-        # A capped input sits in one partition; spread it before multiplying.
+    if bounded_rows is not None:
+        # A capped input sits in one partition; spread it first.
         lines = spread_bounded(lines, bounded_rows)
     base = F.lit(base_time).cast("timestamp")
     return lines.select(
@@ -135,11 +136,7 @@ def message_columns(
     ]
 
 
-def capped_messages(
-    docs: DataFrame,
-    base_time: str | _dt.datetime,
-    limit: int = LINES_PER_ITERATION,
-) -> DataFrame:
+def capped_messages(docs: DataFrame, base_time: str | _dt.datetime, limit: int) -> DataFrame:
     """One iteration: the first ``limit`` non-empty lines as message text.
 
     A single projection sits on the ordered limit, so the plan stays a
@@ -152,6 +149,15 @@ def capped_messages(
     )
 
 
-def replay_counts(timed: DataFrame) -> DataFrame:
-    """Lines sent per iteration, with its number and time key."""
-    return timed.groupBy("iteration", "time_key").agg(F.count(F.lit(1)).alias("lines_sent"))
+def replay_counts(
+    lines: DataFrame,
+    iterations: int,
+    base_time: str | _dt.datetime,
+    cadence_seconds: int = CADENCE_SECONDS,
+) -> DataFrame:
+    """Lines sent per iteration, with its number and time key; no row without
+    lines. Every iteration sends the same lines, so they are counted once and
+    the count is expanded, not the lines."""
+    sent = lines.agg(F.count(F.lit(1)).alias("lines_sent")).where("lines_sent > 0")
+    return replay(sent, iterations, base_time, cadence_seconds).select(
+        "iteration", "time_key", "lines_sent")
