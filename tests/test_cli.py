@@ -105,7 +105,10 @@ def test_stream_counts_quarantine_side_output(spark, scratch):
     main(["stream-counts", "--source-path", f"{root}/env/*", "--checkpoint", f"{root}/ck",
           "--sink", "parquet", "--output", f"{root}/out", "--trigger", "available_now",
           "--mode", "quarantine", "--rejects-output", f"{root}/rejects"])
-    assert [r.raw_value for r in spark.read.parquet(f"{root}/rejects").collect()] == ["garbage"]
+    from tidewater.streaming.word_count import read_rejects
+
+    assert [r.raw_value for r in read_rejects(spark, f"{root}/rejects").collect()] == ["garbage"]
+    assert spark.read.parquet(f"{root}/rejects").count() == len(rows)
     got = sorted((r.WORD, r.COUNT) for r in spark.read.parquet(f"{root}/out").collect())
     assert got == [("", 1), ("a", 1), ("b", 1)]
 

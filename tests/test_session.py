@@ -40,3 +40,57 @@ def test_unknown_profile_rejected():
 
     with pytest.raises(ValueError):
         build_session("x", profile="huge")
+
+
+def test_submitted_settings_win(monkeypatch):
+    """Every key of the profiles yields to a submitted one."""
+    import tidewater.session as module
+
+    submitted = {"spark.master": "local[1]", "spark.sql.adaptive.enabled": "false",
+                 "spark.sql.streaming.minBatchesToRetain": "3", "spark.sql.shuffle.partitions": "17"}
+    asked = {}
+
+    class Conf:
+        def contains(self, key):
+            return key in submitted
+
+    class Builder:
+        def appName(self, name):
+            return self
+
+        def master(self, name):
+            asked["spark.master"] = name
+            return self
+
+        def config(self, key, value):
+            asked[key] = value
+            return self
+
+        def getOrCreate(self):
+            return None
+
+    monkeypatch.setattr(module, "SparkConf", Conf)
+    monkeypatch.setattr(module.SparkSession, "builder", Builder())
+    module.build_session("x", profile="cluster")
+    assert not set(asked) & set(submitted)
+    assert asked["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_cluster_without_checkpoint_folder_is_refused():
+    import pytest
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        checkpoint_root(Session())

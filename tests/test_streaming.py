@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 from tidewater.plans.queries import COUNTS_SCHEMA
 from tidewater.streaming.word_count import (
     CSV_NULL_VALUE,
+    _publish_snapshot,
+    await_all,
+    read_good_records,
+    read_rejects,
+    read_snapshot,
     run_until_done,
     start_counts,
+    start_records,
     validate_sink,
     word_counts,
 )
@@ -107,8 +113,76 @@ def test_batch_equals_stream(spark, scratch):
     q = start_counts(counts, "snapshot", f"{root}/ckpt", path=f"{root}/snap",
                      trigger="available_now")
     run_until_done(q)
-    streamed = spark.read.parquet(f"{root}/snap")
-    assert sorted(batch.collect()) == sorted(streamed.collect())
+    assert sorted(batch.collect()) == sorted(read_snapshot(spark, f"{root}/snap").collect())
+
+
+def test_snapshot_survives_a_failed_batch(spark, scratch):
+    path = scratch("snap")
+    publish = _publish_snapshot(path)
+    publish(spark.range(3), 0)
+    broken = spark.range(8, numPartitions=4).select(
+        F.when(F.col("id") == 7, F.raise_error(F.lit("stop")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        publish(broken, 1)
+    assert sorted(r.id for r in read_snapshot(spark, path).collect()) == [0, 1, 2]
+    for batch in (1, 1, 2, 3):  # batch 1 runs again
+        publish(spark.range(batch), batch)
+        assert read_snapshot(spark, path).count() == batch
+    kept = [f for f in os.listdir(path) if f.startswith("batch_id=") and not f.startswith("batch_id=1-")]
+    assert len(kept) == 2
+
+
+def test_records_go_to_exactly_one_side(spark, scratch):
+    root = scratch("records")
+    good = [["00:00:10+00:00 a b"], ["00:09:10+00:00 c", "00:09:11+00:00 d d"]]
+    _write_files(f"{root}/src", good)
+    with open(f"{root}/src/bad.txt", "w") as fh:
+        fh.write("garbage\n2022-13-01T00:00:00+00:00 x\n")
+    stream = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{root}/src")
+    for _ in range(2):  # the second run finds nothing new
+        run_until_done(start_records(stream, f"{root}/rec", f"{root}/ck-rec", trigger="available_now"))
+        counts, _ = word_counts(read_good_records(spark, f"{root}/rec"))
+        run_until_done(start_counts(counts, "snapshot", f"{root}/ck", path=f"{root}/out", trigger="available_now"))
+    assert sorted(r.raw_value for r in read_rejects(spark, f"{root}/rec").collect()) == [
+        "2022-13-01T00:00:00+00:00 x", "garbage"]
+    assert sorted((r.WORD, r.COUNT) for r in read_snapshot(spark, f"{root}/out").collect()) == [
+        ("a", 1), ("b", 1), ("c", 1), ("d", 2)]
+
+
+def test_a_failed_query_stops_the_others(spark, scratch):
+    root = scratch("stop")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a"]])
+    os.makedirs(f"{root}/bad")
+    with open(f"{root}/bad/x.txt", "w") as fh:
+        fh.write("garbage\n")
+    running, failing = (
+        start_counts(word_counts(spark.readStream.format("text").load(f"{root}/{d}"))[0], "parquet",
+                     f"{root}/ck-{d}", path=f"{root}/out-{d}", trigger="1 second") for d in ("src", "bad"))
+    with pytest.raises(Exception, match="malformed"):
+        await_all([running, failing])
+    assert not running.isActive and not failing.isActive
+
+
+def test_state_partitions_do_not_follow_the_batch_width(spark, scratch):
+    root = scratch("width")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a"]])
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8000")
+    try:
+        counts, _ = word_counts(spark.readStream.format("text").load(f"{root}/src"))
+        run_until_done(start_counts(counts, "snapshot", f"{root}/ck", path=f"{root}/out", trigger="available_now"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    stores = [d for d in os.listdir(f"{root}/ck/state/0") if d.isdigit()]
+    assert len(stores) <= spark.sparkContext.defaultParallelism
+
+
+def test_append_without_watermark_is_refused(spark, scratch):
+    root = scratch("no-mark")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a"]])
+    counts, _ = word_counts(spark.readStream.format("text").load(f"{root}/src"), watermark=None)
+    with pytest.raises(ValueError, match="watermark"):
+        start_counts(counts, "csv", f"{root}/ck", path=f"{root}/out")
 
 
 def test_quarantine_side_output(spark, scratch):
@@ -182,7 +256,7 @@ def test_console_sink_complete_mode(spark, scratch):
     counts, _ = word_counts(spark.readStream.format("text").load(f"{root}/src"))
     q = start_counts(counts, "console", f"{root}/ckpt", trigger="available_now")
     progress = run_until_done(q)
-    assert progress["sink"]["description"].startswith("org.apache.spark.sql.execution.streaming")
+    assert progress["numInputRows"] == 1 and "ForeachBatch" in progress["sink"]["description"]
     assert progress["numInputRows"] == 1
 
 

@@ -40,7 +40,7 @@ def _password(env_name: str | None) -> str | None:
 # --- delay-summary -------------------------------------------------------------
 
 def delay_summary(args: argparse.Namespace) -> None:
-    from tidewater.operators.summary import AVG_COL, AVG_TEXT_COL, summary_aggregate
+    from tidewater.operators.summary import AVG_COL, AVG_TEXT_COL, NAME_COL, summary_aggregate
     from tidewater.sinks.files import write_json, write_sorted_single_file
     from tidewater.sinks.preview import preview
     from tidewater.sources.csv import read_csv
@@ -52,13 +52,19 @@ def delay_summary(args: argparse.Namespace) -> None:
     fact = read_csv(spark, args.fact, infer=args.infer_schema).select(
         F.col("AIRLINE").cast("string"), F.col("ARRIVAL_DELAY").cast("double")
     )
-    preview(dim, enabled=args.preview)
     agg = summary_aggregate(
         fact, dim, "AIRLINE", "ARRIVAL_DELAY", "IATA_CODE", "AIRLINE", strategy=args.strategy
     ).withColumn(AVG_TEXT_COL, F.format_number(AVG_COL, 2))
+    if args.preview:
+        names = dim.select("IATA_CODE", F.col("AIRLINE").alias(NAME_COL))
+        joined = fact.join(names, fact["AIRLINE"] == names["IATA_CODE"], "left")
+        for step in (dim, fact, names, joined, agg.orderBy(F.col(AVG_COL).asc_nulls_first())):
+            preview(step, enabled=True)
     if args.single_file:
+        # The result has a row per dimension row at most, and the null name.
         write_sorted_single_file(
-            agg, args.output, [F.col(AVG_COL).asc_nulls_first()], drop_cols=[AVG_COL]
+            agg, args.output, [F.col(AVG_COL).asc_nulls_first()], drop_cols=[AVG_COL],
+            rows_bound=dim.count() + 1,
         )
     else:
         write_json(agg.orderBy(F.col(AVG_COL).asc_nulls_first()).drop(AVG_COL), args.output)
@@ -74,12 +80,11 @@ def copy_table_cmd(args: argparse.Namespace) -> None:
     spark = _session("copy-table", args)
     conn = connection_options(args.url, args.user, _password(args.password_env),
                               driver=args.driver)
-    source = copy_table(
+    copy_table(
         spark, conn, args.schema, args.from_table, args.to_table,
         partition_column=args.partition_column, num_partitions=args.num_partitions,
-        batch_size=args.batch_size,
+        batch_size=args.batch_size, before_write=lambda source: preview(source, enabled=args.preview),
     )
-    preview(source, enabled=args.preview)
 
 
 # --- stream-counts ---------------------------------------------------------------
@@ -98,7 +103,14 @@ def kafka_auth(args: argparse.Namespace):
 def stream_counts(args: argparse.Namespace) -> None:
     from tidewater.sources.envelope import decode_value, read_envelope_stream
     from tidewater.sources.kafka import kafka_source_options, read_kafka_stream
-    from tidewater.streaming.word_count import start_counts, word_counts
+    from tidewater.streaming.word_count import (
+        await_all,
+        read_good_records,
+        run_until_done,
+        start_counts,
+        start_records,
+        word_counts,
+    )
 
     spark = _session("stream-counts", args)
     if args.source_path and args.source_format == "text":
@@ -120,26 +132,27 @@ def stream_counts(args: argparse.Namespace) -> None:
         envelope = read_kafka_stream(spark, opts)
     if not (args.source_path and args.source_format == "text"):
         records = decode_value(envelope)
-    counts, rejects = word_counts(
+    queries = []
+    if args.mode == "quarantine":
+        # Both sides go through one query and one checkpoint; the counts read
+        # the good side, so no record can fall between two sources' offsets.
+        sorter = start_records(records, args.rejects_output, args.checkpoint.rstrip("/") + "-records",
+                               record_format=args.record_format, trigger=args.trigger)
+        if args.trigger == "available_now":
+            run_until_done(sorter)
+        else:
+            queries.append(sorter)
+        records = read_good_records(spark, args.rejects_output, args.max_files_per_trigger)
+    counts, _ = word_counts(
         records, watermark=args.watermark, window=args.window, slide=args.slide,
-        record_format=args.record_format, mode=args.mode,
-        output_partitions=args.output_partitions,
+        record_format=args.record_format, output_partitions=args.output_partitions,
     )
     query = start_counts(
         counts, args.sink, args.checkpoint, path=args.output, trigger=args.trigger,
         state_partitions=args.state_partitions, state_store=args.state_store,
         single_watermark=args.single_watermark,
     )
-    queries = [query]
-    if rejects is not None:
-        writer = rejects.writeStream.format("parquet").option(
-            "path", args.rejects_output
-        ).option("checkpointLocation", args.checkpoint.rstrip("/") + "-rejects")
-        if args.trigger == "available_now":
-            writer = writer.trigger(availableNow=True)
-        queries.append(writer.start())
-    for q in queries:
-        q.awaitTermination()
+    await_all([*queries, query])
 
 
 # --- publish -----------------------------------------------------------------------
@@ -230,7 +243,8 @@ def build_parser() -> argparse.ArgumentParser:
     w.add_argument("--slide", help="shorter than --window for sliding windows")
     w.add_argument("--record-format", choices=["fixed", "first_space"], default="fixed")
     w.add_argument("--mode", choices=["failfast", "quarantine"], default="failfast")
-    w.add_argument("--rejects-output")
+    w.add_argument("--rejects-output",
+                   help="table of all records, parted by malformed=true/false")
     w.add_argument("--output-partitions", type=int)
     w.add_argument("--state-partitions", type=int)
     w.add_argument("--state-store", choices=["rocksdb", "memory"], default="rocksdb")
@@ -245,10 +259,11 @@ def build_parser() -> argparse.ArgumentParser:
     u.add_argument("--username")
     u.add_argument("--password-env")
     u.add_argument("--iterations", type=int, default=1)
-    u.add_argument("--limit", type=int, default=101_210)
+    u.add_argument("--limit", type=int, help="lines an iteration sends at most (default: all)")
     u.add_argument("--cadence-seconds", type=int, default=60)
     u.add_argument("--base-time", type=dt.datetime.fromisoformat)
-    u.add_argument("--key-by", choices=["time", "line"], default="time")
+    u.add_argument("--key-by", choices=["time", "line"], default="time",
+                   help="time: one key, so one topic partition, an iteration; line: spread by message hash")
     u.add_argument("--output", help="write the envelope as parquet instead of Kafka")
     u.set_defaults(func=publish)
     return p
@@ -271,7 +286,7 @@ def validate(args: argparse.Namespace) -> None:
             raise SystemExit("give --bootstrap-servers and --topic, or --output")
         if not (args.username and args.password_env):
             raise SystemExit("publishing to Kafka needs --username and --password-env")
-    if args.command == "publish" and (args.limit < 0 or args.iterations < 1):
+    if args.command == "publish" and ((args.limit or 0) < 0 or args.iterations < 1):
         raise SystemExit("--limit must be >= 0 and --iterations >= 1")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.sinks.jdbc import write_table
@@ -19,13 +21,14 @@ def copy_table(
     batch_size: int = 10_000,
     target_conn: dict[str, str] | None = None,
     mode: str = "errorifexists",
+    before_write: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Read ``schema.from_table`` and create ``schema.to_table`` from it.
 
     The read is split into ``num_partitions`` ranges of ``partition_column``
     (bounds asked from the database); each task inserts its range in batches.
-    The target must not exist (``mode="errorifexists"``). Returns the source
-    frame for inspection.
+    The target must not exist (``mode="errorifexists"``). ``before_write``
+    gets the source frame first (a preview). Returns the source frame.
     """
     source = read_table(
         spark,
@@ -34,6 +37,8 @@ def copy_table(
         partition_column=partition_column,
         num_partitions=num_partitions,
     )
+    if before_write is not None:
+        before_write(source)
     write_table(
         source,
         target_conn or conn,

@@ -11,20 +11,23 @@ Semantics (kept from the reference job):
 * the average ignores null measures; the ordering is ascending on the numeric
   average with nulls first; the text keeps two decimals (half-even).
 
-Two plans compute the same rows:
+Three plans compute the same rows:
 
-``preagg``  aggregate the fact by key first (sum, non-null count, key count),
+``auto``    aggregate the fact by key first (sum, non-null count, key count),
             join the per-key rows to the dimension and re-aggregate by name.
             The big side shrinks to one row per key before any join, and a key
             holding a third of all rows costs one partial row per task. The
-            dimension is measured (rows and bytes) and broadcast only within
-            the bound, else sort-merge joined. Default.
+            per-key rows are already partitioned by key, so the join hashes the
+            dimension partition by partition: nothing is broadcast, so nothing
+            has to be measured first, whatever the dimension's size.
+``preagg``  the same with a sort-merge join, which also spills its input.
 ``direct``  broadcast the dimension into the fact scan, then a partial/final
-            aggregation by name. Used only after an explicit row-bound check
-            of the dimension (one small job); raises when the check fails.
+            aggregation by name: one shuffle fewer for facts whose keys hardly
+            repeat. The dimension is measured first (one small job); beyond the
+            bound the plan is ``preagg``.
 
-``auto`` is ``preagg``. Both are exact for integral measures (sums are carried
-in 64-bit integers); the tests check they agree.
+All are exact for integral measures (sums are carried in 64-bit integers); the
+tests check they agree.
 """
 
 from __future__ import annotations
@@ -55,40 +58,26 @@ def summary_aggregate(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """``(NAME_COL, COUNT_COL, AVG_COL)`` with the numeric average."""
-    return _aggregate(
-        fact, dim, fact_key, measure, dim_key, dim_name, strategy, max_broadcast_rows
-    )[0]
-
-
-def _aggregate(fact, dim, fact_key, measure, dim_key, dim_name, strategy, max_broadcast_rows):
-    """(aggregate, whether the dimension passed the broadcast bound)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     names = dim.select(F.col(dim_key).alias("_dim_key"), F.col(dim_name).alias(NAME_COL))
-    small = fits_broadcast(names, max_broadcast_rows)
-    if strategy == "direct":
-        if not small:
-            raise ValueError(
-                f"direct strategy needs a dimension of at most {max_broadcast_rows} rows"
-            )
+    if strategy == "direct" and fits_broadcast(names, max_broadcast_rows):
         facts = fact.select(F.col(fact_key).alias("_key"), F.col(measure).alias("_m"))
         joined = facts.join(F.broadcast(names), F.col("_key") == F.col("_dim_key"), "left")
-        agg = joined.groupBy(NAME_COL).agg(
+        return joined.groupBy(NAME_COL).agg(
             F.count("_key").alias(COUNT_COL), F.avg("_m").alias(AVG_COL)
         )
-        return agg, True
     per_key = fact.groupBy(F.col(fact_key).alias("_key")).agg(
         F.count(fact_key).alias("_n"),
         F.sum(measure).alias("_s"),
         F.count(measure).alias("_c"),
     )
-    right = F.broadcast(names) if small else names.hint("shuffle_merge")
+    right = names.hint("shuffle_hash" if strategy == "auto" else "shuffle_merge")
     joined = per_key.join(right, F.col("_key") == F.col("_dim_key"), "left")
-    agg = joined.groupBy(NAME_COL).agg(
+    return joined.groupBy(NAME_COL).agg(
         F.sum("_n").alias(COUNT_COL),
         (F.sum("_s") / F.nullif(F.sum("_c"), F.lit(0))).cast("double").alias(AVG_COL),
     )
-    return agg, small
 
 
 def dimension_summary(
@@ -105,21 +94,16 @@ def dimension_summary(
 ) -> DataFrame:
     """``(NAME_COL, COUNT_COL, AVG_TEXT_COL)``, ascending by the numeric average.
 
-    The result has one row per dimension name plus the null group. When the
-    dimension passed the broadcast bound that is at most
-    ``max_broadcast_rows + 1`` rows, and it is ordered inside one partition
-    after one small shuffle; otherwise it is range-partitioned and sorted.
-    ``ordered=False`` leaves ordering to the sink (see
+    The result has one row per dimension name plus the null group; it is
+    range-partitioned and sorted. ``ordered=False`` leaves ordering to the sink (see
     ``sinks.write_sorted_single_file``). ``output_names`` renames the three
     output columns.
     """
-    agg, bounded = _aggregate(
+    agg = summary_aggregate(
         fact, dim, fact_key, measure, dim_key, dim_name, strategy, max_broadcast_rows
-    )
-    agg = agg.withColumn(AVG_TEXT_COL, format_2dp(AVG_COL))
+    ).withColumn(AVG_TEXT_COL, format_2dp(AVG_COL))
     if ordered:
-        key = F.col(AVG_COL).asc_nulls_first()
-        agg = agg.repartition(1).sortWithinPartitions(key) if bounded else agg.orderBy(key)
+        agg = agg.orderBy(F.col(AVG_COL).asc_nulls_first())
     name, count, text = output_names
     return agg.select(
         F.col(NAME_COL).alias(name), F.col(COUNT_COL).alias(count),

@@ -8,6 +8,7 @@ is present, and only filled in when absent (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -66,12 +67,10 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if not conf.contains("spark.master"):
         builder = builder.master(master or "local[*]")
-    settings = dict(BATCH_CONF)
-    settings.update(STREAMING_CONF)
-    if profile == "cluster":
-        settings.update({k: v for k, v in CLUSTER_CONF.items() if not conf.contains(k)})
-    elif profile != "default":
+    if profile not in ("default", "cluster"):
         raise ValueError("profile must be 'default' or 'cluster'")
+    settings = {**BATCH_CONF, **STREAMING_CONF, **(CLUSTER_CONF if profile == "cluster" else {})}
+    settings = {k: v for k, v in settings.items() if not conf.contains(k)}
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if rocksdb_state:
@@ -85,8 +84,10 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; when the setting is absent (tests, a bare local
-    session) a private folder is created and registered as the checkpoint dir.
+    Read from the session; when the setting is absent on a local master (tests)
+    a private folder is created and registered as the checkpoint dir. On a
+    cluster a missing setting is an error: a folder of one machine would lose
+    what the others write.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -99,6 +100,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             root = current
+    if not root and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     if not root:
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         sc.setCheckpointDir(root)

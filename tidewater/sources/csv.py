@@ -12,7 +12,6 @@ def read_csv(
     schema: StructType | str | None = None,
     infer: bool = False,
     header: bool = True,
-    infer_sampling_ratio: float | None = None,
     **options: str,
 ) -> DataFrame:
     """Read CSV with a header.
@@ -20,9 +19,7 @@ def read_csv(
     Give ``schema`` in production: inference (``infer=True``) costs an extra
     full pass over the files before the query starts, and it narrows types
     (a bigint column whose values fit comes back as int; ``0005`` becomes 5).
-    ``infer_sampling_ratio`` infers from that fraction of the rows instead (a
-    value outside the sample can then fail to parse). Without schema or
-    inference, every column is a string.
+    Without schema or inference, every column is a string.
     """
     reader = spark.read.option("header", str(header).lower())
     for key, value in options.items():
@@ -31,6 +28,4 @@ def read_csv(
         reader = reader.schema(schema)
     elif infer:
         reader = reader.option("inferSchema", "true")
-        if infer_sampling_ratio is not None:
-            reader = reader.option("samplingRatio", str(infer_sampling_ratio))
     return reader.csv(path)

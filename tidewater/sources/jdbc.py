@@ -51,10 +51,11 @@ def column_bounds(
     spark: SparkSession, conn: dict[str, str], table: str, column: str
 ) -> tuple[object, object]:
     """(min, max) of ``column``, computed by the database."""
+    name = qualified_name(None, column)
     row = (
         spark.read.format("jdbc")
         .options(**conn)
-        .option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}")
+        .option("query", f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {table}")
         .load()
         .first()
     )

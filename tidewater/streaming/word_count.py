@@ -7,13 +7,19 @@ the batch version (``operators.windowed_counts``), so batch and stream agree.
 
 Sinks and output modes (checked before ``start``):
 
-``console``   complete / update / append, default trigger (as fast as possible)
+``console``   complete / update / append, default trigger (as fast as possible);
+              prints the first rows of each batch and collects no more
 ``csv``       append only, needs a watermark; default trigger 1 minute
 ``parquet``   append only, needs a watermark
-``snapshot``  complete: each batch overwrites a parquet folder with the whole
-              result (``foreachBatch``), the scalable form of a complete table
+``snapshot``  complete: each batch writes the whole result to a folder of its
+              own and then publishes it (``foreachBatch``), the scalable form of
+              a complete table; ``read_snapshot`` reads the last published one
 ``memory``    any mode; collects to the driver, tests only
 
+Malformed records: ``start_records`` writes good and malformed records of a
+stream to one table with one query and one checkpoint, and the counts read the
+good ones from it, so every record is on exactly one side whatever fails when.
+
 Late rows: a row whose window already closed (window end at or before the
 watermark) is dropped by the state operator. On Spark 4 the late-row filter
 uses the previous batch's watermark while eviction uses the current one;
@@ -25,9 +31,11 @@ used; pass ``state_partitions`` / ``state_store`` on the first start.
 from __future__ import annotations
 
 import contextlib
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions.records import (
@@ -137,13 +145,97 @@ def _query_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]
                 spark.conf.set(key, value)
 
 
-def _overwrite_snapshot(path: str):
+# Rows of a batch that the console sink prints.
+CONSOLE_ROWS = 20
+# Published snapshots that stay readable besides the last.
+OLD_SNAPSHOTS = 1
+
+
+def _publish_snapshot(path: str):
+    """Write a batch to a folder of its own, then append it to ``published``.
+
+    Readers follow the last published row, which a file rename makes visible at
+    once, so they see the old snapshot until the new one is whole, also if a
+    batch fails midway or runs again. Older folders are then dropped.
+    """
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        spark = batch.sparkSession
+        folder = f"batch_id={batch_id}-{uuid.uuid4().hex}"
+        batch.write.parquet(f"{path}/{folder}")
+        row = spark.createDataFrame([(batch_id, folder)], "batch_id bigint, folder string")
+        row.coalesce(1).write.mode("append").parquet(f"{path}/published")
+        published = spark.read.parquet(f"{path}/published").orderBy("batch_id", "folder").collect()
+        for old in published[: -1 - OLD_SNAPSHOTS]:
+            _delete(spark, f"{path}/{old.folder}")
 
     return write
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The last published result of the ``snapshot`` sink."""
+    last = spark.read.parquet(f"{path}/published").orderBy(F.desc("batch_id"), F.desc("folder")).first()
+    return spark.read.parquet(f"{path}/{last.folder}")
+
+
+def _show(batch: DataFrame, batch_id: int) -> None:
+    print(f"batch {batch_id}")
+    batch.show(CONSOLE_ROWS, truncate=False)
+
+
+def start_records(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    value_col: str = "value",
+    record_format: str = "fixed",
+    header_chars: int = HEADER_CHARS,
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """Write a stream's records to ``path``, parted by ``malformed``.
+
+    One query, one checkpoint and one exactly-once file sink hold both sides:
+    good records plus malformed ones are the input, also across failures.
+    """
+    parsed = parse_records(lines, value_col, record_format, header_chars, "quarantine")
+    writer = (
+        parsed.select("malformed", "raw_value").writeStream.format("parquet")
+        .partitionBy("malformed").option("path", path).option("checkpointLocation", checkpoint)
+    )
+    if trigger == "available_now":
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
+RECORDS_SCHEMA = "raw_value string, malformed boolean"
+
+
+def read_good_records(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming ``value`` of the good records that ``start_records`` wrote."""
+    _make_folder(spark, path)
+    reader = spark.readStream.schema(RECORDS_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(path).where(~F.col("malformed")).select(F.col("raw_value").alias("value"))
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``raw_value`` of the malformed records that ``start_records`` wrote."""
+    return spark.read.schema(RECORDS_SCHEMA).parquet(path).where("malformed").select("raw_value")
+
+
+def _make_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 def start_counts(
     counts: DataFrame,
     sink: str,
@@ -151,7 +243,6 @@ def start_counts(
     path: str | None = None,
     output_mode: str | None = None,
     trigger: str | None = None,
-    has_watermark: bool = True,
     query_name: str | None = None,
     state_partitions: int | None = None,
     state_store: str | None = "rocksdb",
@@ -170,7 +261,8 @@ def start_counts(
     before still count.
     """
     output_mode = output_mode or DEFAULT_MODE.get(sink, "append")
-    validate_sink(sink, output_mode, has_watermark)
+    plan = counts._jdf.queryExecution().analyzed().toString()
+    validate_sink(sink, output_mode, "EventTimeWatermark" in plan)
     if sink in ("csv", "parquet", "snapshot") and not path:
         raise ValueError(f"sink {sink!r} needs a path")
     writer = counts.writeStream.outputMode(output_mode).option(
@@ -185,25 +277,40 @@ def start_counts(
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
     if sink == "console":
-        writer = writer.format("console").option("truncate", "false")
+        writer = writer.foreachBatch(_show)
     elif sink == "csv":
         writer = writer.format("csv").option("path", path).option("nullValue", CSV_NULL_VALUE)
     elif sink == "parquet":
         writer = writer.format("parquet").option("path", path)
     elif sink == "snapshot":
-        writer = writer.foreachBatch(_overwrite_snapshot(path))
+        writer = writer.foreachBatch(_publish_snapshot(path))
     elif sink == "memory":
         writer = writer.format("memory")
     settings = dict(STREAMING_CONF)  # retention and maintenance, per query
     settings.update(STATE_STORES[state_store] if state_store else {})
-    if state_partitions is not None:
-        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_partitions is None:
+        # A batch job's shuffle width is too wide for state stores.
+        width = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        state_partitions = min(width, max(1, counts.sparkSession.sparkContext.defaultParallelism))
+    settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     if single_watermark:
         settings["spark.sql.streaming.statefulOperator.allowMultiple"] = "false"
     with _query_conf(counts.sparkSession, settings):
         return writer.start()
 
 
+def await_all(queries: list[StreamingQuery]) -> None:
+    """Block until every query has ended; if one fails, stop the others and raise."""
+    try:
+        while any(q.isActive for q in queries):
+            for q in queries:
+                q.awaitTermination(timeout=1)
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+
+
 def run_until_done(query: StreamingQuery) -> dict:
     """Wait for an ``available_now`` query; re-raise its failure; return the
     last progress report."""
