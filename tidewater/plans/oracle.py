@@ -8,9 +8,14 @@ RE2 regular expressions, where ``$`` is the end of the text).
 
 from __future__ import annotations
 
+from tidewater.functions.text import NEWER_WORD_RANGES
+
 _FACT = """
 fact AS (
-  SELECT l_orderkey, l_linenumber, l_suppkey AS AIRLINE,
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_linenumber = 7 THEN NULL
+              WHEN l_suppkey % 10 = 3 THEN l_suppkey + 1000000
+              ELSE l_suppkey END AS AIRLINE,
          CASE WHEN l_returnflag = 'N' THEN NULL
               ELSE CAST(trunc(l_quantity) AS INTEGER) - 25 END AS ARRIVAL_DELAY
   FROM lineitem
@@ -18,7 +23,9 @@ fact AS (
 
 _DIM = """
 dim AS (
-  SELECT s_suppkey AS IATA_CODE, s_name AS AIRLINE FROM supplier WHERE s_nationkey < 20
+  SELECT s_suppkey AS IATA_CODE, s_name AS AIRLINE FROM supplier
+  UNION ALL
+  SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 10 = 5
 )"""
 
 _JOINED = f"""
@@ -37,26 +44,32 @@ FROM joined GROUP BY AIRLINE_NAME
 
 # Stream records built from events, parsed with the consumer's fixed slice,
 # split with Java's String.split(" ") rules.
-_PARSED = """
+_RECORDS = """
 records AS (
-  SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || ' ' || event_type || ' ' || props AS value,
-         epoch_us(ts) AS us
+  SELECT event_id, epoch_us(ts) AS us, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS key,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') ||
+         CASE WHEN event_id % 50 = 7 THEN '   '
+              WHEN event_id % 5 = 1 THEN ' ' || event_type || ' ' || props || '  '
+              WHEN event_id % 5 = 2 THEN ' ' || event_type || '  ' || props
+              ELSE ' ' || event_type || ' ' || props END AS value
   FROM events
-),
+)"""
+
+_PARSED = _RECORDS + """,
 parsed AS (
   SELECT strptime(substr(value, 1, 19), '%Y-%m-%dT%H:%M:%S') AS ts,
-         substr(value, 27) AS message, us
+         substr(value, 27) AS message, us, event_id
   FROM records
 ),
 words AS (
-  SELECT ts, us,
+  SELECT ts, us, event_id,
          CASE WHEN message = '' THEN ['']
               WHEN regexp_full_match(message, ' +') THEN []::VARCHAR[]
               ELSE string_split(regexp_replace(message, ' +$', ''), ' ') END AS arr
   FROM parsed
 ),
 word_rows AS (
-  SELECT ts, us, unnest(arr) AS word FROM words
+  SELECT ts, us, event_id, unnest(arr) AS word FROM words
 )"""
 
 _COUNTS_OF = """
@@ -87,11 +100,22 @@ WHERE END_TIME <= (SELECT max(ts) FROM parsed) - INTERVAL 1 MINUTE"""
 )
 
 # Corpus lines in (doc_id, line_no) order, tokenised on Unicode word runs.
-_LINES = r"""
+_CORPUS = r"""
+corpus AS (
+  SELECT doc_id,
+         CASE WHEN doc_id % 7 = 0 THEN text || chr(10) || ' --- ' || chr(10) || chr(10)
+              ELSE text END AS text
+  FROM documents
+)"""
+
+# Letters and numbers newer than the engine's tables, as on the Spark side.
+_NEWER = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in NEWER_WORD_RANGES)
+
+_LINES = _CORPUS + r""",
 split AS (
   SELECT doc_id,
          regexp_split_to_array(regexp_replace(text, '(\r\n|\r|\n)$', ''), '\r\n|\r|\n') AS ls
-  FROM documents
+  FROM corpus
 ),
 lines AS (
   SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS INTEGER) AS line_no, unnest(ls) AS line
@@ -99,7 +123,7 @@ lines AS (
 ),
 tokens AS (
   SELECT doc_id, line_no,
-         list_filter(regexp_split_to_array(line, '[^\p{L}\p{N}_]+'), lambda x: x <> '') AS toks
+         list_filter(regexp_split_to_array(line, '[^\p{L}\p{N}_""" + _NEWER + r"""]+'), lambda x: x <> '') AS toks
   FROM lines
 ),
 token_text AS (
@@ -117,15 +141,12 @@ SELECT doc_id, line_no{extra},
 FROM {src}"""
 
 _BASE = "TIMESTAMP '2024-01-01 00:00:00'"
-_CAP = 101210
+_CAP = 500
 _ITERATIONS = 3
 
-_CAPPED = f"""
-capped AS (
-  SELECT * FROM token_text WHERE n_tokens > 0 ORDER BY doc_id, line_no LIMIT {_CAP}
-),
+_REPLAYED = f"""
 iterations AS (
-  SELECT *, unnest(range(1, {_ITERATIONS} + 1)) AS iteration FROM capped
+  SELECT *, unnest(range(1, {_ITERATIONS} + 1)) AS iteration FROM token_text WHERE n_tokens > 0
 ),
 replayed AS (
   SELECT *, {_BASE} + (iteration - 1) * INTERVAL 60 SECOND AS tk FROM iterations
@@ -147,12 +168,10 @@ GROUP BY l.quality""",
         "o_orderpriority FROM orders"
     ),
     "text_line_scan": (
-        r"SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM documents"
-    ),
-    "select_rename": (
-        "SELECT s_suppkey AS IATA_CODE, s_name AS AIRLINE_NAME FROM supplier "
-        "WHERE s_nationkey < 20"
+        "WITH " + _CORPUS
+        + r" SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM corpus"
     ),
+    "select_rename": f"WITH {_DIM} SELECT IATA_CODE, AIRLINE AS AIRLINE_NAME FROM dim",
     "left_outer_join": _JOINED + "\nSELECT * FROM joined",
     "count_nonnull_by_key": _JOINED
     + "\nSELECT AIRLINE_NAME, count(AIRLINE) AS FLIGHTS_COUNT FROM joined GROUP BY AIRLINE_NAME",
@@ -177,10 +196,7 @@ SELECT l_orderkey, l_linenumber,
 FROM lineitem""",
     "preview_limit": _JOINED
     + "\nSELECT * FROM joined ORDER BY l_orderkey, l_linenumber LIMIT 20",
-    "envelope_decode": """
-SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS key,
-       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || ' ' || event_type || ' ' || props AS value
-FROM events""",
+    "envelope_decode": "WITH " + _RECORDS + "\nSELECT key, value FROM records",
     "record_split": "WITH " + _PARSED + "\nSELECT ts AS timestamp, message FROM parsed",
     "java_split_words": "WITH "
     + _PARSED
@@ -191,11 +207,7 @@ FROM words""",
     "record_word_counts": "WITH "
     + _PARSED
     + '\nSELECT word AS WORD, count(*) AS "COUNT" FROM word_rows GROUP BY word',
-    "first_space_word_counts": """
-WITH records AS (
-  SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || ' ' || event_type || ' ' || props AS value
-  FROM events
-),
+    "first_space_word_counts": "WITH " + _RECORDS + """,
 msgs AS (SELECT substr(value, strpos(value, ' ') + 1) AS message FROM records),
 words AS (
   SELECT unnest(CASE WHEN message = '' THEN ['']
@@ -208,7 +220,16 @@ SELECT word AS WORD, count(*) AS "COUNT" FROM words GROUP BY word""",
     "stream_counts_complete": _TUMBLING,
     "stream_counts_append": _APPEND,
     "stream_restart": _APPEND,
+    "stream_one_partition": "SELECT *, 1 AS files FROM (" + _APPEND + ") t",
+    "stream_counts_batches": _APPEND,
+    "stream_quarantine": "WITH " + _PARSED + """
+SELECT 'word' AS side, word AS text, CAST(count(*) AS BIGINT) AS n
+FROM word_rows WHERE event_id % 9 <> 4 GROUP BY word
+UNION ALL
+SELECT 'malformed', substr(value, 1, 12), count(*) FROM records WHERE event_id % 9 = 4
+GROUP BY substr(value, 1, 12)""",
     "stream_late_rows": _LATE,
+    "stream_late_rows_single": _LATE,
     "tokenize_lines": "WITH " + _LINES + "\nSELECT * FROM token_text",
     "drop_empty_lines": "WITH " + _LINES + "\nSELECT * FROM token_text WHERE n_tokens > 0",
     "first_n_messages": "WITH "
@@ -224,15 +245,24 @@ capped AS (
     + f""",
 msgs AS (SELECT *, {_BASE} AS tk FROM token_text WHERE n_tokens > 0)"""
     + _MESSAGES.format(extra="", src="msgs"),
+    "message_frames": "WITH "
+    + _LINES
+    + f""",
+msgs AS (
+  SELECT doc_id, line_no, strftime({_BASE}, '%Y-%m-%dT%H:%M:%S.%f') AS key,
+         strftime({_BASE}, '%Y-%m-%dT%H:%M:%S.%f') || ' ' || words AS value
+  FROM token_text WHERE n_tokens > 0
+)
+SELECT *, md5(value) AS value_md5 FROM msgs""",
     "timed_replay": "WITH "
     + _LINES
     + ","
-    + _CAPPED
+    + _REPLAYED
     + _MESSAGES.format(extra=", CAST(iteration AS INTEGER) AS iteration", src="replayed"),
     "replay_counts": "WITH "
     + _LINES
     + ","
-    + _CAPPED
+    + _REPLAYED
     + """
 SELECT CAST(iteration AS INTEGER) AS iteration, tk AS time_key, count(*) AS lines_sent
 FROM replayed GROUP BY ALL""",

@@ -20,14 +20,13 @@ from tidewater.functions.records import explode_words, parse_records
 from tidewater.operators.joins import join_dimension
 from tidewater.operators.layout import spread
 from tidewater.operators.replay import (
-    LINES_PER_ITERATION,
-    capped_lines,
     capped_messages,
     corpus_tokens,
     message_columns,
     nonempty_lines,
     replay,
     replay_counts,
+    to_messages,
 )
 from tidewater.operators.summary import (
     AVG_COL,
@@ -46,15 +45,21 @@ from tidewater.sources.envelope import decode_value, read_envelope_stream
 from tidewater.sources.text import read_lines
 from tidewater.streaming.word_count import (
     CSV_NULL_VALUE,
+    read_good_records,
+    read_rejects,
+    read_snapshot,
     run_until_done,
     start_counts,
+    start_records,
     word_counts,
 )
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-# Replay parameters of the registered queries.
+# Replay parameters of the registered queries; the cap is the feature of
+# ``first_n_messages`` alone.
 REPLAY_ITERATIONS = 3
+FIRST_MESSAGES = 500
 
 SUMMARY_SCHEMA = StructType(
     [
@@ -92,12 +97,13 @@ def delay_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delay_summary_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default's rows by way of a sort-merge join."""
     return _summary(spark, sf_dir, "preagg")
 
 
 def delay_summary_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reference's shape: broadcast dimension, aggregate joined rows; the
-    dimension is row-counted (bounded) before it is broadcast."""
+    dimension is measured before it is broadcast."""
     return _summary(spark, sf_dir, "direct")
 
 
@@ -266,30 +272,77 @@ def _read_counts_csv(spark: SparkSession, path: str) -> DataFrame:
     return _wall_clock(counts, "START_TIME", "END_TIME")
 
 
+def _start(counts: DataFrame, sink: str, spark: SparkSession, path: str, checkpoint: str | None = None, **more):
+    return start_counts(
+        counts, sink, checkpoint or scratch_path(spark, "ckpt"), path=path, trigger="available_now",
+        state_partitions=_state_partitions(spark), **more,
+    )
+
+
 def stream_counts_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = scratch_path(spark, "envelope")
     _stage_envelope(spark, S.table(spark, sf_dir, "events"), source, "all")
     out = scratch_path(spark, "counts-snapshot")
-    query = start_counts(
-        _stream_counts(spark, f"{source}/*"), "snapshot", scratch_path(spark, "ckpt"),
-        path=out, trigger="available_now", state_partitions=_state_partitions(spark),
-    )
-    run_until_done(query)
-    return _wall_clock(spark.read.parquet(out), "START_TIME", "END_TIME")
+    run_until_done(_start(_stream_counts(spark, f"{source}/*"), "snapshot", spark, out))
+    return _wall_clock(read_snapshot(spark, out), "START_TIME", "END_TIME")
 
 
 def stream_counts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = scratch_path(spark, "envelope")
     _stage_envelope(spark, S.table(spark, sf_dir, "events"), source, "all")
     out = scratch_path(spark, "counts-csv")
-    query = start_counts(
-        _stream_counts(spark, f"{source}/*"), "csv", scratch_path(spark, "ckpt"),
-        path=out, trigger="available_now", state_partitions=_state_partitions(spark),
-    )
-    run_until_done(query)
+    run_until_done(_start(_stream_counts(spark, f"{source}/*"), "csv", spark, out))
+    return _read_counts_csv(spark, out)
+
+
+def stream_one_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append counts that leave the stream in one output partition; the rows
+    carry the number of files that hold rows."""
+    source = scratch_path(spark, "envelope")
+    _stage_envelope(spark, S.table(spark, sf_dir, "events"), source, "all")
+    out = scratch_path(spark, "counts-one")
+    lines = decode_value(read_envelope_stream(spark, f"{source}/*"))
+    counts, _ = word_counts(lines, output_partitions=1)
+    run_until_done(_start(counts, "parquet", spark, out))
+    rows = spark.read.parquet(out)
+    files = rows.select(F.col("_metadata.file_path").alias("f")).distinct().count()
+    return _wall_clock(rows, "START_TIME", "END_TIME").withColumn("files", F.lit(files))
+
+
+def stream_counts_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append counts over several micro-batches: four files in time order, one
+    a batch, so state is carried over and windows close batch by batch."""
+    events = S.table(spark, sf_dir, "events")
+    source, cuts, ts = scratch_path(spark, "envelope"), _time_cuts(events, 4), F.col("ts")
+    edges = [None, *cuts, None]
+    for k, (low, high) in enumerate(zip(edges, edges[1:])):
+        part = events if low is None else events.filter(ts >= low)
+        part = part if high is None else part.filter(ts < high)
+        S.events_envelope(spark, "", part).coalesce(1).write.parquet(f"{source}/run{k}")
+    out = scratch_path(spark, "counts-csv")
+    lines = decode_value(read_envelope_stream(spark, f"{source}/*", max_files_per_trigger=1))
+    counts, _ = word_counts(lines)
+    run_until_done(_start(counts, "csv", spark, out))
     return _read_counts_csv(spark, out)
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and malformed records of one stream, side by side: counts of the
+    good ones, and every malformed record as it came."""
+    envelope = S.events_envelope(spark, sf_dir)
+    broken = F.when(F.col("offset") % 9 == 4, F.expr("substring(value, 1, 12)")).otherwise(F.col("value"))
+    source, records, out = (scratch_path(spark, n) for n in ("envelope", "records", "counts"))
+    envelope.withColumn("value", broken).write.parquet(f"{source}/all")
+    lines = decode_value(read_envelope_stream(spark, f"{source}/*"))
+    run_until_done(start_records(lines, records, scratch_path(spark, "ckpt"), trigger="available_now"))
+    counts, _ = word_counts(read_good_records(spark, records))
+    run_until_done(_start(counts, "snapshot", spark, out))
+    good = read_snapshot(spark, out).groupBy(F.col("WORD").alias("text")).agg(F.sum("COUNT").alias("n"))
+    bad = read_rejects(spark, records).groupBy(F.col("raw_value").alias("text")).agg(F.count("*").alias("n"))
+    return good.select(F.lit("word").alias("side"), "text", "n").union(
+        bad.select(F.lit("malformed"), "text", "n"))
+
+
 def _time_cuts(events: DataFrame, parts: int) -> list:
     """Cut points splitting the events' time range into ``parts`` equal spans
     (whole microseconds), as TIMESTAMP_NTZ literals the scan can filter on."""
@@ -306,27 +359,29 @@ def _event_thirds(spark: SparkSession, sf_dir: str):
     return events.filter(ts < c1), events.filter((ts >= c1) & (ts < c2)), events.filter(ts >= c2)
 
 
-def _run_csv_counts(spark: SparkSession, source: str, out: str, ckpt: str) -> dict:
-    query = start_counts(
-        _stream_counts(spark, f"{source}/*"), "csv", ckpt, path=out,
-        trigger="available_now", state_partitions=_state_partitions(spark),
-    )
-    return run_until_done(query)
+def _run_csv_counts(spark: SparkSession, source: str, out: str, ckpt: str, single: bool = False) -> dict:
+    counts = _stream_counts(spark, f"{source}/*")
+    return run_until_done(_start(counts, "csv", spark, out, ckpt, single_watermark=single))
 
 
-def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_late_rows(spark: SparkSession, sf_dir: str, single: bool = False) -> DataFrame:
     """Run 1 sees the middle third; run 2 the last and the first third. The
     first third is older than the watermark run 1 left behind, so it is
     dropped; everything else is counted once its window closes."""
     first, middle, last = _event_thirds(spark, sf_dir)
     source, out, ckpt = (scratch_path(spark, n) for n in ("envelope", "late-csv", "ckpt"))
     _stage_envelope(spark, middle, source, "run1")
-    _run_csv_counts(spark, source, out, ckpt)
+    _run_csv_counts(spark, source, out, ckpt, single)
     _stage_envelope(spark, last.unionByName(first), source, "run2")
-    _run_csv_counts(spark, source, out, ckpt)
+    _run_csv_counts(spark, source, out, ckpt, single)
     return _read_counts_csv(spark, out)
 
 
+def stream_late_rows_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with one watermark for late rows and for closing windows."""
+    return stream_late_rows(spark, sf_dir, single=True)
+
+
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs on one checkpoint: first half, second half, nothing new.
     Each closed window is emitted exactly once across the runs."""
@@ -360,7 +415,7 @@ def drop_empty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_n_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return capped_messages(S.documents(spark, sf_dir), S.REPLAY_BASE_TIME)
+    return capped_messages(S.documents(spark, sf_dir), S.REPLAY_BASE_TIME, FIRST_MESSAGES)
 
 
 def build_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,20 +424,27 @@ def build_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", "line_no", *message_columns(base, "tokens"))
 
 
-def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = capped_lines(nonempty_lines(_tokens(spark, sf_dir)), LINES_PER_ITERATION)
-    return replay(lines, REPLAY_ITERATIONS, S.REPLAY_BASE_TIME,
-                  bounded_rows=LINES_PER_ITERATION)
+def message_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary key and value written as an envelope and decoded back."""
+    path = scratch_path(spark, "frames")
+    timed = replay(nonempty_lines(_tokens(spark, sf_dir)), 1, S.REPLAY_BASE_TIME)
+    to_messages(timed, extra=["doc_id", "line_no"]).write.parquet(path)
+    return spark.read.parquet(path).select(
+        "doc_id", "line_no", F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"), F.md5("value").alias("value_md5"),
+    )
 
 
 def timed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _replayed(spark, sf_dir).select(
+    lines = nonempty_lines(_tokens(spark, sf_dir))
+    return replay(lines, REPLAY_ITERATIONS, S.REPLAY_BASE_TIME).select(
         "doc_id", "line_no", "iteration", *message_columns("time_key", "tokens")
     )
 
 
 def replay_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _wall_clock(replay_counts(_replayed(spark, sf_dir)), "time_key")
+    lines = nonempty_lines(_tokens(spark, sf_dir))
+    return _wall_clock(replay_counts(lines, REPLAY_ITERATIONS, S.REPLAY_BASE_TIME), "time_key")
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -409,12 +471,17 @@ QUERIES: dict[str, QueryFn] = {
     "tumbling_counts": tumbling_counts,
     "stream_counts_complete": stream_counts_complete,
     "stream_counts_append": stream_counts_append,
+    "stream_one_partition": stream_one_partition,
+    "stream_counts_batches": stream_counts_batches,
+    "stream_quarantine": stream_quarantine,
     "stream_late_rows": stream_late_rows,
+    "stream_late_rows_single": stream_late_rows_single,
     "stream_restart": stream_restart,
     "tokenize_lines": tokenize_lines,
     "drop_empty_lines": drop_empty_lines,
     "first_n_messages": first_n_messages,
     "build_messages": build_messages,
+    "message_frames": message_frames,
     "timed_replay": timed_replay,
     "replay_counts": replay_counts_query,
 }
