@@ -8,6 +8,7 @@ from tidewater.llm import (
     embeddings, line_dedup, mixing, packing, simhash, substring_dedup, token_counts, token_files, topk, toxicity,
 )
 from tidewater.llm.common import read_table
+from tidewater.llm.oracle import ORACLE_SQL
 from tidewater.session import scratch_path
 
 
@@ -73,6 +74,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mixing": op2_mixing,
@@ -85,5 +88,3 @@ QUERIES = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_toxicity": op10_toxicity,
 }
-
-ORACLE_SQL: dict[str, str] = {}
