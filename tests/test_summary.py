@@ -123,6 +123,19 @@ def test_direct_falls_back_beyond_the_bound(spark):
     assert small.collect() == dimension_summary(fact, dim, *args).collect()
 
 
+def test_ordering_plan_follows_the_dimension_files(spark, monkeypatch):
+    import tidewater.operators.summary as module
+
+    fact, dim = S.fact_table(spark, SF_SMALL), S.dimension_table(spark, SF_SMALL)
+    args = ("AIRLINE", "ARRIVAL_DELAY", "IATA_CODE", "AIRLINE")
+    small = dimension_summary(fact, dim, *args)
+    monkeypatch.setattr(module, "ONE_PARTITION_BYTES", 0)
+    large = dimension_summary(fact, dim, *args)
+    assert "rangepartitioning" in large._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in small._jdf.queryExecution().executedPlan().toString()
+    assert small.collect() == large.collect()
+
+
 def test_large_result_is_written_in_ordered_parts(spark, scratch):
     path = scratch("parts")
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k")).repartition(6)

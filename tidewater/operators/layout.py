@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The size that Spark knows for ``df`` before running it: for files, their
+    bytes; for sources without a known size, a huge number. Runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin rows read from fewer files than there are task slots.
 

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import format_2dp
 from tidewater.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast
+from tidewater.operators.layout import input_bytes
 
 # Output column names of the summary (fixed values of the reference's output).
 NAME_COL = "AIRLINE_NAME"
@@ -44,6 +45,9 @@ COUNT_COL = "FLIGHTS_COUNT"
 AVG_TEXT_COL = "AVG_ARRIVAL_DELAY_MINUTES"
 AVG_COL = "AVG_ARRIVAL_DELAY"
 
+# Up to this size of the dimension's files the result is sorted in one task.
+ONE_PARTITION_BYTES = 8 * 1024 * 1024
+
 STRATEGIES = ("auto", "direct", "preagg")
 
 
@@ -94,8 +98,10 @@ def dimension_summary(
 ) -> DataFrame:
     """``(NAME_COL, COUNT_COL, AVG_TEXT_COL)``, ascending by the numeric average.
 
-    The result has one row per dimension name plus the null group; it is
-    range-partitioned and sorted. ``ordered=False`` leaves ordering to the sink (see
+    The result has one row per dimension name plus the null group. It is
+    range-partitioned and sorted; where the dimension's files are small, so
+    that the result is too, it is sorted in one partition instead, which saves
+    the sampling of range bounds. ``ordered=False`` leaves ordering to the sink (see
     ``sinks.write_sorted_single_file``). ``output_names`` renames the three
     output columns.
     """
@@ -103,7 +109,9 @@ def dimension_summary(
         fact, dim, fact_key, measure, dim_key, dim_name, strategy, max_broadcast_rows
     ).withColumn(AVG_TEXT_COL, format_2dp(AVG_COL))
     if ordered:
-        agg = agg.orderBy(F.col(AVG_COL).asc_nulls_first())
+        key = F.col(AVG_COL).asc_nulls_first()
+        small = input_bytes(dim) <= ONE_PARTITION_BYTES
+        agg = agg.repartition(1).sortWithinPartitions(key) if small else agg.orderBy(key)
     name, count, text = output_names
     return agg.select(
         F.col(NAME_COL).alias(name), F.col(COUNT_COL).alias(count),
