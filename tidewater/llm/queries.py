@@ -46,7 +46,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), min_words=25)
+    out = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), min_words=20)
     return out.select(
         "doc_id", F.size("removed").alias("n_removed"),
         F.expr("aggregate(removed, 0L, (n, x) -> n + x.end - x.start)").alias("removed_chars"),

@@ -1,7 +1,9 @@
 """Substring dedup by line hashing with original offsets.
 
 A text is cut into units: lines, and within a line the sentences that end with
-``.``, ``!`` or ``?`` and white space. A unit is normalised (white space runs
+``.``, ``!`` or ``?`` and white space. A sentence of fewer than ``UNIT_WORDS``
+words forms a unit with those after it, so that every longer sentence ends a unit
+wherever its line began, and shouted words are no units. A unit is normalised (white space runs
 become one blank, A-Z lower-cased, other ASCII marks dropped) and hashed. Equal
 digests are grouped over all documents; the earliest occurrence by document id
 and position stays. Later occurrences are removed where they stand in a run of
@@ -20,15 +22,24 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewater.llm.common import column, fresh_names, id_text, materialise, schema_of
 
-MIN_WORDS = 25
-_UNIT = re.compile(rb"[^\n]*?(?:[.!?]+(?=[ \t\r\x0b\x0c])|\n|\Z)", re.S)
+MIN_WORDS = 20
+UNIT_WORDS = 4
+_SENTENCE = re.compile(rb"[^\n]*?(?:[.!?]+(?=[ \t\r\x0b\x0c])|\n|\Z)", re.S)
 _MARKS = bytes(b if b >= 128 or chr(b).isalnum() or b in b" \t\n\r\x0b\x0c" else 32 for b in range(256))
 
 
-def units(text: bytes) -> list[tuple[int, int]]:
-    """Byte spans of the units of a text; together they cover it."""
-    spans = [m.span() for m in _UNIT.finditer(text)]
-    return [(a, b) for a, b in spans if b > a]
+def units(text: bytes) -> list[tuple[int, int, list[bytes]]]:
+    """Byte spans and words of the units of a text; together they cover it."""
+    out, start, held = [], 0, []
+    for m in _SENTENCE.finditer(text):
+        end = m.end()
+        if end == m.start():
+            continue
+        held += normal(text[m.start():end])
+        if len(held) >= UNIT_WORDS or text[end - 1] == 10 or end == len(text):
+            out.append((start, end, held))
+            start, held = end, []
+    return out
 
 
 def normal(unit: bytes) -> list[bytes]:
@@ -45,8 +56,7 @@ def unit_digests(rows: DataFrame) -> DataFrame:
             row, pos, digests = [], [], []
             for i, text in enumerate(b.column(1).to_pylist()):
                 text = text.encode()
-                for k, (s, e) in enumerate(units(text)):
-                    found = normal(text[s:e])
+                for k, (_, _, found) in enumerate(units(text)):
                     if found:
                         row.append(i)
                         pos.append(k)
@@ -117,8 +127,8 @@ def cut_runs(text: bytes, repeats: dict, min_words: int):
     if not repeats:
         return text, []
     spans, runs, run = units(text), [], None
-    for k, (s, e) in enumerate(spans):
-        n = len(normal(text[s:e]))
+    for k, (s, e, found) in enumerate(spans):
+        n = len(found)
         if k in repeats:
             if run is None:
                 run = [s, e, repeats[k], 0]
