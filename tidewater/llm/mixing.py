@@ -6,7 +6,7 @@
 2. A document's rate (how often it should be taken) is at least ``least_rate``.
    The rates minimise the squared relative errors of the expected domain token
    totals against the targets, plus a small pull towards a rate of one, by
-   projected gradient descent. A gradient step depends on a document only
+   projected gradient descent (with momentum). A gradient step depends on a document only
    through its posterior, so documents with equal posteriors share a rate, and
    the steps run over the token totals of the distinct posteriors: a table that
    the hundredths bound (5,151 rows for three domains), whatever the input.
@@ -108,17 +108,24 @@ def _adder(weights, base):
     return lambda total, bucket: total + F.element_at(ratios, bucket)
 
 
-def _rate(steps: list[list[float]], shares: Column, pull: float, least: float) -> Column:
-    """The rate of a posterior after the steps, each a value per domain."""
+def _rate(steps: list[list[float]], shares: Column, pull: float, least: float, ahead: bool = False) -> Column:
+    """The rate of a posterior after the steps, each a value per domain and a
+    momentum; ``ahead`` gives the point that the next step starts from."""
     if not steps:
         return F.greatest(F.lit(1.0), F.lit(least))
-    wide, size = F.array(*[_numbers(s) for s in steps]), 1 / (1 + pull)
+    size, d = 1 / (1 + pull), len(steps[0]) - 1
+    wide = F.array(*[_numbers(s) for s in steps])
 
-    def step(rate, slope):
-        push = F.aggregate(F.zip_with(shares, slope, lambda p, g: p * g), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(F.lit(least), rate - size * (push / GRAIN + pull * (rate - 1)))
+    def step(state, slope):
+        start = state["ahead"]
+        push = F.aggregate(F.zip_with(shares, F.slice(slope, 1, d), lambda p, g: p * g), F.lit(0.0),
+                           lambda a, x: a + x)
+        rate = F.greatest(F.lit(least), start - size * (push / GRAIN + pull * (start - 1)))
+        momentum = F.element_at(slope, d + 1)
+        return F.struct(rate.alias("rate"), (rate + momentum * (rate - state["rate"])).alias("ahead"))
 
-    return F.aggregate(wide, F.lit(1.0), step)
+    first = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+    return F.aggregate(wide, first, step, lambda state: state["ahead" if ahead else "rate"])
 
 
 def fit_rates(posteriors: DataFrame, targets: list[float], budget: float | str = "same", least: float = 0.0,
@@ -147,14 +154,15 @@ def fit_rates(posteriors: DataFrame, targets: list[float], budget: float | str =
     share = [max(h / budget, 1e-9) for h in have]
     steps: list[list[float]] = []
     now = have
-    for _ in range(MAX_STEPS):
+    for t in range(MAX_STEPS):
         error = [n / budget - w for n, w in zip(now, wanted)]
         if steps and max(abs(a - b) for a, b in zip(now, before)) <= TOLERANCE * budget:
             break
         # Errors relative to the domain's present share: the step size 1 / (1 + pull)
         # is then below the inverse of the largest eigenvalue.
-        steps.append([e / s for e, s in zip(error, share)])
-        before, now = now, totals(_rate(steps, F.col(shares), pull, least))
+        steps.append([e / s for e, s in zip(error, share)] + [t / (t + 3)])
+        before, now = now, totals(_rate(steps, F.col(shares), pull, least, ahead=True))
+    now = totals(_rate(steps, F.col(shares), pull, least))
     reached = [n / max(sum(now), 1e-9) for n in now]
     return groups.withColumn("rate", _rate(steps, F.col(shares), pull, least)), reached
 
