@@ -13,6 +13,19 @@ def test_scratch_paths_are_fresh(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_clear_scratch_removes_this_applications_paths(spark):
+    import os
+
+    from tidewater.session import clear_scratch, local_dir
+
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert spark.sparkContext.applicationId in path and os.path.isdir(local_dir(path))
+    clear_scratch(spark)
+    assert not os.path.exists(local_dir(path))
+    clear_scratch(spark)  # nothing there is no error
+
+
 def test_maintenance_interval_has_unit():
     assert STREAMING_CONF["spark.sql.streaming.stateStore.maintenanceInterval"].endswith("s")
 
