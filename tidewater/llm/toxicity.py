@@ -40,7 +40,9 @@ DRIFT = 0.15
 SIGNIFICANT = 0.05
 THRESHOLD = 0.3
 STEMS = (6, 5, 4)
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 400_000
+#: Features a task counts before it sends the counts on.
+_HELD_FEATURES = 200_000
 _LETTERS = bytes(b if b >= 128 else (b | 32 if chr(b).isalpha() else 32) for b in range(256))
 
 
@@ -164,15 +166,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 def _weights(texts: DataFrame) -> dict[bytes, float]:
     def counted(batches):
         for b in batches:
-            for label in (0, 1):
-                counts: dict[bytes, int] = {}
-                for text, toxic in zip(raw_texts(b.column(0)), b.column(1).to_pylist()):
-                    if toxic == label:
-                        for f in features(set(words(text))):
-                            counts[f] = counts.get(f, 0) + 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(list(counts), pa.binary()), pa.array(np.full(len(counts), label, np.int32)),
-                    pa.array(list(counts.values()), pa.int64())], ["feature", "toxic", "n"])
+            counts: tuple[dict, dict] = ({}, {})
+            for text, toxic in zip(raw_texts(b.column(0)), b.column(1).to_pylist()):
+                of = counts[toxic]
+                for f in features(set(words(text))):
+                    of[f] = of.get(f, 0) + 1
+                if len(of) > _HELD_FEATURES:
+                    yield summed(of, toxic)
+                    of.clear()
+            for toxic in (0, 1):
+                yield summed(counts[toxic], toxic)
+
+    def summed(counts, toxic):
+        return pa.RecordBatch.from_arrays([
+            pa.array(list(counts), pa.binary()), pa.array(np.full(len(counts), toxic, np.int32)),
+            pa.array(list(counts.values()), pa.int64())], ["feature", "toxic", "n"])
 
     n = {r.toxic: r.n for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
