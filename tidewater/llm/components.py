@@ -17,9 +17,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Each round hangs the neighbours of a node on its smallest neighbour, first
     the larger ones, then the others (large-star, small-star). The links shrink
     towards one star per component in a logarithmic number of rounds. A round
-    is two aggregations and two equi-joins on the node, so a node with very many
-    links is pre-aggregated before the shuffle and its join partition can be
-    split by AQE. Every round is written to the shared checkpoint folder, which
+    is two aggregations and two equi-joins on the node. A node with very many
+    links is pre-aggregated before the shuffle, and as the smallest neighbours are
+    written first, the joins are of plain shuffles, of which Spark splits a hot
+    one. Every round is written to the shared checkpoint folder, which
     cuts the lineage. Only two numbers a round come to the driver.
     """
     links = (
@@ -29,7 +30,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     links = materialise(links, "links")
     state = _fingerprint(links)
     while True:
-        links = materialise(_small_star(_large_star(links)), "links")
+        links = materialise(_small_star(materialise(_large_star(links), "links")), "links")
         new = _fingerprint(links)
         if new == state:
             return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -43,12 +44,12 @@ def _fingerprint(links: DataFrame) -> tuple:
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("v"), F.col("u")))
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    low = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "smallest")
     return (both.where("v > u").join(low, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    low = links.groupBy("u").agg(F.min("v").alias("m"))
+    low = materialise(links.groupBy("u").agg(F.min("v").alias("m")), "smallest")
     hung = links.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hung.union(low.select("u", F.col("m").alias("v"))).distinct()
