@@ -87,8 +87,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = id_text(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
     found = materialise(unit_digests(base), "units")
     first = F.min(F.struct("id", "row", "pos")).alias("first")
-    # A digest of many documents is one row a task before the shuffle.
-    repeated = found.groupBy("hi", "lo").agg(first, F.count("*").alias("n")).where("n > 1").drop("n")
+    # A digest of many documents is one row a task before the shuffle. As a table
+    # of its own the result joins by plain shuffles, of which Spark splits a hot one.
+    repeated = materialise(
+        found.groupBy("hi", "lo").agg(first, F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
     here = F.struct("id", "row", "pos")
     later = (found.join(repeated, ["hi", "lo"]).where(~here.eqNullSafe(F.col("first")))
              .select("id", "row", "pos", F.col("first.id").alias("first_id")).distinct())
