@@ -175,14 +175,15 @@ def _found(distinct, n, width, threshold, deviations):
                   .groupBy("cell").agg(F.sum("n").alias("n")).collect())
     parts = np.array([-(-counts.get(i, 1) // BLOCK_MEMBERS) for i in range(k)])
     first = np.concatenate([[0], np.cumsum(parts)])
-    schema = schema_of(block="bigint", kind="tinyint", rep="bigint", key="bigint", copies="bigint", v="array<double>")
+    schema = schema_of(block="bigint", kind="tinyint", rep="bigint", key="bigint", copies="bigint",
+                       v=distinct.schema["v"].dataType)
 
     def routed(batches):
         between = np.sqrt(np.maximum(0, 2 - 2 * centers @ centers.T))
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
-                reps, keys, copies, vectors = *b.columns[:3], b.column(3).cast(pa.list_(pa.float64()))
+                reps, keys, copies, vectors = b.columns
                 near = _unit(_matrix(vectors, width)) @ centers.T
                 cell = np.argmax(near, axis=1)
                 own = first[cell] + reps.to_numpy() % parts[cell]
