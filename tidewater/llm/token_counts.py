@@ -32,7 +32,11 @@ MAX_TERMINALS = 600_000
 
 
 class UnigramVocabulary:
-    """Pieces with unigram log scores, and the length of the longest."""
+    """Pieces with unigram log scores, and all their prefixes.
+
+    ``prefixes`` maps a prefix of any piece to its score, or to None if it is no
+    piece itself.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -45,15 +49,17 @@ class UnigramVocabulary:
         for i in range(n):
             if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i)):
                 self.scores[model.id_to_piece(i)] = -math.log(i + 2) - total
-        self.longest = max(map(len, self.scores), default=1)
+        self.prefixes: dict[str, float | None] = {p[:n]: None for p in self.scores for n in range(1, len(p))}
+        self.prefixes.update(self.scores)
 
 
 class PrefixTrie:
     """Terminal counts of pre-tokens; forward scores are shared along prefixes.
 
     Sorted insertion walks the trie depth first, so only the path from the root
-    to the last pre-token has to be kept: ``_best[i]`` and ``_tokens[i]`` belong
-    to the node at depth i of that path.
+    to the last pre-token has to be kept: ``best[i]`` and ``tokens[i]`` belong to
+    the node at depth i of that path, and ``alive[i]`` holds the depths from
+    which the path up to there is still a prefix of some piece.
     """
 
     def __init__(self, vocabulary: UnigramVocabulary):
@@ -63,27 +69,32 @@ class PrefixTrie:
 
     def insert(self, words) -> None:
         """Add distinct pre-tokens (without the mark) that are not in yet."""
-        scores, longest, byte_score = self.vocabulary.scores, self.vocabulary.longest, self.vocabulary.byte_score
-        best, tokens, path = [0.0], [0], ""
+        prefixes, byte_score = self.vocabulary.prefixes, self.vocabulary.byte_score
+        best, tokens, alive, path = [0.0], [0], [[]], ""
         for word in sorted(words):
             marked = WORD_MARK + word
             shared = len(os.path.commonprefix([path, marked]))
-            del best[shared + 1:], tokens[shared + 1:]
+            del best[shared + 1:], tokens[shared + 1:], alive[shared + 1:]
             for j in range(shared + 1, len(marked) + 1):
                 self.nodes += 1
-                top, n = None, 0
-                for i in range(max(0, j - longest), j):
-                    s = scores.get(marked[i:j])
+                top, n, still = None, 0, []
+                for i in (*alive[j - 1], j - 1):
+                    s = prefixes.get(marked[i:j], 0)
+                    if s == 0:  # no prefix of a piece (scores are below zero)
+                        continue
+                    still.append(i)
                     if s is not None:
                         s += best[i]
                         if top is None or s > top or (s == top and tokens[i] < n - 1):
                             top, n = s, tokens[i] + 1
-                size = len(marked[j - 1].encode())
+                c = marked[j - 1]
+                size = 1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
                 s = best[j - 1] + size * byte_score
                 if top is None or s > top:
                     top, n = s, tokens[j - 1] + size
                 best.append(top)
                 tokens.append(n)
+                alive.append(still)
             path = marked
             self.counts[word] = (tokens[-1], best[-1])
 
