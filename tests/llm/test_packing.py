@@ -81,6 +81,18 @@ def test_best_fit_rules(lengths, open_bins):
     assert len(set(bins.tolist())) == n_bins
 
 
+def test_few_sequences_beyond_the_open_bins(spark):
+    """Far more pieces over half a sequence in one task than bins stay open."""
+    rng = np.random.default_rng(7)
+    lengths = np.concatenate([rng.integers(1025, 2048, 9000), rng.integers(20, 900, 21000)]).tolist()
+    rows = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(lengths)],
+                                 "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    got = packing.pack(rows).collect()
+    assert sorted(r.length for r in got) == sorted(lengths)
+    least = -(-sum(lengths) // 2048)
+    assert len(check_packed(got, 2048)) <= 1.005 * least
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab Zé.\n\t ,'s!\x1c\x85\xa0²½ñ字<|>\r\x0b_-0 9😀ßµªºlld", max_size=40))
 def test_cached_ids_are_the_librarys(library, text):

@@ -4,6 +4,10 @@ Bounded-space best-fit: at most ``OPEN_BINS`` bins are open at a time. They are
 kept by free space, and a bitset has bit f set if some open bin has f free
 tokens, so the tightest fit is the lowest set bit at or above a piece's length.
 When a bin must be opened beyond the bound, the fullest open one closes first.
+
+Pieces come in rounds of at most ``OPEN_BINS`` pieces, each round with the same mix
+of lengths, longest first: long pieces open no more bins than stay open until
+the small ones that fill them.
 """
 
 from __future__ import annotations
@@ -59,6 +63,16 @@ def best_fit(lengths, capacity: int = CAPACITY, open_bins: int = OPEN_BINS):
     return bins, offsets
 
 
+def best_fit_in_rounds(lengths: np.ndarray, capacity: int = CAPACITY, open_bins: int = OPEN_BINS):
+    """``best_fit`` of lengths sorted longest first, dealt out one by one to rounds
+    of at most ``open_bins`` pieces; results in the order of ``lengths``."""
+    rounds = -(-len(lengths) // open_bins)
+    order = np.argsort(np.arange(len(lengths)) % rounds, kind="stable")
+    bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    bins[order], offsets[order] = best_fit(lengths[order].tolist(), capacity, open_bins)
+    return bins, offsets
+
+
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``(id, piece, start, length, ids_crc32)``: documents cut into pieces.
@@ -100,9 +114,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
     """``pieces`` with ``sequence_id`` and ``offset``.
 
     Pieces are dealt out evenly whatever their documents, some 250,000 to a
-    task, and each task feeds them longest first to its own bins, so at most
-    ``open_bins`` sequences a task end partly filled. A sequence id is the
-    task's number and the bin's. Equal pieces keep the order of id and piece.
+    task, and each task feeds them in rounds of mixed lengths to its own bins. A
+    sequence id is the task's number and the bin's. Pieces of one length are dealt
+    to the rounds in the order of id and piece.
     """
     table = materialise(pieces, "pieces")
     n_tasks = -(-table.count() // task_pieces) or 1
@@ -116,7 +130,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
         if not rows:
             return
         whole = pa.Table.from_batches(rows)
-        bins, offsets = best_fit(whole.column("length").to_pylist(), capacity, open_bins)
+        bins, offsets = best_fit_in_rounds(whole.column("length").to_numpy(), capacity, open_bins)
         whole = whole.append_column("sequence_id", pa.array(bins + base))
         yield from whole.append_column("offset", pa.array(offsets)).to_batches(max_chunksize=50_000)
 
