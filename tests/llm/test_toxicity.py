@@ -78,3 +78,23 @@ def test_no_labels_or_one_class(spark, odd_docs):
     for labels in (none, one):
         model = toxicity.fit_toxicity(odd_docs, labels)
         assert {r.predicted for r in toxicity.score_toxicity(odd_docs, model, keep=("doc_id",)).collect()} == {0}
+
+
+def test_sampled_classes_keep_their_share(spark):
+    """The fit on a tenth of the clean labels decides like the fit on all of them."""
+    rng = np.random.default_rng(3)
+    neutral = [f"{a}{b}" for a in "bdfgklmnprst" for b in ("an", "el", "ino", "ora", "ud")]
+    rows = []
+    for k in range(3300):
+        text, toxic = rng.choice(neutral, 30).tolist(), int(k % 11 == 0)
+        if toxic or k % 11 == 1 and k % 3 == 0:  # some clean texts hold the same word
+            text.insert(5, "vilest")
+        rows.append((k, " ".join(text), toxic))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    labels = docs.select("doc_id", "toxic")
+    models = [toxicity.fit_toxicity(docs, labels, max_labelled=n) for n in (10_000, 300)]
+    assert abs(models[0].intercept - models[1].intercept) < 1.0
+    assert abs(models[0].weights[b"vilest"] - models[1].weights[b"vilest"]) < 0.5
+    held = spark.createDataFrame([(" ".join(rng.choice(neutral, 30)) + " vilest",)], "text string")
+    scores = [toxicity.score_toxicity(held, m).first().score for m in models]
+    assert abs(scores[0] - scores[1]) < 0.08

@@ -144,26 +144,30 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     ``labels`` holds the rows that may be learned from; an id with several
     labels counts as toxic if any of them is 1; rows without an id or a label
-    do not count, and equal texts count once. Without toxic documents no
+    do not count, and equal texts count once. A class with more labels than
+    are sampled weighs as much as all its labels. Without toxic documents no
     text is toxic.
     """
     known = (labels.select(column(labels, id_col).alias("id"), column(labels, label_col).alias("toxic"))
              .where("id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic")))
-    sample = stable_sample(known.where("toxic = 1"), F.col("id"), max_labelled).union(
-        stable_sample(known.where("toxic = 0"), F.col("id"), max_labelled))
+    labelled = {int(r.toxic): r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sample = stable_sample(known.where("toxic = 1"), F.col("id"), max_labelled, labelled.get(1, 0)).union(
+        stable_sample(known.where("toxic = 0"), F.col("id"), max_labelled, labelled.get(0, 0)))
+    # What a sampled row of each class stands for.
+    weights = [max(1.0, labelled.get(c, 0) / max_labelled) for c in (0, 1)]
     # At most 2 x max_labelled rows are broadcast.
     texts = (id_text(docs, id_col, text_col).join(F.broadcast(sample), "id")
              .groupBy("text").agg(F.max("toxic").cast("int").alias("toxic")).persist())
     try:
-        model = ToxicityModel(_weights(texts))
+        model = ToxicityModel(_weights(texts, weights))
         if model.weights:
-            _calibrate(model, texts)
+            _calibrate(model, texts, weights)
         return model
     finally:
         texts.unpersist()
 
 
-def _weights(texts: DataFrame) -> dict[bytes, float]:
+def _weights(texts: DataFrame, weights: list[float]) -> dict[bytes, float]:
     def counted(batches):
         for b in batches:
             counts: tuple[dict, dict] = ({}, {})
@@ -188,7 +192,8 @@ def _weights(texts: DataFrame) -> dict[bytes, float]:
         return {}
     counts = texts.mapInArrow(counted, "feature binary, toxic int, n bigint").groupBy("feature").agg(
         F.sum(F.col("n") * F.col("toxic")).alias("t"), F.sum(F.col("n") * (1 - F.col("toxic"))).alias("c"))
-    prior = PRIOR_DOCS * (F.col("t") + F.col("c")) / (toxic + clean)
+    prior = (PRIOR_DOCS * (weights[1] * F.col("t") + weights[0] * F.col("c"))
+             / (weights[1] * toxic + weights[0] * clean))
     odds = (F.log((F.col("t") + prior) / (toxic + PRIOR_DOCS - F.col("t") - prior + 1))
             - F.log((F.col("c") + prior) / (clean + PRIOR_DOCS - F.col("c") - prior + 1)))
     least = max(MIN_TOXIC_DOCS, MIN_TOXIC_SHARE * toxic)
@@ -197,7 +202,7 @@ def _weights(texts: DataFrame) -> dict[bytes, float]:
     return {bytes(r.feature): r.odds for r in kept.collect()}
 
 
-def _calibrate(model: ToxicityModel, texts: DataFrame) -> None:
+def _calibrate(model: ToxicityModel, texts: DataFrame, weights: list[float]) -> None:
     """Set lambda and K from the clean texts, then the logistic fit."""
 
     def scanned(batches):
@@ -224,7 +229,8 @@ def _calibrate(model: ToxicityModel, texts: DataFrame) -> None:
     finally:
         rows.unpersist()
     evidence = np.array([model.evidence(max(1, r.n), [(0, 0, s) for s in r.segments])[0] for r in seen])
-    model.slope, model.intercept = _logistic(np.log1p(evidence), np.array([r.toxic for r in seen], dtype=float))
+    toxic = np.array([r.toxic for r in seen], dtype=float)
+    model.slope, model.intercept = _logistic(np.log1p(evidence), toxic, np.where(toxic == 1, weights[1], weights[0]))
 
 
 def _rate(shares: dict[float, float]) -> float:
@@ -241,14 +247,14 @@ def _rate(shares: dict[float, float]) -> float:
     return max(low, 1e-3)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a lightly penalised logistic fit (Newton)."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of a lightly penalised, weighted logistic fit (Newton)."""
     design, beta = np.column_stack([x, np.ones_like(x)]), np.zeros(2)
     penalty = np.diag([1e-2, 1e-2])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        hessian = design.T @ (design * (p * (1 - p))[:, None]) + penalty
-        step = np.linalg.solve(hessian, design.T @ (y - p) - penalty @ beta)
+        hessian = design.T @ (design * (weight * p * (1 - p))[:, None]) + penalty
+        step = np.linalg.solve(hessian, design.T @ (weight * (y - p)) - penalty @ beta)
         beta += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
