@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 from corpus_rows import *  # noqa: F403  fixtures
@@ -65,6 +66,26 @@ def test_passages_anywhere_in_a_line(spark):
         assert left + text[at:] == r.text
 
 
+def test_passages_inside_longer_sentences(spark):
+    """No sentence of the texts repeats, only 50 words within them do."""
+    rng = random.Random(5)
+
+    def some(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+
+    rows = []
+    for k in range(40):
+        passage = some(50)
+        rows += [(2 * k, f"{some(9)} {passage} {some(12)}."), (2 * k + 1, f"{some(23)} {passage.upper()}, {some(5)}")]
+    rows += [(100, some(400)), (101, some(400))]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    cut = {r.doc_id: [x.first_id for x in r.removed] for r in got}
+    assert sum(bool(v) for k, v in cut.items() if k < 80) >= 38
+    assert all(v == ([k - 1] if k % 2 and k < 80 and v else []) for k, v in cut.items())
+    for r in got:
+        assert all(len(dict(rows)[r.doc_id][x.start:x.end].split()) <= 50 for x in r.removed)
+
+
 def test_odd_rows(odd_docs, odd_rows, no_docs):
     out = remove_repeats(odd_docs, min_words=2)
     assert out.columns == [*odd_docs.columns, "removed_"]

@@ -3,7 +3,11 @@
 A text is cut into units: lines, and within a line the sentences that end with
 ``.``, ``!`` or ``?`` and white space. A sentence of fewer than ``UNIT_WORDS``
 words forms a unit with those after it, so that every longer sentence ends a unit
-wherever its line began, and shouted words are no units. A unit is normalised (white space runs
+wherever its line began, and shouted words are no units. Inside a sentence a unit
+also ends before each word with no smaller hash among the ``REACH`` words on
+either side, so two copies of a passage share their inner units wherever their
+sentences begin and end, and no such unit has fewer words than ``REACH``. A unit is
+normalised (white space runs
 become one blank, A-Z lower-cased, other ASCII marks dropped) and hashed. Equal
 digests are grouped over all documents; the earliest occurrence by document id
 and position stays. Later occurrences are removed where they stand in a run of
@@ -24,10 +28,48 @@ from tidewater.llm.common import column, fresh_names, id_text, materialise, sche
 
 MIN_WORDS = 20
 UNIT_WORDS = 4
+#: Words on either side that decide whether a word begins a unit.
+REACH = 4
+_CACHE_WORDS = 400_000
 _SENTENCE = re.compile(rb"[^\n]*?(?:[.!?]+(?=[ \t\r\x0b\x0c])|\n|\Z)", re.S)
 _MARKS = bytes(b if b >= 128 or chr(b).isalnum() or b in b" \t\n\r\x0b\x0c" else 32 for b in range(256))
 
 
+_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
+
+
+class _Ranks(dict):
+    """Hashes of the words met so far."""
+
+    def __missing__(self, word):
+        if len(self) > _CACHE_WORDS:
+            self.clear()
+        rank = self[word] = xxhash.xxh3_64_intdigest(word)
+        return rank
+
+
+_ranks = _Ranks()
+
+
+def inner_starts(found: list[bytes]) -> list[int]:
+    """The words of a sentence that begin a unit: no smaller hash among the
+    ``REACH`` words on either side. Of equal hashes those ``REACH`` apart count, so
+    a word or phrase said over and over is cut into equal units."""
+    ranks = [_ranks[w] for w in found] if len(found) > 2 * REACH else []
+    out, i = [], REACH
+    while i < len(ranks) - REACH:
+        near = ranks[i - REACH:i + REACH + 1]
+        least = min(near)
+        if near[REACH] == least:
+            out.append(i)
+            i += REACH
+        elif least in near[REACH + 1:]:
+            i += near.index(least, REACH + 1) - REACH
+        else:  # no word nearer than this can be a least one
+            i += near.index(least) + 1
+    return out
+
+
 def units(text: bytes) -> list[tuple[int, int, list[bytes]]]:
     """Byte spans and words of the units of a text; together they cover it."""
     out, start, held = [], 0, []
@@ -35,7 +77,15 @@ def units(text: bytes) -> list[tuple[int, int, list[bytes]]]:
         end = m.end()
         if end == m.start():
             continue
-        held += normal(text[m.start():end])
+        found, used = normal(text[m.start():end]), 0
+        inner = inner_starts(found)
+        if inner:
+            places = [w.start() for w in _WORD.finditer(text[m.start():end].lower().translate(_MARKS))]
+            for k in inner:
+                cut = m.start() + places[k]
+                out.append((start, cut, held + found[used:k]))
+                start, held, used = cut, [], k
+        held += found[used:]
         if len(held) >= UNIT_WORDS or text[end - 1] == 10 or end == len(text):
             out.append((start, end, held))
             start, held = end, []
