@@ -1,0 +1,84 @@
+import hashlib
+import re
+
+from corpus_rows import *  # noqa: F403  fixtures
+from hypothesis import given, settings, strategies as st
+
+from tidewater.llm.fill_middle import SkipList, fill_middle, restore, restore_texts, transform, unit_ends
+from tidewater.llm.queries import op13_fill_middle
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain_row(doc_id, text):
+    text = text or ""
+    units = UNIT.findall(text)
+    h = [int(sha(f"42:{'' if doc_id is None else doc_id}")[8 * i:8 * i + 8], 16) for i in range(4)]
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return (doc_id, n, "plain", None, None, sha(text), sha(text))
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = ("".join(u) for u in (units[:a], units[a:b], units[b:]))
+    form = "spm" if h[3] % 100 < 80 else "psm"
+    out = f"<S>{suffix}<P>{prefix}<M>{middle}" if form == "spm" else f"<P>{prefix}<S>{suffix}<M>{middle}"
+    return (doc_id, n, form, len(prefix), len(middle), sha(out), sha(text))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab \n\t\x0b\x1f\x85  é字😀<PSM>"))
+def test_units_and_seek(text):
+    raw, units = text.encode(), UNIT.findall(text)
+    byte_ends, char_ends = unit_ends(raw)
+    assert [raw[a:b].decode() for a, b in zip([0, *byte_ends], byte_ends)] == units
+    held = SkipList(char_ends, byte_ends, step=2)
+    for rank in range(len(units) + 1):
+        head = "".join(units[:rank])
+        assert held.seek(rank) == (len(head), len(head.encode()))
+
+
+def test_long_list_has_lanes_and_short_walks():
+    text = "".join(f"wört{i} " for i in range(30_000)).encode()
+    byte_ends, char_ends = unit_ends(text)
+    held = SkipList(char_ends, byte_ends)
+    assert len(held.lanes) >= 4 and [len(lane[0]) for lane in held.lanes] == sorted(
+        (len(lane[0]) for lane in held.lanes), reverse=True)
+    for rank in (0, 1, 17, 15_000, 29_999, 30_000):
+        assert held.seek(rank) == (0 if not rank else char_ends[rank - 1], 0 if not rank else byte_ends[rank - 1])
+    # Lanes lead to the same node: each link's widths are the sum of those below it.
+    for low, high in zip(held.lanes, held.lanes[1:]):
+        stops = [*high[3].tolist()]
+        for k, (a, b) in enumerate(zip(stops, stops[1:])):
+            assert (low[0][a:b].sum(), low[1][a:b].sum(), low[2][a:b].sum()) == (high[0][k], high[1][k], high[2][k])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="a <>PSM\né", max_size=30), st.integers(0, 500))
+def test_round_trip(text, doc_id):
+    raw = text.encode()
+    _, form, _, _, output = transform(raw, doc_id)
+    assert restore(output, form) == raw
+
+
+def test_query_matches_definition(spark, scratch):
+    rows = [(i, t) for i, t in enumerate(
+        [None, "", " ", "one", " one  two\n", "a<P>b c", "x <S", "y> <M", "<M>", "é 字 😀 end\t"] * 12)]
+    rows += [(7, "same id, another text"), (None, "no id here"), (None, None), (-5, "less than zero words")]
+    folder = scratch("docs")
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    out = op13_fill_middle(spark, folder)
+    assert [f"{f.name} {f.dataType.simpleString()}" for f in out.schema] == [
+        "doc_id bigint", "n bigint", "form string", "prefix_chars bigint", "middle_chars bigint",
+        "output_sha256 string", "restored_sha256 string"]
+    got = list(map(tuple, out.collect()))
+    assert sorted(got, key=str) == sorted((plain_row(*r) for r in rows), key=str)
+    assert {r[2] for r in got} == {"plain", "spm", "psm"}
+
+
+def test_odd_rows(odd_docs, odd_rows, no_docs):
+    out = restore_texts(fill_middle(odd_docs)).collect()
+    assert sorted([(r.id, r.restored) for r in out], key=str) == sorted([(i, t or "") for i, t in odd_rows], key=str)
+    assert restore_texts(fill_middle(no_docs)).collect() == []

@@ -61,8 +61,36 @@ ranked AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
+FILL_MIDDLE = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+),
+drawn AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS r1,
+         CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS r2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM units
+),
+cuts AS (
+  SELECT *, array_to_string(u[1:least(r1, r2)], '') AS prefix,
+         array_to_string(u[least(r1, r2) + 1:greatest(r1, r2)], '') AS middle,
+         array_to_string(u[greatest(r1, r2) + 1:n], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cuts"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op3_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
     "op9_exact_top_k": EXACT_TOP_K,
+    "op13_fill_middle": FILL_MIDDLE,
 }

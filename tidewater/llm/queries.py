@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.llm import (
-    embeddings, line_dedup, mixing, packing, simhash, substring_dedup, token_counts, token_files, topk, toxicity,
+    embeddings, fill_middle, line_dedup, mixing, packing, periodic_runs, simhash, substring_dedup, token_counts,
+    token_files, topk, toxicity,
 )
 from tidewater.llm.common import read_table
 from tidewater.llm.oracle import ORACLE_SQL
@@ -74,6 +75,42 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def _planted_repeats(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents with their words from a drawn place on replaced by
+    repeats of the first few of these words; all others as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", (F.floor(h / 10)).alias("g"), F.when(h % 10 == 0, split).alias("words"))
+    n = F.size("words")
+    rows = rows.withColumn("n", n).withColumn("a", F.col("g") % F.nullif("n", F.lit(0)))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.expr(
+        "concat_ws(' ', slice(words, 1, int(a)), "
+        "slice(flatten(array_repeat(slice(words, int(a) + 1, int(p)), int(ceil((n - a) / p)))), 1, int(n - a)))"
+    )).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _planted_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = periodic_runs.periodic_runs(docs, min_words=12)
+    first = F.expr("array_min(transform(runs, r -> struct(-r.length as length, r.start as start, r.period as period)))")
+    listed = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
+    return (out.withColumn("first", first)
+            .select(F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), "first.start",
+                    (-F.col("first.length")).alias("length"), "first.period",
+                    F.floor(-1000 * F.col("first.length") / F.col("first.period")).alias("exponent_milli"),
+                    F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.fill_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fill_middle.restore_texts(cut).select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {
@@ -87,4 +124,6 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_toxicity": op10_toxicity,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_fill_middle": op13_fill_middle,
 }
