@@ -8,7 +8,7 @@ from tidewater.llm.queries import ORACLE_SQL, QUERIES
 
 def test_one_query_an_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
 

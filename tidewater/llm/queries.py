@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.llm import (
-    embeddings, fill_middle, line_dedup, mixing, packing, periodic_runs, simhash, substring_dedup, token_counts,
-    token_files, topk, toxicity,
+    embeddings, fill_middle, language_model, line_dedup, mixing, packing, periodic_runs, simhash, substring_dedup,
+    token_counts, token_files, topk, toxicity,
 )
 from tidewater.llm.common import read_table
 from tidewater.llm.oracle import ORACLE_SQL
@@ -75,6 +75,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    out = language_model.language_model_scores(docs, ~held_out)
+    return out.select(F.col("id").alias("doc_id"), (~F.col("learn")).alias("held_out"), "n_tokens", "n_known",
+                      "train_tokens", "base_score", "score")
+
+
 def _planted_repeats(docs: DataFrame) -> DataFrame:
     """A tenth of the documents with their words from a drawn place on replaced by
     repeats of the first few of these words; all others as they are."""
@@ -124,6 +132,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_toxicity": op10_toxicity,
+    "op11_language_model": op11_language_model,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_fill_middle": op13_fill_middle,
 }
