@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 import xxhash
 from corpus_rows import *  # noqa: F403  fixtures
 from hypothesis import given, settings, strategies as st
@@ -51,20 +52,56 @@ def test_keep_one(odd_docs, no_docs):
     assert simhash.simhash_components(no_docs).collect() == []
 
 
-def test_many_shards_and_blocks(spark, monkeypatch, groups_of):
-    monkeypatch.setattr(simhash, "BLOCK_MEMBERS", 64)
-    monkeypatch.setattr(simhash, "SAMPLE", 400)
-    draw = np.random.default_rng(5)
-    base = draw.integers(0, 2**63, 900, dtype=np.uint64)
-    near = base[:300] ^ (np.uint64(1) << draw.integers(0, 64, 300).astype(np.uint64))
-    hot = base[0] ^ (np.uint64(1) << draw.integers(0, 64, 300).astype(np.uint64)) ^ (
-        np.uint64(1) << draw.integers(0, 64, 300).astype(np.uint64))
-    values = np.unique(np.concatenate([base, near, hot]))
+def linked_rows(spark, values, groups_of, reach=4):
+    """Groups by ``hamming_links`` and by all pairs."""
     rows = [(int(v), k) for k, v in enumerate(values.view(np.int64))]
-    found = simhash.hamming_links(spark.createDataFrame(rows, "fp bigint, rep bigint"), 4).collect()
-    linked = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
+    found = simhash.hamming_links(spark.createDataFrame(rows, "fp bigint, rep bigint"), reach).collect()
+    linked = np.bitwise_count(values[:, None] ^ values[None, :]) <= reach
     nodes = range(len(values))
-    assert groups_of(nodes, [(r.a, r.b) for r in found]) == groups_of(nodes, zip(*np.nonzero(linked)))
+    return groups_of(nodes, [(r.a, r.b) for r in found]), groups_of(nodes, zip(*np.nonzero(linked)))
+
+
+def clusters(seed, n=900, hot=300, flips=2):
+    """Unrelated fingerprints, neighbours of some of them, and a cluster around one."""
+    draw = np.random.default_rng(seed)
+    base = draw.integers(0, 2**63, n, dtype=np.uint64)
+
+    def flipped(x, times):
+        for _ in range(times):
+            x = x ^ (np.uint64(1) << draw.integers(0, 64, len(x)).astype(np.uint64))
+        return x
+
+    return np.unique(np.concatenate([base, flipped(base[:n // 3], 1), flipped(base[n // 3:n // 2], 4),
+                                     flipped(np.repeat(base[:1], hot), flips)]))
+
+
+@pytest.mark.parametrize("members", [4_096, 64, 16])
+def test_many_shards_and_blocks(spark, monkeypatch, groups_of, members):
+    monkeypatch.setattr(simhash, "BLOCK_MEMBERS", members)
+    monkeypatch.setattr(simhash, "SAMPLE", 200)
+    got, want = linked_rows(spark, clusters(5, flips=4), groups_of)
+    assert got == want
+
+
+@pytest.mark.parametrize("most", [2**-6, 2**-16, 2**-22])
+def test_more_segments(spark, monkeypatch, groups_of, most):
+    monkeypatch.setattr(simhash, "segment_masks", lambda n, reach, of=simhash.segment_masks: of(int(n / most), reach))
+    got, want = linked_rows(spark, clusters(6), groups_of)
+    assert got == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 2**64 - 1), st.sets(st.integers(0, 63), max_size=6), st.integers(1, 2**40), st.integers(1, 6))
+def test_close_fingerprints_share_a_choice(value, flips, n, reach):
+    other = value
+    for bit in flips:
+        other ^= 1 << bit
+    shared = any(value & m == other & m for m in simhash.segment_masks(n, reach))
+    assert shared or len(flips) > reach
+
+
+def test_rows_grow_with_the_fingerprints():
+    assert [len(simhash.segment_masks(n, 4)) for n in (10, 50_000, 1_000_000, 100_000_000, 10**11)] == [5, 5, 5, 15, 70]
 
 
 @settings(max_examples=40, deadline=None)

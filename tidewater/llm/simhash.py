@@ -1,15 +1,22 @@
 """SimHash near-dedup: 64-bit fingerprints linked by Hamming distance.
 
-A vantage-point tree over a bounded sample cuts the distinct fingerprints into
-shards. A fingerprint is a member of one shard; as a query it also goes to every
-later shard whose region its ball of radius r overlaps (the triangle bound: the
-distances of two linked fingerprints to a vantage point differ by r at most).
-Inside a shard a second vantage-point tree prunes branches by the same bound,
-and its leaves are compared exactly. So every pair within r bits is found.
+Two fingerprints within r bits agree on whole segments of their bits: of r + 1
+segments on one at least, of r + a on a. A shard holds the fingerprints that agree
+on one choice of a segments, so each distinct fingerprint is in a fixed number of
+shards, and no ball around it overlaps another shard of the same choice.
+
+Inside a shard a vantage-point tree prunes branches by the triangle bound (the
+distances of two linked fingerprints to a vantage point differ by r at most), and
+its leaves are compared exactly. A shard with many members is cut into blocks by a
+tree over a bounded sample: a fingerprint is a member of one block, and a query to
+every later block whose region its ball of radius r overlaps. So every pair within
+r bits is found.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -21,11 +28,15 @@ from tidewater.llm.components import connected_components
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
-#: Fingerprints that the shard tree is fitted on, at most (all are indexed).
+#: Fingerprints of large shards that the tree of their blocks is fitted on, at most.
 SAMPLE = 20_000
-#: Members held by one block of a shard, at most about this many.
-BLOCK_MEMBERS = 16_384
+#: Beyond this many members a shard is cut into blocks, and a block into parts.
+BLOCK_MEMBERS = 4_096
+#: Unrelated fingerprints a shard, at most about this many.
+SHARD_MEMBERS = 256
 LEAF = 256
+#: Rows of shards searched by one task, about.
+TASK_ROWS = 20_000
 _SHINGLE_CHUNK = 4096
 
 
@@ -138,6 +149,8 @@ class VantageTree:
 
 
 _EDGES = "a bigint, b bigint"
+#: Kinds of rows sent to a block; at home a query only meets the block's other parts.
+MEMBER, QUERY, AT_HOME = 0, 1, 2
 
 
 class _Shard:
@@ -185,50 +198,77 @@ def _edges(a, b):
     return pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
 
+def segment_masks(n: int, reach: int) -> list[int]:
+    """Masks of the choices of segments that shards agree on.
+
+    With more fingerprints shards agree on more segments, so that unrelated
+    fingerprints fill no shard; whatever the choice, no pair within reach is lost.
+    """
+    agree = 1
+    while n > SHARD_MEMBERS << (64 * agree // (reach + agree)) and agree < 4:
+        agree += 1
+    edges = [64 * i // (reach + agree) for i in range(reach + agree + 1)]
+    segments = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
+    return [sum(choice) for choice in combinations(segments, agree)]
+
+
 def hamming_links(distinct: DataFrame, reach: int = MAX_BITS) -> DataFrame:
     """``(a, b)`` links that connect the ``rep`` values of all fingerprints
     within ``reach`` bits, directly or over other links; ``distinct`` has one
     row ``(fp, rep)`` per fingerprint and is read several times."""
     n = distinct.count()
-    sample = np.array([r.fp for r in stable_sample(distinct.select("fp"), F.col("fp"), SAMPLE, n).collect()],
-                      dtype=np.int64).view(np.uint64)
-    leaf = max(64, round(BLOCK_MEMBERS * len(sample) / max(1, n)))
-    tree = VantageTree(sample, leaf, reach)
-
-    def homes(batches):
-        for b in batches:
-            at = tree.home(b.column(0).to_numpy().view(np.uint64))
-            leaf, count = np.unique(at, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(count)], ["leaf", "n"])
-
-    # One row a leaf of the tree, which the sample bounds.
-    counts = dict(distinct.select("fp").mapInArrow(homes, "leaf bigint, n bigint")
-                  .groupBy("leaf").agg(F.sum("n").alias("n")).collect())
-    parts = np.array([-(-counts.get(i, 1) // BLOCK_MEMBERS) for i in range(max(1, len(tree.leaves)))])
-    first = np.concatenate([[0], np.cumsum(parts)])
+    masks = [m - (1 << 64) if m >> 63 else m for m in segment_masks(n, reach)]
+    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("bigint")) for m in masks])
+    rows = distinct.select(F.posexplode(keys).alias("choice", "bits"), "fp", "rep")
+    large = materialise(rows.groupBy("choice", "bits").agg(F.count("*").alias("members"))
+                        .where(F.col("members") > BLOCK_MEMBERS), "large-shards")
+    n_large, n_members = large.agg(F.count("*"), F.coalesce(F.sum("members"), F.lit(0))).first()
+    # Shards whose numbers meet by chance are searched as one; all pairs are compared exactly.
+    shard = F.shiftrightunsigned(F.xxhash64("choice", "bits"), 2)
+    member = F.lit(MEMBER).cast("tinyint").alias("kind")
+    small = rows if not n_large else rows.join(large, ["choice", "bits"], "left_anti")
+    blocks = small.select(shard.alias("block"), member, "fp", "rep")
+    if n_large:
+        blocks = blocks.union(_blocks_of(rows.join(large, ["choice", "bits"], "left_semi"), n_members, reach))
+    n_tasks = -(-n * len(masks) // TASK_ROWS) or 1
+    return search_blocks(blocks, n_tasks, lambda batches: _Shard(batches, reach), _EDGES)
+
+
+def _blocks_of(rows: DataFrame, n: int, reach: int) -> DataFrame:
+    """Members and queries of the blocks of large shards."""
+    sample = stable_sample(rows.select("fp"), F.col("fp"), SAMPLE, n).collect()
+    points = np.unique(np.array([r.fp for r in sample], dtype=np.int64).view(np.uint64))
+    tree = VantageTree(points, max(16, round(BLOCK_MEMBERS * len(sample) / n)), reach)
+    fields = ["choice", "bits", "leaf", "kind", "fp", "rep"]
 
     def routed(batches):
         for b in batches:
-            fps, reps = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
-            home = tree.home(fps)
-            mixed = (fps * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            own = first[home] + (mixed % parts[home].astype(np.uint64)).astype(np.int64)
-            yield _routes(own, 0, fps, reps)
-            for leaf, rows in tree.reached(fps):
-                rows = rows[home[rows] <= leaf]
-                for block in range(first[leaf], first[leaf + 1]):
-                    to = rows[own[rows] < block]
-                    if len(to):
-                        yield _routes(np.full(len(to), block), 1, fps[to], reps[to])
-
-    rows = distinct.select("fp", "rep").mapInArrow(routed, "block bigint, kind tinyint, fp bigint, rep bigint")
-    return search_blocks(rows, int(first[-1]), lambda batches: _Shard(batches, reach), _EDGES)
-
-
-def _routes(block, kind, fps, reps):
-    return pa.RecordBatch.from_arrays([
-        pa.array(block, pa.int64()), pa.array(np.full(len(block), kind, np.int8)),
-        pa.array(fps.view(np.int64)), pa.array(reps)], ["block", "kind", "fp", "rep"])
+            fps = b.column(2).to_numpy().view(np.uint64)
+            home, every = tree.home(fps), np.arange(len(fps))
+            yield sent(b, every, home, MEMBER)
+            yield sent(b, every, home, AT_HOME)
+            for leaf, to in tree.reached(fps):
+                yield sent(b, to[home[to] < leaf], leaf, QUERY)
+
+    def sent(b, to, leaf, kind):
+        part = b.take(pa.array(to))
+        return pa.RecordBatch.from_arrays([
+            *part.columns[:2], pa.array(np.broadcast_to(leaf, len(to)), pa.int32()),
+            pa.array(np.full(len(to), kind, np.int8)), *part.columns[2:]], fields)
+
+    routes = materialise(rows.mapInArrow(routed, "choice int, bits bigint, leaf int, kind tinyint, fp bigint, rep bigint"),
+                         "routes")
+    place = ["choice", "bits", "leaf"]
+    parts = materialise(routes.where(F.col("kind") == MEMBER).groupBy(*place).agg(
+        F.expr(f"cast(ceil(count(*) / {BLOCK_MEMBERS}) as int)").alias("parts")), "block-parts")
+    dealt = routes.join(parts, place).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    # A query goes to all parts of a later block, and at home to the parts after its own.
+    to = (F.when(F.col("kind") == MEMBER, F.array("own"))
+          .when(F.col("kind") == QUERY, F.sequence(F.lit(0), F.col("parts") - 1))
+          .when(F.col("own") + 1 < F.col("parts"), F.sequence(F.col("own") + 1, F.col("parts") - 1)))
+    block = F.shiftrightunsigned(F.xxhash64("choice", "bits", "leaf", "part"), 2)
+    kind = F.when(F.col("kind") == MEMBER, MEMBER).otherwise(QUERY).cast("tinyint")
+    return dealt.withColumn("part", F.explode(to)).select(block.alias("block"), kind.alias("kind"), "fp", "rep")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
