@@ -17,7 +17,6 @@ def library():
     from tokenizers import Tokenizer
 
     lib = Tokenizer.from_file(public_path("byte_bpe_50k.json"))
-    lib.encode_special_tokens = True
     return lambda text: lib.encode(text, add_special_tokens=False).ids
 
 

@@ -24,6 +24,20 @@ def test_query_matches_library(spark, library):  # noqa: F811
     assert {tuple(r) for r in got} == want and len(got) == len(docs)
 
 
+def test_strings_of_added_tokens(spark, scratch, library):  # noqa: F811
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y\n", "<|endoftext|", "a <|ENDOFTEXT|> b", None]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    folder = scratch("docs")
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    out = op5_token_files(spark, folder)
+    assert [f"{f.name} {f.dataType.simpleString()}" for f in out.schema] == [
+        "doc_id bigint", "start bigint", "n_tokens bigint", "ids_crc32 bigint"]
+    ids = [[*library(t or ""), 2] for t in texts]
+    assert ids[0] == [64, 220, 50256, 275, 2]
+    assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in out.orderBy("doc_id").collect()] == [
+        (i, len(x), crc(x)) for i, x in enumerate(ids)]
+
+
 def test_odd_rows(spark, odd_docs, odd_rows, scratch, library):  # noqa: F811
     out = scratch("tokens")
     token_files.write_token_files(odd_docs, out)

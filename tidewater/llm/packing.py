@@ -77,8 +77,8 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``(id, piece, start, length, ids_crc32)``: documents cut into pieces.
 
-    Ids are those of the tokenizers library without special tokens, then
-    ``end_id``. Only a longer document than ``capacity`` is cut; its first piece
+    Ids are those of the tokenizers library, which adds no special tokens but knows
+    their strings in a text, then ``end_id``. Only a longer document than ``capacity`` is cut; its first piece
     takes what the full ones after it leave.
     """
     path = vocabulary or public_path(VOCABULARY)

@@ -13,8 +13,17 @@ from tidewater.llm.oracle import ORACLE_SQL
 from tidewater.session import scratch_path
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that queries read; the names of any others mean nothing here."""
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    out = line_dedup.dedup_lines(_texts(spark, sf_dir), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", line_dedup.sha256_hex("text").alias("kept_sha256"))
 
 
@@ -23,31 +32,30 @@ TARGETS = {"clean": 0.80, "low": 0.15, "toxic": 0.05}
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    mixed = mixing.mix(docs.select("doc_id", "text"), mixing.label_domains(labels), TARGETS)
+    docs, labels = _texts(spark, sf_dir), read_table(spark, sf_dir, "labels")
+    mixed = mixing.mix(docs, mixing.label_domains(labels), TARGETS)
     shares = [(F.element_at("shares", i + 1) / mixing.GRAIN).alias(f"p_{d}") for i, d in enumerate(TARGETS)]
     return mixed.select("doc_id", F.col("tokens").alias("n_tokens"), *shares, "rate", "copies")
 
 
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.embedding_components(
-        read_table(spark, sf_dir, "embeddings"), threshold=0.9).withColumnRenamed("id", "vec_id")
+    return embeddings.embedding_components(_vectors(spark, sf_dir), threshold=0.9).withColumnRenamed("id", "vec_id")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = simhash.simhash_components(read_table(spark, sf_dir, "documents"), words=4, reach=4)
+    out = simhash.simhash_components(_texts(spark, sf_dir), words=4, reach=4)
     return out.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "tokens")
-    token_files.write_token_files(read_table(spark, sf_dir, "documents"), out)
+    token_files.write_token_files(_texts(spark, sf_dir), out)
     return token_files.read_token_files(spark, out).select(
         F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), min_words=20)
+    out = substring_dedup.remove_repeats(_texts(spark, sf_dir), min_words=20)
     return out.select(
         "doc_id", F.size("removed").alias("n_removed"),
         F.expr("aggregate(removed, 0L, (n, x) -> n + x.end - x.start)").alias("removed_chars"),
@@ -56,27 +64,27 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.token_pieces(read_table(spark, sf_dir, "documents"))
+    pieces = packing.token_pieces(_texts(spark, sf_dir))
     return packing.pack(pieces).withColumnRenamed("id", "doc_id")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return token_counts.token_counts(_texts(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.expr("id % 50 = 0"), k=5)
+    return topk.top_k(_vectors(spark, sf_dir), F.expr("id % 50 = 0"), k=5)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    docs, labels = _texts(spark, sf_dir), read_table(spark, sf_dir, "labels")
     model = toxicity.fit_toxicity(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
     scored = toxicity.score_toxicity(docs, model, threshold=0.3, keep=("doc_id",))
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _texts(spark, sf_dir)
     held_out = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
     out = language_model.language_model_scores(docs, ~held_out)
     return out.select(F.col("id").alias("doc_id"), (~F.col("learn")).alias("held_out"), "n_tokens", "n_known",
@@ -99,7 +107,7 @@ def _planted_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _planted_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = _planted_repeats(_texts(spark, sf_dir))
     out = periodic_runs.periodic_runs(docs, min_words=12)
     first = F.expr("array_min(transform(runs, r -> struct(-r.length as length, r.start as start, r.period as period)))")
     listed = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
@@ -112,7 +120,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = fill_middle.fill_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = fill_middle.fill_middle(_texts(spark, sf_dir))
     return fill_middle.restore_texts(cut).select(
         F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
         F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),

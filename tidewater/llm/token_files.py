@@ -3,7 +3,7 @@
 File format (a folder):
 
 * ``dictionary/``: one row ``(dictionary, sha256, id_type)``; the dictionary is
-  trained on the serialised ids of a bounded sample of documents.
+  trained on pieces of the serialised ids of a bounded sample of documents.
 * ``blocks/``: rows ``(part, block, first_id, last_id, n_docs, n_tokens,
   dictionary_sha256, index, payload)``. The payload holds one zstandard frame a
   document, one after the other. The index is a table of little-endian unsigned
@@ -24,14 +24,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewater.llm.common import id_text, schema_of, stable_sample
+from tidewater.llm.common import id_text, schema_of
 from tidewater.llm.tokens import id_type, public_path, tokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
-#: The dictionary is trained on this many documents, and these ids of each, at most.
+#: About this many documents are drawn for the dictionary and encoded whole; of
+#: their ids, in pieces of ``PIECE_IDS``, it is trained on ``SAMPLE_PIECES`` at most.
 SAMPLE_DOCS = 2_000
-SAMPLE_IDS = 2_048
+SAMPLE_PIECES = 2_000
+PIECE_IDS = 2_048
 DICTIONARY_BYTES = 64 * 1024
 BLOCK_DOCS = 512
 BLOCK_IDS = 1 << 20
@@ -46,15 +48,17 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int, width: str) -> byt
     """A dictionary from a bounded sample; empty if there are too few samples."""
     import zstandard
 
-    sample = stable_sample(docs, F.col("id"), SAMPLE_DOCS)
+    total, grain = docs.count(), 1 << 40
+    drawn = F.pmod(F.xxhash64(F.lit("dictionary"), "id", "text"), F.lit(grain)) < max(1, SAMPLE_DOCS * grain // max(1, total))
 
-    def heads(batches):
+    def pieces(batches):
         for b in batches:
-            texts = [t[:SAMPLE_IDS * 8] for t in b.column(1).to_pylist()]
-            ids = [x[:SAMPLE_IDS].astype(width).tobytes() for x in _encoded(texts, path, end_id)]
+            ids = [x[at:at + PIECE_IDS].astype(width).tobytes()
+                   for x in _encoded(b.column(1).to_pylist(), path, end_id) for at in range(0, len(x), PIECE_IDS)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
-    rows = [bytes(r.ids) for r in sample.mapInArrow(heads, "ids binary").collect()]
+    found = docs.where(drawn).mapInArrow(pieces, "ids binary")
+    rows = [bytes(r.ids) for r in found.orderBy(F.xxhash64("ids"), "ids").limit(SAMPLE_PIECES).collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, sorted(rows), k=512, d=8).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few or too uniform samples
@@ -65,8 +69,8 @@ def write_token_files(docs: DataFrame, out: str, id_col: str = "doc_id", text_co
                       vocabulary: str | None = None, end_id: int = END_ID) -> None:
     """Encode whole texts and write the token files under ``out``.
 
-    Ids are those of the tokenizers library without special tokens, then
-    ``end_id``. Documents are range-partitioned by (id, text hash), so neither
+    Ids are those of the tokenizers library, which adds no special tokens but knows
+    their strings in a text, then ``end_id``. Documents are range-partitioned by (id, text hash), so neither
     a hot source nor many rows of one id make a large partition; rows of one id
     are ordered by text. A null id sorts first. An empty table gives empty files.
     """
@@ -174,7 +178,7 @@ def read_token_files(spark: SparkSession, out: str) -> DataFrame:
         .selectExpr("part", "block", "start + coalesce(sum(n_tokens) over (partition by part order by block "
                     "rows between unbounded preceding and 1 preceding), 0) as start")
     )
-    schema = schema_of(id=kind, start="bigint", n_tokens="int", ids_crc32="bigint", ids="array<int>")
+    schema = schema_of(id=kind, start="bigint", n_tokens="bigint", ids_crc32="bigint", ids="array<int>")
 
     def decode(batches):
         frames = _decoder(data, sha, width)
@@ -187,7 +191,7 @@ def read_token_files(spark: SparkSession, out: str) -> DataFrame:
                     n = [len(x) for x in part]
                     yield pa.RecordBatch.from_arrays([
                         keys[s.start:s.stop], pa.array(at + np.cumsum([0, *n[:-1]]), pa.int64()),
-                        pa.array(n, pa.int32()),
+                        pa.array(n, pa.int64()),
                         pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in part], pa.int64()),
                         pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()),
                                                  pa.array(np.concatenate(part).astype("<i4"))),

@@ -68,7 +68,8 @@ class CachedTokenizer:
     repeat far more often than texts, so their ids are kept, and so are those of
     their words. The pattern cuts a chunk of Latin letters and closing marks
     before the marks and around a line end; every other chunk is split by the
-    library. Special tokens in a text are ordinary text.
+    library. A text that holds the string of an added token, such as an end of
+    text, is left to the library whole, which gives that token's id.
     """
 
     def __init__(self, path: str, chunks: int = CACHE_CHUNKS, words: int = CACHE_WORDS):
@@ -80,11 +81,16 @@ class CachedTokenizer:
         self._words = _Words(lib.model, words)
         self._chunks = _Chunks(self._encode, chunks)
         self._letters = _byte_letters()
+        self._library = lib.encode
+        added = [t.content for t in lib.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added)) or "(?!)")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [self._text(t) for t in texts]
 
     def _text(self, text: str) -> bytes:
+        if self._added.search(text):
+            return array("I", self._library(text, add_special_tokens=False).ids).tobytes()
         if _ODD_BLANK.search(text):
             return b"".join([self._encode(c) for c in _CUTS.split(text)])
         first, *rest = text.split(" ")

@@ -46,9 +46,10 @@ def whole_vectors(col: pa.Array, width: int) -> np.ndarray:
 class VectorFile:
     """The members of one block with their approximation."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, rows: np.ndarray | None = None):
         order = np.argsort(ids, kind="stable")  # ties of a score go to the smaller id
         self.ids, self.x = ids[order], x[order]
+        self.rows = self.ids if rows is None else rows[order]
         self.largest = np.abs(self.x).max(initial=0)
         within = np.clip(self.x, -_FAR, _FAR)
         low, high = within.min(axis=0), within.max(axis=0)
@@ -79,9 +80,9 @@ class VectorFile:
         sums = [sum(int(a) * b for a, b in zip(x, q)) for x in self.x[rows].tolist()]
         return np.array([max(-_LONG - 1, min(_LONG, s)) for s in sums], dtype=np.int64)
 
-    def best(self, query_id: int, query: np.ndarray, bound: np.ndarray, k: int):
-        """Positions and scores of the ``k`` best members but the query itself."""
-        bound = np.where(self.ids == query_id, -np.inf, bound)
+    def best(self, row: int, query: np.ndarray, bound: np.ndarray, k: int):
+        """Positions and scores of the ``k`` best members but the query's own row."""
+        bound = np.where(self.rows == row, -np.inf, bound)
         found, values = np.empty(0, np.int64), np.empty(0, np.int64)
         left, take = np.arange(len(bound)), _READ
         while len(left):
@@ -93,7 +94,7 @@ class VectorFile:
             read = read[bound[read] > -np.inf]
             found = np.concatenate([found, read])
             values = np.concatenate([values, self.scores(query, read)])
-            order = np.lexsort((self.ids[found], -values))[:k]
+            order = np.lexsort((self.ids[found], ~values))[:k]  # ~: the least long has no negative
             found, values = found[order], values[order]
             if len(found) == k:
                 left = left[bound[left] >= values[-1]]
@@ -104,8 +105,9 @@ class VectorFile:
 class _Block:
     def __init__(self, batches, width, k):
         self.width, self.k = width, k
-        self.file = VectorFile(np.concatenate([b.column(2).to_numpy() for b in batches]),
-                               np.concatenate([whole_vectors(b.column(3), width) for b in batches]))
+        self.file = VectorFile(np.concatenate([b.column(3).to_numpy() for b in batches]),
+                               np.concatenate([whole_vectors(b.column(4), width) for b in batches]),
+                               np.concatenate([b.column(2).to_numpy() for b in batches]))
 
     def own(self):
         return ()
@@ -114,15 +116,16 @@ class _Block:
         return ()
 
     def links(self, batch):
-        ids, queries = batch.column(2).to_numpy(), whole_vectors(batch.column(3), self.width)
+        rows, ids = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+        queries = whole_vectors(batch.column(4), self.width)
         for at in range(0, len(ids), 128):
             bounds = self.file.bounds(queries[at:at + 128])
-            out = [self.file.best(i, q, b, self.k) for i, q, b in zip(ids[at:at + 128], queries[at:at + 128], bounds)]
-            n = [len(rows) for rows, _ in out]
+            out = [self.file.best(r, q, b, self.k) for r, q, b in zip(rows[at:at + 128], queries[at:at + 128], bounds)]
+            n = [len(found) for found, _ in out]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.repeat(ids[at:at + 128], n)),
-                pa.array(np.concatenate([self.file.ids[rows] for rows, _ in out])),
-                pa.array(np.concatenate([v for _, v in out]))], ["query_id", "vec_id", "score"])
+                pa.array(np.repeat(rows[at:at + 128], n)), pa.array(np.repeat(ids[at:at + 128], n)),
+                pa.array(np.concatenate([self.file.ids[found] for found, _ in out])),
+                pa.array(np.concatenate([v for _, v in out]))], ["row", "query_id", "vec_id", "score"])
 
 
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -132,24 +135,24 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     ``is_query`` is a condition on a column ``id``. Every row but the query's own
     is a candidate; all of them, if there are fewer than ``k``. Ties go to the
     smaller id. Vectors that are null or hold null or non-finite components, and
-    rows without an id, take no part. Of rows that repeat an id the smallest
-    vector counts. A shorter vector counts as padded with zeros. Scores beyond a
+    rows without an id, take no part. Of rows that repeat an id each is a candidate,
+    for the others too, and each query row gets its own ranks. A shorter vector counts as padded with zeros. Scores beyond a
     long are given as the nearest long.
     """
     find_package(vectors.sparkSession)
     rows = vectors.select(column(vectors, id_col).cast("bigint").alias("id"),
                           column(vectors, vector_col).cast("array<double>").alias("v"))
-    rows = materialise(rows.where(F.col("id").isNotNull() & scorable(F.col("v"))).groupBy("id").agg(F.min("v").alias("v")),
-                       "search")
+    rows = rows.where(F.col("id").isNotNull() & scorable(F.col("v")))
+    rows = materialise(rows.select(F.monotonically_increasing_id().alias("row"), "id", "v"), "search")
     n, width = rows.agg(F.count("*"), F.coalesce(F.greatest(F.max(F.size("v")), F.lit(1)), F.lit(1))).first()
     blocks = max(1, -(-n // BLOCK_MEMBERS))
-    members = rows.select(F.expr(f"pmod(xxhash64(id), {blocks})").alias("block"),
-                          F.lit(0).cast("tinyint").alias("kind"), "id", "v")
+    members = rows.select(F.expr(f"pmod(xxhash64(row), {blocks})").alias("block"),
+                          F.lit(0).cast("tinyint").alias("kind"), "row", "id", "v")
     # Every query is set against every block of candidates.
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))
-    queries = rows.where(is_query).select(F.explode(every).alias("block"), F.lit(1).cast("tinyint").alias("kind"), "id", "v")
-    schema = schema_of(query_id="bigint", vec_id="bigint", score="bigint")
+    queries = rows.where(is_query).select(F.explode(every).alias("block"), F.lit(1).cast("tinyint").alias("kind"), "row", "id", "v")
+    schema = schema_of(row="bigint", query_id="bigint", vec_id="bigint", score="bigint")
     found = search_blocks(members.union(queries), blocks, lambda batches: _Block(batches, width, k), schema)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
