@@ -32,14 +32,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewater.llm.common import cut, id_text, materialise, raw_texts, schema_of
 
 #: Words that are classes of their own, and classes of the other words.
-HEAD_WORDS, TAIL_CLASSES = 256, 128
-CONTEXT, WIDTH = 3, 16
+HEAD_WORDS, TAIL_CLASSES = 256, 256
+CONTEXT, WIDTH = 2, 16
 #: Words with more than this share of all tokens are known to every task: at most
 #: 1 / COMMON_SHARE, whatever the input.
-COMMON_SHARE = 2e-5
+COMMON_SHARE = 3e-6
 #: Passes over all training tokens, and the rounds that each is dealt out to.
 PASSES, ROUNDS = 1, 4
-MINIBATCH, NOISE, RATE = 1024, 64, 0.1
+MINIBATCH, NOISE, RATE = 1024, 32, 0.1
 #: The end of a text among the words; no word holds white space.
 END = b"\n"
 #: Distinct words a task holds before it sends their counts on.
@@ -133,6 +133,16 @@ class Vocabulary:
             return math.log10((n - self.discount) / self.class_tokens[k])
         return math.log10(self.discount * self.class_words[k] / self.class_tokens[k]) if self.class_tokens[k] else 0.0
 
+    def known(self) -> dict[bytes, tuple[float, float]]:
+        """``base`` and ``inside`` of every common word."""
+        n = np.array(list(self.common.values()), dtype=np.float64)
+        classes = self.class_of()
+        k = np.array([classes[w] for w in self.common], dtype=np.int64)
+        base = np.log10((n + 1) / (self.tokens + self.words + 1))
+        share = (n - self.discount) / np.maximum(1, self.class_tokens[k])
+        inside = np.where(k < HEAD_WORDS, 0.0, np.log10(np.maximum(share, 1e-300)))
+        return dict(zip(self.common, zip(base.tolist(), inside.tolist())))
+
 
 class _Classes(dict):
     """Class numbers of words; starts anew when it is full."""
@@ -166,7 +176,7 @@ def encode(rows: DataFrame, learn: Column, vocabulary: Vocabulary) -> DataFrame:
 
     def encoded(batches):
         classes = vocabulary.class_of()
-        known = {w: (vocabulary.base(n), vocabulary.inside(classes[w], n)) for w, n in vocabulary.common.items()}
+        known = vocabulary.known()
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
@@ -252,27 +262,31 @@ class LogBilinear:
                 value -= RATE * g / np.sqrt(square)
 
     def log10(self, texts: list[np.ndarray]) -> np.ndarray:
-        """log10 probability of each text's classes, normalised over all classes."""
+        """log10 probability of each text's classes, normalised over all classes;
+        a context that occurs again is normalised once."""
         before, token = self.contexts(texts)
-        moved = [self.inputs @ c for c in self.places]
-        out = np.empty(len(token))
-        for s in range(0, len(token), 4096):
-            h = sum(m[before[s:s + 4096, i]] for i, m in enumerate(moved))
-            scores = h @ self.outputs.T + self.bias
-            scores -= scores.max(axis=1, keepdims=True)
-            own = scores[np.arange(len(scores)), token[s:s + 4096]].astype(np.float64)
-            np.exp(scores, out=scores)
-            out[s:s + 4096] = (own - np.log(scores.sum(axis=1, dtype=np.float64))) / _LOG10
+        place = len(self.noise) ** np.arange(self.context)
+        _, first, which = np.unique(before @ place, return_index=True, return_inverse=True)
+        h = sum(self.inputs[before[first, i]] @ c for i, c in enumerate(self.places))
+        total, ones = np.empty(len(h)), np.ones(len(self.noise), np.float32)
+        for s in range(0, len(h), 2048):
+            scores = h[s:s + 2048] @ self.outputs.T
+            scores += self.bias
+            top = scores.max(axis=1, keepdims=True)
+            scores -= top
+            total[s:s + 2048] = np.log(np.exp(scores, out=scores) @ ones) + top[:, 0]
+        own = np.einsum("ij,ij->i", h[which], self.outputs[token]) + self.bias[token]
+        out = (own.astype(np.float64) - total[which]) / _LOG10
         return np.add.reduceat(out, np.cumsum([0, *[len(t) for t in texts[:-1]]]))
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+    return 1 / (1 + np.exp(np.minimum(-x, 60)))
 
 
 def _scatter(like, rows, values):
     """Sums of ``values`` by row number, in the shape of ``like``."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
     out = np.zeros_like(like)
