@@ -5,13 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.plans.queries import COUNTS_SCHEMA
+from tidewater.streaming.snapshots import FAN_IN, publish_batches, read_snapshot, snapshot_layout
+from tidewater.streaming.state import open_windows, state_operators
 from tidewater.streaming.word_count import (
     CSV_NULL_VALUE,
-    _publish_snapshot,
     await_all,
     read_good_records,
     read_rejects,
-    read_snapshot,
     run_until_done,
     start_counts,
     start_records,
@@ -118,7 +118,7 @@ def test_batch_equals_stream(spark, scratch):
 
 def test_snapshot_survives_a_failed_batch(spark, scratch):
     path = scratch("snap")
-    publish = _publish_snapshot(path)
+    publish = publish_batches(path)
     publish(spark.range(3), 0)
     broken = spark.range(8, numPartitions=4).select(
         F.when(F.col("id") == 7, F.raise_error(F.lit("stop")).cast("long")).otherwise(F.col("id")).alias("id"))
@@ -128,8 +128,107 @@ def test_snapshot_survives_a_failed_batch(spark, scratch):
     for batch in (1, 1, 2, 3):  # batch 1 runs again
         publish(spark.range(batch), batch)
         assert read_snapshot(spark, path).count() == batch
-    kept = [f for f in os.listdir(path) if f.startswith("batch_id=") and not f.startswith("batch_id=1-")]
-    assert len(kept) == 2
+    assert sorted(os.listdir(f"{path}/manifests")) == ["2", "3"] and len(os.listdir(f"{path}/segments")) == 2
+
+
+def _changes(spark, rows):
+    return spark.createDataFrame(rows, "WINDOW int, WORD string, COUNT bigint").coalesce(2)
+
+
+def test_tiers_hold_the_newest_rows_and_stay_few(spark, scratch):
+    path, want, total, rewritten = scratch("tiers"), {}, 0, 0
+    publish, seen = publish_batches(path, ["WINDOW", "WORD"]), set()
+    for batch in range(FAN_IN**2 + 3):
+        rows = {(batch // 5, "hot"): batch, (batch, None): 1, (None, f"w{batch % 7}"): batch}
+        want |= rows
+        total += len(rows)
+        publish(_changes(spark, [(*k, n) for k, n in rows.items()]), batch)
+        layout = [r for r in snapshot_layout(spark, path).collect() if r.batch_id == batch]
+        tiers = [r.tier for r in layout]
+        assert tiers == sorted(tiers, reverse=True)
+        assert all(tiers.count(t) < FAN_IN for t in tiers)
+        rewritten += sum(r.rows for r in layout if r.folder not in seen)
+        seen |= {r.folder for r in layout}
+        assert len(os.listdir(f"{path}/manifests")) <= 2
+    assert {(r.WINDOW, r.WORD): r.COUNT for r in read_snapshot(spark, path).collect()} == want
+    # A row is written once and once again a tier, not once a batch.
+    assert rewritten <= total * 4
+    # What no kept manifest names is gone.
+    named = {r.folder for r in snapshot_layout(spark, path).collect()}
+    assert set(os.listdir(f"{path}/segments")) == named
+
+
+def test_a_tiered_batch_that_fails_or_runs_again(spark, scratch):
+    path = scratch("tiers")
+    publish = publish_batches(path, ["WINDOW", "WORD"])
+    for batch in range(FAN_IN - 1):
+        publish(_changes(spark, [(0, "a", batch + 1), (batch, "b", 1)]), batch)
+    before = sorted(read_snapshot(spark, path).collect())
+    broken = _changes(spark, [(9, "x", 1)]).withColumn("COUNT", F.raise_error(F.lit("stop")).cast("bigint"))
+    with pytest.raises(Exception, match="stop"):
+        publish(broken, FAN_IN - 1)
+    assert sorted(read_snapshot(spark, path).collect()) == before
+    for _ in range(2):  # the merging batch, and again
+        publish(_changes(spark, [(0, "a", 50)]), FAN_IN - 1)
+        assert sorted(map(tuple, read_snapshot(spark, path).collect())) == sorted(
+            [(0, "a", 50), *[(k, "b", 1) for k in range(FAN_IN - 1)]])
+        assert [r.tier for r in snapshot_layout(spark, path).where(f"batch_id = {FAN_IN - 1}").collect()] == [1]
+
+
+def test_update_snapshots_equal_the_complete_result(spark, scratch):
+    root = scratch("modes")
+    files = [[f"00:{(7 * i) % 9:02d}:10+00:00 a b{i % 4}"] for i in range(9)]
+    _write_files(f"{root}/src", files)
+    batch, _ = word_counts(spark.read.text(f"{root}/src"), watermark=None)
+    stream = spark.readStream.format("text").option("maxFilesPerTrigger", "1").load(f"{root}/src")
+    counts, _ = word_counts(stream, watermark=None)
+    run_until_done(start_counts(counts, "snapshot", f"{root}/ck", path=f"{root}/snap", output_mode="update",
+                                trigger="available_now", state_partitions=2))
+    assert sorted(batch.collect()) == sorted(read_snapshot(spark, f"{root}/snap").collect())
+    layout = snapshot_layout(spark, f"{root}/snap").where("batch_id = 8").collect()
+    assert [r.tier for r in layout] == [1, 1, 0] and layout[-1].rows == 2  # one line changed two rows
+
+
+def test_no_snapshot_yet(spark, scratch):
+    with pytest.raises(ValueError, match="no snapshot"):
+        read_snapshot(spark, scratch("none"))
+
+
+def test_checkpoint_retains_what_the_settings_say(spark, scratch):
+    root = scratch("retained")
+    _write_files(f"{root}/src", [[f"00:{i:02d}:10+00:00 a w{i}"] for i in range(16)])
+    _run(spark, f"{root}/src", f"{root}/out", f"{root}/ck", max_files=1)
+    (store,) = state_operators(spark, f"{root}/ck").collect()
+    assert (store.operatorName, store.numPartitions) == ("stateStoreSave", 2)
+    batches = store.maxBatchId - store.minBatchId + 1
+    assert store.maxBatchId >= 15 and 10 <= batches <= 12  # of 16 or more, minBatchesToRetain = 10
+    logs = [n for n in os.listdir(f"{root}/ck/offsets") if n.isdigit()]
+    assert len(logs) == batches and min(map(int, logs)) == store.minBatchId
+    # The watermark is a minute behind 00:15:10: two windows are open, one of them no longer counting.
+    held = sorted((r.START_TIME.strftime("%H:%M"), r.WORD, r.COUNT) for r in open_windows(spark, f"{root}/ck").collect())
+    assert held == [("00:14", "a", 1), ("00:14", "w14", 1), ("00:15", "a", 1), ("00:15", "w15", 1)]
+    earlier = open_windows(spark, f"{root}/ck", batch_id=store.maxBatchId - 3)
+    assert {r.START_TIME.strftime("%H:%M") for r in earlier.collect()} != {"00:14", "00:15"}
+
+
+def test_state_goes_on_after_a_stop(spark, scratch):
+    root = scratch("resume")
+    _write_files(f"{root}/src", [["00:00:10+00:00 a a"]])
+    _run(spark, f"{root}/src", f"{root}/out", f"{root}/ck")
+    assert [(r.WORD, r.COUNT) for r in open_windows(spark, f"{root}/ck").collect()] == [("a", 2)]
+    _write_files(f"{root}/src", [["00:00:50+00:00 a"]], start_index=1)
+    _run(spark, f"{root}/src", f"{root}/out", f"{root}/ck")
+    assert [(r.WORD, r.COUNT) for r in open_windows(spark, f"{root}/ck").collect()] == [("a", 3)]
+
+
+@pytest.mark.parametrize("name", ["stream_counts_batches", "stream_late_rows", "stream_restart", "stream_counts_tiered",
+                                  "stream_open_state"])
+def test_queries_without_events(spark, scratch, name):
+    from tidewater.plans.queries import QUERIES
+
+    folder = scratch("empty")
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).write.parquet(f"{folder}/events.parquet")
+    assert QUERIES[name](spark, folder).collect() == []
 
 
 def test_records_go_to_exactly_one_side(spark, scratch):

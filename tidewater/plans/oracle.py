@@ -99,6 +99,17 @@ SELECT * FROM counts
 WHERE END_TIME <= (SELECT max(ts) FROM parsed) - INTERVAL 1 MINUTE"""
 )
 
+# State left open: the first two thirds of the events, watermark three days behind.
+_OPEN = (
+    "WITH " + _PARSED + """,
+bounds AS (SELECT min(us) AS lo, max(us) AS hi FROM records),
+seen AS (
+  SELECT ts, us, word FROM word_rows, bounds WHERE us < lo + 2 * ((hi - lo) // 3)
+),
+counts AS (""" + _COUNTS_OF.format(src="seen") + """)
+SELECT * FROM counts WHERE END_TIME > (SELECT max(ts) FROM seen) - INTERVAL 3 DAY"""
+)
+
 # Corpus lines in (doc_id, line_no) order, tokenised on Unicode word runs.
 _CORPUS = r"""
 corpus AS (
@@ -222,6 +233,8 @@ SELECT word AS WORD, count(*) AS "COUNT" FROM words GROUP BY word""",
     "stream_restart": _APPEND,
     "stream_one_partition": "SELECT *, 1 AS files FROM (" + _APPEND + ") t",
     "stream_counts_batches": _APPEND,
+    "stream_counts_tiered": _TUMBLING,
+    "stream_open_state": _OPEN,
     "stream_quarantine": "WITH " + _PARSED + """
 SELECT 'word' AS side, word AS text, CAST(count(*) AS BIGINT) AS n
 FROM word_rows WHERE event_id % 9 <> 4 GROUP BY word

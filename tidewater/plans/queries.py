@@ -9,6 +9,7 @@ result checks the round trip. Timestamps are returned as TIMESTAMP_NTZ
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,11 +44,12 @@ from tidewater.sinks.preview import preview_rows
 from tidewater.sources.csv import read_csv
 from tidewater.sources.envelope import decode_value, read_envelope_stream
 from tidewater.sources.text import read_lines
+from tidewater.streaming.snapshots import read_snapshot
+from tidewater.streaming.state import open_windows
 from tidewater.streaming.word_count import (
     CSV_NULL_VALUE,
     read_good_records,
     read_rejects,
-    read_snapshot,
     run_until_done,
     start_counts,
     start_records,
@@ -309,23 +311,60 @@ def stream_one_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock(rows, "START_TIME", "END_TIME").withColumn("files", F.lit(files))
 
 
+def _stage_spans(spark: SparkSession, events: DataFrame, source: str, spans: int) -> int:
+    """Land ``events`` span by span in time order and return the files of a span:
+    reading that many files a batch gives one span a batch."""
+    ts, edges = F.col("ts"), [None, *_time_cuts(events, spans), None]
+    parts = []
+    for low, high in zip(edges, edges[1:]):
+        part = events if low is None else events.filter(ts >= low)
+        parts.append(part if high is None else part.filter(ts < high))
+    # Round-robin leaves no file of a span empty if each input part has some rows.
+    least = min(part.count() for part in parts)
+    files = max(1, min(_state_partitions(spark), least // 1000))
+    for k, part in enumerate(parts):
+        S.events_envelope(spark, "", part).repartition(files).write.parquet(f"{source}/run{k}")
+    return files
+
+
 def stream_counts_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append counts over several micro-batches: four files in time order, one
+    """Append counts over several micro-batches: four spans in time order, one
     a batch, so state is carried over and windows close batch by batch."""
-    events = S.table(spark, sf_dir, "events")
-    source, cuts, ts = scratch_path(spark, "envelope"), _time_cuts(events, 4), F.col("ts")
-    edges = [None, *cuts, None]
-    for k, (low, high) in enumerate(zip(edges, edges[1:])):
-        part = events if low is None else events.filter(ts >= low)
-        part = part if high is None else part.filter(ts < high)
-        S.events_envelope(spark, "", part).coalesce(1).write.parquet(f"{source}/run{k}")
-    out = scratch_path(spark, "counts-csv")
-    lines = decode_value(read_envelope_stream(spark, f"{source}/*", max_files_per_trigger=1))
+    source, out = scratch_path(spark, "envelope"), scratch_path(spark, "counts-csv")
+    files = _stage_spans(spark, S.table(spark, sf_dir, "events"), source, 4)
+    lines = decode_value(read_envelope_stream(spark, f"{source}/*", max_files_per_trigger=files))
     counts, _ = word_counts(lines)
     run_until_done(_start(counts, "csv", spark, out))
     return _read_counts_csv(spark, out)
 
 
+def stream_counts_tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The complete result over six micro-batches, each of which publishes only
+    the rows it changed: four of the segments have been merged on the way."""
+    source, out = scratch_path(spark, "envelope"), scratch_path(spark, "counts-tiers")
+    files = _stage_spans(spark, S.table(spark, sf_dir, "events"), source, 6)
+    lines = decode_value(read_envelope_stream(spark, f"{source}/*", max_files_per_trigger=files))
+    counts, _ = word_counts(lines, watermark=None)
+    run_until_done(_start(counts, "snapshot", spark, out, output_mode="update"))
+    return _wall_clock(read_snapshot(spark, out), "START_TIME", "END_TIME")
+
+
+#: Watermark delay of ``stream_open_state``: some days of windows stay open.
+OPEN_DELAY = "3 days"
+
+
+def stream_open_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stopped query holds in state: the counts of the windows that the
+    first two thirds of the events leave open, read from its checkpoint."""
+    first, middle, _ = _event_thirds(spark, sf_dir)
+    source, out, ckpt = (scratch_path(spark, n) for n in ("envelope", "open-csv", "ckpt"))
+    _stage_envelope(spark, first.unionByName(middle), source, "run1")
+    lines = decode_value(read_envelope_stream(spark, f"{source}/*"))
+    counts, _ = word_counts(lines, watermark=OPEN_DELAY)
+    run_until_done(_start(counts, "csv", spark, out, ckpt))
+    return _wall_clock(open_windows(spark, ckpt), "START_TIME", "END_TIME")
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good and malformed records of one stream, side by side: counts of the
     good ones, and every malformed record as it came."""
@@ -347,6 +386,8 @@ def _time_cuts(events: DataFrame, parts: int) -> list:
     """Cut points splitting the events' time range into ``parts`` equal spans
     (whole microseconds), as TIMESTAMP_NTZ literals the scan can filter on."""
     lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    if lo is None:
+        lo = hi = dt.datetime(1970, 1, 1)  # no events: any cut will do
     step = (hi - lo) // parts
     return [F.to_timestamp_ntz(F.lit((lo + step * i).isoformat())) for i in range(1, parts)]
 
@@ -473,6 +514,8 @@ QUERIES: dict[str, QueryFn] = {
     "stream_counts_append": stream_counts_append,
     "stream_one_partition": stream_one_partition,
     "stream_counts_batches": stream_counts_batches,
+    "stream_counts_tiered": stream_counts_tiered,
+    "stream_open_state": stream_open_state,
     "stream_quarantine": stream_quarantine,
     "stream_late_rows": stream_late_rows,
     "stream_late_rows_single": stream_late_rows_single,

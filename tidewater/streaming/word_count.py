@@ -11,9 +11,10 @@ Sinks and output modes (checked before ``start``):
               prints the first rows of each batch and collects no more
 ``csv``       append only, needs a watermark; default trigger 1 minute
 ``parquet``   append only, needs a watermark
-``snapshot``  complete: each batch writes the whole result to a folder of its
-              own and then publishes it (``foreachBatch``), the scalable form of
-              a complete table; ``read_snapshot`` reads the last published one
+``snapshot``  complete / update: each batch publishes the result so far
+              (``streaming.snapshots``; ``read_snapshot`` reads the last one). In
+              update mode a batch only writes the rows it changed, the scalable
+              form of a complete table; without a watermark both hold the same
 ``memory``    any mode; collects to the driver, tests only
 
 Malformed records: ``start_records`` writes good and malformed records of a
@@ -31,7 +32,6 @@ used; pass ``state_partitions`` / ``state_store`` on the first start.
 from __future__ import annotations
 
 import contextlib
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +46,7 @@ from tidewater.functions.records import (
 )
 from tidewater.operators.windows import WINDOW_SIZE, windowed_counts
 from tidewater.session import STREAMING_CONF
+from tidewater.streaming.snapshots import publish_batches
 
 # Fixed values of the reference stream: 1-minute watermark delay and a
 # 1-minute processing-time trigger for the CSV sink.
@@ -56,7 +57,7 @@ SINKS = {
     "console": ("complete", "update", "append"),
     "csv": ("append",),
     "parquet": ("append",),
-    "snapshot": ("complete",),
+    "snapshot": ("complete", "update"),
     "memory": ("complete", "update", "append"),
 }
 DEFAULT_MODE = {"console": "complete", "csv": "append", "parquet": "append",
@@ -147,40 +148,6 @@ def _query_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]
 
 # Rows of a batch that the console sink prints.
 CONSOLE_ROWS = 20
-# Published snapshots that stay readable besides the last.
-OLD_SNAPSHOTS = 1
-
-
-def _publish_snapshot(path: str):
-    """Write a batch to a folder of its own, then append it to ``published``.
-
-    Readers follow the last published row, which a file rename makes visible at
-    once, so they see the old snapshot until the new one is whole, also if a
-    batch fails midway or runs again. Older folders are then dropped.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        folder = f"batch_id={batch_id}-{uuid.uuid4().hex}"
-        batch.write.parquet(f"{path}/{folder}")
-        row = spark.createDataFrame([(batch_id, folder)], "batch_id bigint, folder string")
-        row.coalesce(1).write.mode("append").parquet(f"{path}/published")
-        published = spark.read.parquet(f"{path}/published").orderBy("batch_id", "folder").collect()
-        for old in published[: -1 - OLD_SNAPSHOTS]:
-            _delete(spark, f"{path}/{old.folder}")
-
-    return write
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The last published result of the ``snapshot`` sink."""
-    last = spark.read.parquet(f"{path}/published").orderBy(F.desc("batch_id"), F.desc("folder")).first()
-    return spark.read.parquet(f"{path}/{last.folder}")
 
 
 def _show(batch: DataFrame, batch_id: int) -> None:
@@ -283,7 +250,8 @@ def start_counts(
     elif sink == "parquet":
         writer = writer.format("parquet").option("path", path)
     elif sink == "snapshot":
-        writer = writer.foreachBatch(_publish_snapshot(path))
+        keys = [c for c in counts.columns if c != "COUNT"] if output_mode == "update" else None
+        writer = writer.foreachBatch(publish_batches(path, keys))
     elif sink == "memory":
         writer = writer.format("memory")
     settings = dict(STREAMING_CONF)  # retention and maintenance, per query
