@@ -24,9 +24,12 @@ NEWER_WORD_RANGES = (
     (0x1e4f0, 0x1e4f9), (0x1e7e0, 0x1e7e6), (0x1e7e8, 0x1e7eb), (0x1e7ed, 0x1e7ee), (0x1e7f0, 0x1e7fe),
     (0x2a6de, 0x2a6df), (0x2b735, 0x2b739), (0x2ebf0, 0x2ee5d), (0x31350, 0x323af),
 )
-# The complement of the Unicode word class (letters, numbers, underscore).
+# The complement of the Unicode word class (letters, numbers, underscore). Most
+# lines lie below the first of the newer ranges; the class without them is faster.
 _NEWER = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in NEWER_WORD_RANGES)
 NON_WORD_RUN = rf"[^\p{{L}}\p{{N}}_{_NEWER}]+"
+OLDER_NON_WORD_RUN = r"[^\p{L}\p{N}_]+"
+MAYBE_NEWER = rf"[\x{{{NEWER_WORD_RANGES[0][0]:x}}}-\x{{10ffff}}]"
 
 
 def _c(col: Column | str) -> Column:
@@ -49,5 +52,6 @@ def tokenize(line: Column | str) -> Column:
     Leading and trailing whitespace or punctuation only produce empty pieces,
     which are filtered, so no separate strip is needed.
     """
-    pieces = F.split(_c(line), NON_WORD_RUN)
+    line = _c(line)
+    pieces = F.when(line.rlike(MAYBE_NEWER), F.split(line, NON_WORD_RUN)).otherwise(F.split(line, OLDER_NON_WORD_RUN))
     return F.filter(pieces, lambda w: w != F.lit(""))

@@ -1,4 +1,4 @@
-"""Fact-to-dimension joins with a proven broadcast bound."""
+"""Fact-to-dimension joins: a proven broadcast bound, and salted keys beyond it."""
 
 from __future__ import annotations
 
@@ -61,6 +61,58 @@ def bounded_side(
     return dim.hint("shuffle_merge")
 
 
+def heavy_keys(fact: DataFrame, key: str, share: float) -> DataFrame:
+    """``(key, rows, salts)`` of the keys with more than ``share`` of all rows.
+
+    One pass without a shuffle finds a superset of at most ``1 / share`` keys
+    (Misra-Gries counters), a second counts just these. A key gets as many salts as
+    it holds shares.
+    """
+    found = fact.freqItems([key], max(share, 1e-4)).first()[0]
+    candidates = [v for v in found if v is not None]
+    total = fact.agg(F.count(F.lit(1))).first()[0]
+    rows = fact.filter(F.col(key).isin(candidates)) if candidates else fact.limit(0)
+    least = max(1.0, share * total)
+    return (
+        rows.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+        .filter(F.col("rows") > least)
+        .withColumn("salts", F.ceil(F.col("rows") / least).cast("int"))
+    )
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, dim_key: str, how: str = "left",
+                share: float | None = None) -> DataFrame:
+    """Equi-join with a dimension too large to broadcast, without a hot task.
+
+    A fact key with more than ``share`` of the rows (by default half a shuffle
+    partition's) is salted: its rows are dealt to several values of a second join
+    column, and its dimension rows are repeated for each. All keys then meet in one
+    shuffle join whose tasks hold about a share of any key. Fact rows with a null
+    key match nothing and take no part in the shuffle. Salts follow a row's place
+    in its task, so they come out the same when a task runs again.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    spark = fact.sparkSession
+    if share is None:
+        share = 0.5 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = fact.filter(F.col(key).isNotNull())
+    # At most 1 / share rows, which is bounded by the shuffle's width.
+    heavy = F.broadcast(heavy_keys(known, key, share).select("key", "salts"))
+    salts, salt = F.coalesce(F.col("salts"), F.lit(1)), "__salt"
+    place = F.monotonically_increasing_id()
+    left = known.withColumn("__place", place).join(heavy, F.col(key) == F.col("key"), "left")
+    left = left.withColumn(salt, (F.col("__place") % salts).cast("int")).drop("__place", "key", "salts")
+    right = dim.join(heavy, F.col(dim_key) == F.col("key"), "left")
+    right = right.withColumn("__salt_of", F.explode(F.sequence(F.lit(0), salts - 1))).drop("key", "salts")
+    on = (left[key] == right[dim_key]) & (left[salt] == right["__salt_of"])
+    joined = left.join(right.hint("shuffle_merge"), on, how).drop(salt, "__salt_of")
+    if how == "inner":
+        return joined
+    unmatched = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
+    return joined.union(fact.filter(F.col(key).isNull()).select("*", *unmatched))
+
+
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,

@@ -153,6 +153,7 @@ FROM {src}"""
 
 _BASE = "TIMESTAMP '2024-01-01 00:00:00'"
 _CAP = 500
+_FIRST_LINES = 20_000
 _ITERATIONS = 3
 
 _REPLAYED = f"""
@@ -184,6 +185,7 @@ GROUP BY l.quality""",
     ),
     "select_rename": f"WITH {_DIM} SELECT IATA_CODE, AIRLINE AS AIRLINE_NAME FROM dim",
     "left_outer_join": _JOINED + "\nSELECT * FROM joined",
+    "salted_outer_join": _JOINED + "\nSELECT * FROM joined",
     "count_nonnull_by_key": _JOINED
     + "\nSELECT AIRLINE_NAME, count(AIRLINE) AS FLIGHTS_COUNT FROM joined GROUP BY AIRLINE_NAME",
     "avg_by_key": _JOINED
@@ -243,6 +245,12 @@ SELECT 'malformed', substr(value, 1, 12), count(*) FROM records WHERE event_id %
 GROUP BY substr(value, 1, 12)""",
     "stream_late_rows": _LATE,
     "stream_late_rows_single": _LATE,
+    "numbered_lines": "WITH " + _LINES + """
+SELECT row_number() OVER (ORDER BY doc_id, line_no) - 1 AS number, line FROM lines""",
+    "first_n_selected": f"""
+SELECT l_returnflag, l_shipdate, l_linenumber, count(*) AS n FROM (
+  SELECT * FROM lineitem ORDER BY l_returnflag, l_shipdate, l_linenumber LIMIT {_FIRST_LINES}
+) t GROUP BY ALL""",
     "tokenize_lines": "WITH " + _LINES + "\nSELECT * FROM token_text",
     "drop_empty_lines": "WITH " + _LINES + "\nSELECT * FROM token_text WHERE n_tokens > 0",
     "first_n_messages": "WITH "

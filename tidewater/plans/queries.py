@@ -18,8 +18,11 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from tidewater.functions.numbers import format_2dp
 from tidewater.functions.records import explode_words, parse_records
-from tidewater.operators.joins import join_dimension
+from tidewater.functions.text import split_lines
+from tidewater.operators.joins import join_dimension, salted_join
 from tidewater.operators.layout import spread
+from tidewater.operators.limits import first_rows
+from tidewater.operators.numbering import number_rows
 from tidewater.operators.replay import (
     capped_messages,
     corpus_tokens,
@@ -43,7 +46,7 @@ from tidewater.sinks.files import write_json, write_sorted_single_file
 from tidewater.sinks.preview import preview_rows
 from tidewater.sources.csv import read_csv
 from tidewater.sources.envelope import decode_value, read_envelope_stream
-from tidewater.sources.text import read_lines
+from tidewater.sources.text import read_lines, read_lines_in_order
 from tidewater.streaming.snapshots import read_snapshot
 from tidewater.streaming.state import open_windows
 from tidewater.streaming.word_count import (
@@ -62,6 +65,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 # ``first_n_messages`` alone.
 REPLAY_ITERATIONS = 3
 FIRST_MESSAGES = 500
+# The cap of ``first_n_selected``, likewise its feature.
+FIRST_LINES = 20_000
 
 SUMMARY_SCHEMA = StructType(
     [
@@ -138,6 +143,14 @@ def left_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(spark, sf_dir)
 
 
+def salted_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows by the join for a dimension too large to broadcast; some
+    keys hold enough rows to be salted."""
+    fact, dim = S.fact_table(spark, sf_dir), S.dimension_table(spark, sf_dir)
+    dim = dim.select("IATA_CODE", F.col("AIRLINE").alias(NAME_COL))
+    return salted_join(fact, dim, "AIRLINE", "IATA_CODE", share=0.005).drop("IATA_CODE")
+
+
 def count_nonnull_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(spark, sf_dir).groupBy(NAME_COL).agg(F.count("AIRLINE").alias(COUNT_COL))
 
@@ -192,6 +205,16 @@ def text_line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lines(spark, path).select(F.col("value").alias("line"))
 
 
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every corpus line with its number over all text files, which are read in
+    splits: files in (document, line) order, numbers in file order."""
+    path = scratch_path(spark, "corpus-text")
+    lines = S.documents(spark, sf_dir).select("doc_id", F.posexplode(split_lines("text")).alias("line_no", "line"))
+    ordered = lines.repartitionByRange(F.col("doc_id"), F.col("line_no")).sortWithinPartitions("doc_id", "line_no")
+    ordered.select("line").write.text(path)
+    return number_rows(read_lines_in_order(spark, path), number="number").withColumnRenamed("value", "line")
+
+
 def json_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "summary-json")
     write_json(_summary(spark, sf_dir, "auto", ordered=False), path)
@@ -459,6 +482,14 @@ def first_n_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capped_messages(S.documents(spark, sf_dir), S.REPLAY_BASE_TIME, FIRST_MESSAGES)
 
 
+def first_n_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first lineitems by keys that thousands of them share, as counts a key:
+    selection by histograms, the last key's ties cut exactly."""
+    lines = S.table(spark, sf_dir, "lineitem")
+    first = first_rows(lines, ["l_returnflag", "l_shipdate", "l_linenumber"], FIRST_LINES, merge_rows=500)
+    return first.groupBy("l_returnflag", "l_shipdate", "l_linenumber").agg(F.count("*").alias("n"))
+
+
 def build_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = nonempty_lines(_tokens(spark, sf_dir))
     base = F.lit(S.REPLAY_BASE_TIME).cast("timestamp")
@@ -495,10 +526,12 @@ QUERIES: dict[str, QueryFn] = {
     "document_label_summary": document_label_summary,
     "csv_infer_scan": csv_infer_scan,
     "text_line_scan": text_line_scan,
+    "numbered_lines": numbered_lines,
     "json_sink_roundtrip": json_sink_roundtrip,
     "select_rename": select_rename,
     "derive_then_drop": derive_then_drop,
     "left_outer_join": left_outer_join,
+    "salted_outer_join": salted_outer_join,
     "count_nonnull_by_key": count_nonnull_by_key,
     "avg_by_key": avg_by_key,
     "format_number_2dp": format_number_2dp,
@@ -523,6 +556,7 @@ QUERIES: dict[str, QueryFn] = {
     "tokenize_lines": tokenize_lines,
     "drop_empty_lines": drop_empty_lines,
     "first_n_messages": first_n_messages,
+    "first_n_selected": first_n_selected,
     "build_messages": build_messages,
     "message_frames": message_frames,
     "timed_replay": timed_replay,
