@@ -7,8 +7,15 @@ its vectors also visits the other's cell: for unit vectors x (cell a) and y
 and ``a - b``. A vector visits each later cell b with
 ``x.(a - b) <= slack |a - b|``. With ``slack = sqrt(2 - 2 t)`` this bound is
 exact. The default takes the direction of ``x - y`` as independent of the
-centroids: four standard deviations of its cosine with a fixed direction,
-``4 / sqrt(dimensions)``. Recall against brute force is tested.
+centroids: four standard deviations of its cosine with a fixed direction. Their
+size is that of the direction in which the sample varies most inside its cells,
+``sqrt(largest eigenvalue / trace)``, in even data ``1 / sqrt(dimensions)``.
+Recall against brute force is tested.
+
+Vectors may differ in length. Cells, products and memory use the first ``width``
+components, a length that all but a hundredth of the rows keep within; only two
+longer vectors have more to add, and where that could reach the threshold their
+rests are multiplied too. So a long row costs no other row anything.
 """
 
 from __future__ import annotations
@@ -20,13 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidewater.llm.blocks import dense_star, search_blocks
-from tidewater.llm.common import column, find_package, materialise, schema_of, stable_sample
+from tidewater.llm.common import column, find_package, materialise, schema_of, splitmix, stable_sample
 from tidewater.llm.components import connected_components
 
 THRESHOLD = 0.9
 DEVIATIONS = 4.0
-#: Distinct vectors that the cells are fitted on, at most (all are indexed).
-SAMPLE = 20_000
+#: Distinct vectors that the cells are fitted on, at most (all are indexed), and
+#: their components together.
+SAMPLE, SAMPLE_NUMBERS = 20_000, 1 << 23
+#: Share of the rows that may be longer than the width, and the most the width can be.
+LONG_ROWS, MAX_WIDTH = 0.01, 4_096
 MAX_CELLS = 1_024
 ROUNDS = 10
 BLOCK_MEMBERS = 4_096
@@ -58,9 +68,55 @@ def _matrix(col: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow of the squares
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+class _Units:
+    """Unit vectors of a list column: their first ``width`` components as rows of
+    ``x``, and of longer ones what is left (``rests``, by row) with its length."""
+
+    def __init__(self, cols: list[pa.Array], width: int):
+        parts, at, self.rests = [], 0, {}
+        for col in cols:
+            lengths = np.diff(col.offsets.to_numpy())
+            flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            starts = np.cumsum(lengths) - lengths
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            if len(lengths):
+                flat /= np.maximum.reduceat(np.abs(flat), starts)[row]  # no overflow of the squares
+                flat /= np.sqrt(np.add.reduceat(flat * flat, starts))[row]
+            place = np.arange(len(flat)) - starts[row]
+            inside = place < width
+            x = np.zeros((len(lengths), width))
+            x[row[inside], place[inside]] = flat[inside]
+            parts.append(x)
+            for i in np.flatnonzero(lengths > width).tolist():
+                self.rests[at + i] = flat[starts[i] + width:starts[i] + lengths[i]].copy()
+            at += len(lengths)
+        self.x = np.concatenate(parts) if parts else np.zeros((0, width))
+        self.long = np.array(sorted(self.rests), dtype=np.int64)
+        self.rest_size = np.array([np.linalg.norm(self.rests[i]) for i in self.long.tolist()])
+
+    def add_rests(self, dots: np.ndarray, first: int, others: _Units, threshold: float) -> None:
+        """Complete the products ``dots`` of rows from ``first`` on with all rows of
+        ``others``, where two long rows could reach the threshold."""
+        if not len(others.long):
+            return
+        own = (self.long >= first) & (self.long < first + len(dots))
+        for i, size in zip(self.long[own].tolist(), self.rest_size[own].tolist()):
+            most = dots[i - first, others.long] + size * others.rest_size
+            for j in others.long[most >= threshold - 1e-9].tolist():
+                a, b = self.rests[i], others.rests[j]
+                n = min(len(a), len(b))
+                dots[i - first, j] += a[:n] @ b[:n]
+
+
+def largest_share(x: np.ndarray, centers: np.ndarray) -> float:
+    """Standard deviation along the direction in which the rows vary most around
+    their centroids, as a share of all their variation (1 if there is none)."""
+    if not len(x):
+        return 1.0
+    rest = x - centers[np.argmax(x @ centers.T, axis=1)]
+    spread = rest.T @ rest
+    total = np.trace(spread)
+    return math.sqrt(np.linalg.eigvalsh(spread)[-1] / total) if total > 1e-12 else 1.0
 
 
 def usable(vector) -> F.Column:
@@ -80,24 +136,26 @@ class _Block:
         self.reps = rows.column("rep").to_numpy()
         self.copies = rows.column("copies").to_numpy()
         self.keys = rows.column("key").to_numpy()
-        self.x = np.concatenate([_unit(_matrix(b.column(5), width)) for b in batches])
+        self.units = _Units([b.column(5) for b in batches], width)
         self.width, self.threshold = width, threshold
         self.seen = np.zeros(len(self.reps), np.int64)
 
     def own(self):
-        yield from self._compare(self.reps, self.keys, self.copies, self.x, own=True)
+        yield from self._compare(self.reps, self.keys, self.copies, self.units, own=True)
 
     def links(self, b):
         rep, key, copies = (b.column(i).to_numpy() for i in (2, 3, 4))
-        yield from self._compare(rep, key, copies, _unit(_matrix(b.column(5), self.width)))
+        yield from self._compare(rep, key, copies, _Units([b.column(5)], self.width))
 
     def close(self):
         found = np.flatnonzero(self.seen)
         yield _counted(self.reps[found], self.keys[found], self.seen[found])
 
-    def _compare(self, reps, keys, copies, x, own=False):
+    def _compare(self, reps, keys, copies, units, own=False):
         for k in range(0, len(reps), 512):
-            linked = x[k:k + 512] @ self.x.T >= self.threshold
+            dots = units.x[k:k + 512] @ self.units.x.T
+            units.add_rests(dots, k, self.units, self.threshold)
+            linked = dots >= self.threshold
             if own:
                 linked[np.arange(len(linked)), k + np.arange(len(linked))] = False
             if not linked.any():
@@ -140,8 +198,8 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
         rows.where(linkable).groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("copies"),
                                               F.max(F.size("v")).alias("width"))
         .withColumn("key", F.xxhash64("v")), "vectors")
-    n, width = distinct.agg(F.count("*"), F.coalesce(F.max("width"), F.lit(1))).first()
-    found = materialise(_found(distinct, n, width, threshold, deviations), "vector-links")
+    n, width = distinct.agg(F.count("*"), F.percentile_approx("width", 1 - LONG_ROWS, 10_000)).first()
+    found = materialise(_found(distinct, n, min(width or 1, MAX_WIDTH), threshold, deviations), "vector-links")
     links = (found.where("b is null").groupBy(F.col("a").alias("rep"), "key").agg(F.sum("n").alias("others")))
     groups = connected_components(found.where("b is not null"))
     out = (distinct.join(links, ["rep", "key"], "left")
@@ -154,20 +212,25 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
 
 
 def _found(distinct, n, width, threshold, deviations):
-    sample = stable_sample(distinct.select("rep", "v"), F.col("rep"), SAMPLE, n).collect()
+    # Only unit vectors of the width come to the driver, however long a row is.
+    def units(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 1024):
+                x = _Units([b.column(0).slice(at, 1024)], width).x
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary())], ["x"])
+
+    drawn = stable_sample(distinct.select("rep", "v"), F.col("rep"), min(SAMPLE, max(1, SAMPLE_NUMBERS // width)), n)
+    sample = drawn.select("v").mapInArrow(units, "x binary").collect()
     k = max(1, min(MAX_CELLS, len(sample) // 16, round(math.sqrt(n) / 2)))
-    x = np.zeros((len(sample), width))
-    for i, r in enumerate(sample):
-        x[i, :len(r.v)] = r.v
-    centers = spherical_kmeans(_unit(x), k) if len(x) else np.zeros((1, width))
+    x = np.array([np.frombuffer(r.x) for r in sample]).reshape(-1, width)
+    centers = spherical_kmeans(x, k) if len(x) else np.zeros((1, width))
     slack = math.sqrt(max(0.0, 2 - 2 * threshold))
     if deviations is not None:
-        slack *= min(1.0, deviations / math.sqrt(width))
+        slack *= min(1.0, deviations * largest_share(x, centers))
 
     def cells(batches):
         for b in batches:
-            cell, count = np.unique(np.argmax(_unit(_matrix(b.column(0), width)) @ centers.T, axis=1),
-                                    return_counts=True)
+            cell, count = np.unique(np.argmax(_Units([b.column(0)], width).x @ centers.T, axis=1), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(count)], ["cell", "n"])
 
     # One row a cell, at most MAX_CELLS.
@@ -184,9 +247,11 @@ def _found(distinct, n, width, threshold, deviations):
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
                 reps, keys, copies, vectors = b.columns
-                near = _unit(_matrix(vectors, width)) @ centers.T
+                near = _Units([vectors], width).x @ centers.T
                 cell = np.argmax(near, axis=1)
-                own = first[cell] + reps.to_numpy() % parts[cell]
+                # Dealt by a hash, so that ids of any stride fill all blocks of a cell.
+                dealt = splitmix(reps.to_numpy().view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+                own = first[cell] + (dealt % parts[cell].astype(np.uint64)).astype(np.int64)
                 visit = near >= near[np.arange(len(cell)), cell][:, None] - slack * between[cell] - 1e-9
                 for row_ids, block, kind in _targets(cell, own, visit):
                     take = pa.array(row_ids)
