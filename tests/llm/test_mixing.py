@@ -24,11 +24,11 @@ def plain_shares(model, text):
         * sum(float(f"{model.weights[d][bucket(w)] - model.weights[0][bucket(w)]:.5g}") for w in words)
         for d, p in enumerate(model.priors[1:], 1)]
     parts = [math.exp(s - max(scores)) for s in scores]
-    low = [math.floor(mixing.GRAIN * p / sum(parts)) for p in parts[1:]]
+    low = [math.floor(mixing.GRAIN * p / sum(parts) + 1e-9) for p in parts[1:]]
     return [mixing.GRAIN - sum(low), *low]
 
 
-def plain_rates(shares, tokens, wanted, budget, least, steps=4000):
+def plain_rates(shares, tokens, wanted, budget, least, steps=30_000):
     """The same descent over single documents."""
     p, n = np.array(shares) / mixing.GRAIN, np.array(tokens, float)
     rate, have = np.ones(len(n)), n @ p
@@ -49,17 +49,17 @@ def test_posteriors_match_plain_code(spark):
         assert r.tokens == len(r.text.split())
         off += max(abs(a - b) for a, b in zip(r.shares, plain_shares(model, r.text))) > 0
         assert sum(r.shares) == mixing.GRAIN
-    assert off <= 5  # a floor may differ where a share is whole up to rounding
+    assert off <= 2  # a floor may differ where a share is whole up to rounding
     by_id = dict(labels.collect())
     seen = [(by_id[r.doc_id], model.domains[int(np.argmax(r.shares))]) for r in rows if r.doc_id in by_id]
     assert sum(a == b for a, b in seen) / len(seen) > 0.85
 
 
-@pytest.mark.parametrize(("budget", "least"), [("same", 0.0), ("keep", 1.0)])
-def test_rates_match_plain_descent(spark, budget, least, monkeypatch):
-    monkeypatch.setattr(mixing, "TOLERANCE", 1e-6)
+@pytest.mark.parametrize(("budget", "least", "lowest", "highest"), [
+    ("same", 0.0, 0, 101), ("keep", 1.0, 0, 101), ("same", 0.0, 40, 61), ("keep", 1.0, 40, 61)])
+def test_rates_match_plain_descent(spark, budget, least, lowest, highest):
     draw = np.random.default_rng(2)
-    low = draw.integers(0, 101, 60)
+    low = draw.integers(lowest, highest, 60)
     shares = [[100 - int(a), int(a)] for a in low]
     tokens = [int(x) for x in draw.integers(0, 500, 60)]
     table = spark.createDataFrame(list(zip(shares, tokens)), "shares array<int>, tokens bigint")
@@ -71,8 +71,10 @@ def test_rates_match_plain_descent(spark, budget, least, monkeypatch):
     got = np.array([rates[tuple(s)] for s in shares])
     assert (got >= least).all()
     mass = lambda r: (r * tokens) @ np.array(shares) / mixing.GRAIN / size
-    assert np.allclose(mass(got), mass(want), atol=1e-2)
-    assert np.allclose(reached, [0.6, 0.4], atol=0.02)
+    assert np.allclose(mass(got), mass(want), atol=2e-3)
+    assert np.allclose(reached, mass(got) / mass(got).sum(), atol=1e-6)
+    if highest == 101:
+        assert np.allclose(reached, [0.6, 0.4], atol=0.02)
 
 
 def test_query_reaches_the_targets_without_python(spark):
@@ -88,6 +90,21 @@ def test_query_reaches_the_targets_without_python(spark):
     assert sum(r.copies for r in rows) == pytest.approx(sum(r.rate for r in rows), rel=0.05)
 
 
+def test_reached_shares_are_returned_and_an_unfinished_descent_warns(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    words = {"a": "red green blue".split(), "b": "one two three".split()}
+    rows = [(i, " ".join(draw.choice(words["ab"[i % 2]] + ["and"], 12))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(0, 80, 3)], "id bigint, domain string")
+    mixed, reached = mixing.mix_and_reached(docs, labels, {"a": 0.7, "b": 0.3})
+    assert reached == pytest.approx({"a": 0.7, "b": 0.3}, abs=0.01)
+    weight = sum(r.rate * r.tokens * r.shares[0] / mixing.GRAIN for r in mixed.collect())
+    assert weight / sum(r.rate * r.tokens for r in mixed.collect()) == pytest.approx(reached["a"], abs=1e-6)
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    with pytest.warns(UserWarning, match="last step"):
+        mix(docs, labels, {"a": 0.9, "b": 0.1}, budget="keep", least=1.0)
+
+
 def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
     labels = spark.createDataFrame([(1, "a"), (6, "b"), (9, "a"), (9, "b"), (None, "a"), (3, "c"), (4, None)],
                                    "id bigint, domain string")

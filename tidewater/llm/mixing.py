@@ -17,6 +17,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,9 +31,9 @@ BUCKETS = 4_096
 EVIDENCE_WORDS = 30
 GRAIN = 100
 PULL = 1e-3
-MAX_STEPS = 40
-#: The descent ends when the totals move by less than this share of the budget.
-TOLERANCE = 1e-5
+#: The descent ends when a projected step moves less than this share of all tokens.
+TOLERANCE, MAX_STEPS = 2e-5, 2_000
+_STEPS_A_TABLE = 16
 _SMOOTH = 0.5
 
 
@@ -44,9 +45,9 @@ def _bucket(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int") + 1
 
 
-def _numbers(values) -> Column:
+def _numbers(values, digits: int = 5) -> Column:
     """A constant array of doubles (folded by the optimizer)."""
-    return F.split(F.lit(",".join(f"{v:.5g}" for v in values)), ",").cast("array<double>")
+    return F.split(F.lit(",".join(f"{v:.{digits}g}" for v in values)), ",").cast("array<double>")
 
 
 class DomainClassifier:
@@ -84,7 +85,7 @@ class DomainClassifier:
                    shares: str = "shares") -> DataFrame:
         """``docs`` with ``tokens`` (its words) and ``shares`` (hundredths a domain).
 
-        The shares of all but the first domain are rounded down, and the first
+        The shares of all but the first domain are rounded down (but for 1e-9), and the first
         has the rest. A null or empty text has the priors for posteriors.
         """
         b, n, s = fresh_names(docs, "buckets", tokens, "scores")
@@ -97,7 +98,7 @@ class DomainClassifier:
         top = F.array_max(s)
         parts = F.transform(s, lambda x: F.exp(x - top))
         total = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
-        floors = F.transform(F.slice(parts, 2, len(self.domains)), lambda x: F.floor(GRAIN * x / total).cast("int"))
+        floors = F.transform(F.slice(parts, 2, len(self.domains)), lambda x: F.floor(GRAIN * x / total + 1e-9).cast("int"))
         out = out.withColumn(s, floors)
         rest = F.lit(GRAIN) - F.aggregate(s, F.lit(0), lambda a, x: a + x)
         return out.withColumn(shares, F.concat(F.array(rest), F.col(s))).drop(s)
@@ -108,13 +109,15 @@ def _adder(weights, base):
     return lambda total, bucket: total + F.element_at(ratios, bucket)
 
 
-def _rate(steps: list[list[float]], shares: Column, pull: float, least: float, ahead: bool = False) -> Column:
-    """The rate of a posterior after the steps, each a value per domain and a
-    momentum; ``ahead`` gives the point that the next step starts from."""
+def _descend(steps: list[list[float]], shares: Column, pull: float, least: float) -> Column:
+    """A posterior's state after the steps, each a slope per domain and a momentum,
+    from its columns ``rate`` and ``ahead``: its rate, the point ``ahead`` of the
+    next step, how far the last step moved from its point, and its turn."""
+    first = F.struct("rate", "ahead", F.lit(0.0).alias("moved"), F.lit(0.0).alias("turn"))
     if not steps:
-        return F.greatest(F.lit(1.0), F.lit(least))
+        return first
     size, d = 1 / (1 + pull), len(steps[0]) - 1
-    wide = F.array(*[_numbers(s) for s in steps])
+    wide = F.array(*[_numbers(s, 17) for s in steps])
 
     def step(state, slope):
         start = state["ahead"]
@@ -122,10 +125,10 @@ def _rate(steps: list[list[float]], shares: Column, pull: float, least: float, a
                            lambda a, x: a + x)
         rate = F.greatest(F.lit(least), start - size * (push / GRAIN + pull * (start - 1)))
         momentum = F.element_at(slope, d + 1)
-        return F.struct(rate.alias("rate"), (rate + momentum * (rate - state["rate"])).alias("ahead"))
+        return F.struct(rate.alias("rate"), (rate + momentum * (rate - state["rate"])).alias("ahead"),
+                        F.abs(rate - start).alias("moved"), ((start - rate) * (rate - state["rate"])).alias("turn"))
 
-    first = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-    return F.aggregate(wide, first, step, lambda state: state["ahead" if ahead else "rate"])
+    return F.aggregate(wide, first, step)
 
 
 def fit_rates(posteriors: DataFrame, targets: list[float], budget: float | str = "same", least: float = 0.0,
@@ -135,41 +138,64 @@ def fit_rates(posteriors: DataFrame, targets: list[float], budget: float | str =
 
     ``targets`` are the domains' shares of ``budget`` tokens: ``"same"`` is the
     input's total, ``"keep"`` the least total at which no domain has to shrink.
+
+    The descent ends when a projected step moves the tokens by ``TOLERANCE`` of all
+    at most; a momentum that turns against the step starts anew. If ``MAX_STEPS``
+    do not suffice, a warning says so.
     """
-    groups = materialise(posteriors.groupBy(shares).agg(F.sum(tokens).alias(tokens)), "posteriors")
+    groups = materialise(posteriors.groupBy(shares).agg(F.sum(tokens).alias(tokens)).withColumn(
+        "rate", F.greatest(F.lit(1.0), F.lit(least))).withColumn("ahead", F.col("rate")), "posteriors")
     d = range(len(targets))
+    steps: list[list[float]] = []
 
-    def totals(rate: Column) -> list[float]:
-        part = [F.sum(rate * F.col(tokens) * F.element_at(F.col(shares), i + 1) / GRAIN) for i in d]
-        return [x or 0.0 for x in groups.agg(*[p.alias(f"t{i}") for i, p in enumerate(part)]).first()]
+    def sums(at: str) -> list[float]:
+        state = groups.withColumn("state", _descend(steps, F.col(shares), pull, least))
+        mass = [F.sum(F.col(f"state.{at}") * F.col(tokens) * F.element_at(F.col(shares), i + 1) / GRAIN) for i in d]
+        more = [F.sum(F.col(f"state.{x}") * F.col(tokens)) for x in ("moved", "turn")] + [F.sum(tokens)]
+        return [x or 0.0 for x in state.agg(*[m.alias(f"t{i}") for i, m in enumerate(mass + more)]).first()]
 
-    have = totals(F.lit(1.0))
+    *now, _, _, total = sums("ahead")
+    have = [x / max(1.0, least) for x in now]
     wanted = [t / sum(targets) for t in targets]
     if budget == "same":
         budget = sum(have)
     elif budget == "keep":
         budget = max([h / w for h, w in zip(have, wanted) if w > 0], default=0.0)
     if not budget:
-        return groups.withColumn("rate", _rate([], F.col(shares), pull, least)), wanted
+        return groups.drop("ahead"), wanted
     share = [max(h / budget, 1e-9) for h in have]
-    steps: list[list[float]] = []
-    now = have
-    for t in range(MAX_STEPS):
-        error = [n / budget - w for n, w in zip(now, wanted)]
-        if steps and max(abs(a - b) for a, b in zip(now, before)) <= TOLERANCE * budget:
-            break
-        # Errors relative to the domain's present share: the step size 1 / (1 + pull)
+    since = 0
+    for _ in range(MAX_STEPS):
+        # Errors relative to the domain's share at first: the step size 1 / (1 + pull)
         # is then below the inverse of the largest eigenvalue.
-        steps.append([e / s for e, s in zip(error, share)] + [t / (t + 3)])
-        before, now = now, totals(_rate(steps, F.col(shares), pull, least, ahead=True))
-    now = totals(_rate(steps, F.col(shares), pull, least))
+        steps.append([(n / budget - w) / s for n, w, s in zip(now, wanted, share)] + [since / (since + 3)])
+        *now, moved, turn, total = sums("ahead")
+        if moved <= TOLERANCE * total:
+            break
+        since = 0 if turn > 0 else since + 1
+        if len(steps) >= _STEPS_A_TABLE:  # the states so far become columns
+            state = groups.withColumn("state", _descend(steps, F.col(shares), pull, least))
+            groups = materialise(state.select(shares, tokens, "state.rate", "state.ahead"), "rates")
+            steps.clear()
+    else:
+        warnings.warn(f"the descent moved {moved / total:.2g} of all tokens in its last step", stacklevel=2)
+    *now, _, _, _ = sums("rate")
     reached = [n / max(sum(now), 1e-9) for n in now]
-    return groups.withColumn("rate", _rate(steps, F.col(shares), pull, least)), reached
+    return groups.select(shares, tokens, _descend(steps, F.col(shares), pull, least)["rate"].alias("rate")), reached
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id",
         text_col: str = "text", budget: float | str = "same", least: float = 0.0) -> DataFrame:
-    """``docs`` with ``tokens``, ``shares``, ``rate`` and ``copies`` (new names if taken).
+    """The rows of ``mix_and_reached`` alone."""
+    return mix_and_reached(docs, labels, targets, id_col, text_col, budget, least)[0]
+
+
+def mix_and_reached(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id",
+                    text_col: str = "text", budget: float | str = "same",
+                    least: float = 0.0) -> tuple[DataFrame, dict[str, float]]:
+    """Mixed rows, and the share of the expected tokens that each domain reaches.
+
+    The rows are ``docs`` with ``tokens``, ``shares``, ``rate`` and ``copies`` (new names if taken).
 
     ``labels`` has the columns ``id`` and ``domain``; ``targets`` maps each domain
     to its wanted share of the expected tokens. Every row comes back, rows taken
@@ -180,12 +206,13 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: s
     model = DomainClassifier.fit(docs, labels, domains, id_col, text_col)
     tokens, shares, rate, copies = fresh_names(docs, "tokens", "shares", "rate", "copies")
     rows = materialise(model.posteriors(docs, text_col, tokens, shares), "memberships")
-    groups, _ = fit_rates(rows, list(targets.values()), budget, least, tokens=tokens, shares=shares)
+    groups, reached = fit_rates(rows, list(targets.values()), budget, least, tokens=tokens, shares=shares)
     groups = groups.select(shares, F.round("rate", 9).alias(rate))
     draw = F.pmod(F.xxhash64(F.lit("copies"), column(rows, id_col)), F.lit(1 << 30)) / (1 << 30)
     whole = F.floor(rate)
-    return rows.join(groups, shares).withColumn(
+    mixed = rows.join(groups, shares).withColumn(
         copies, (whole + F.when(draw < F.col(rate) - whole, 1).otherwise(0)).cast("int"))
+    return mixed, dict(zip(domains, reached))
 
 
 def take_copies(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id",
