@@ -68,3 +68,17 @@ def test_odd_rows(odd_docs, odd_rows, no_docs, monkeypatch):
     assert all((r.n_tokens, r.log_score) == (0, 0.0) for r in got if r.n_words == 0)
     assert all(r.n_tokens >= r.n_words for r in got)
     assert token_counts(no_docs).collect() == []
+
+
+def test_a_shared_prefix_is_scored_once(vocabulary, monkeypatch):
+    words = [f"{a}{b}{c}" for a in ("the", "then", "tha") for b in ("", "re", "rem") for c in ("", "s", "字")]
+    prefixes = {("▁" + w)[:n] for w in words for n in range(1, len(w) + 2)}
+    once, apart, again = (PrefixTrie(vocabulary) for _ in range(3))
+    once.insert(set(words))
+    for w in words:
+        apart.insert({w})
+    assert once.nodes == apart.nodes == len(prefixes)
+    monkeypatch.setattr("tidewater.llm.token_counts.MAX_NODES", 5)  # starts anew again and again
+    for w in words:
+        again.insert({w})
+    assert again.nodes > len(prefixes) and once.counts == apart.counts == again.counts

@@ -6,11 +6,11 @@ scores, the log of a Zipf law over the vocabulary's ranks; among equal paths the
 one with fewer tokens counts. Characters outside the vocabulary fall back to one
 token a UTF-8 byte.
 
-Distinct pre-tokens are inserted in a trie in sorted order. A trie node holds the
-forward score of its prefix, which is computed once for all pre-tokens that share
-it; the node where a pre-token ends stores its count. Texts then sum terminal
-counts. Each task builds the trie of its own texts, so nothing is shuffled and
-every word's path is found once a task however often it occurs.
+Distinct pre-tokens of many texts at a time are inserted in a trie in sorted order.
+A trie node holds the forward score of its prefix, which is computed once for all
+pre-tokens that share it; the node where a pre-token ends stores its count. Texts
+then sum terminal counts. Each worker keeps the trie of its texts, so nothing is
+shuffled and every word's path is found once however often it occurs.
 """
 
 from __future__ import annotations
@@ -22,13 +22,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import column, find_package, schema_of
+from tidewater.llm.common import column, cut, find_package, schema_of
 from tidewater.llm.tokens import public_path
 
 VOCABULARY = "piece_bpe_32k.model"
 WORD_MARK = "▁"
 #: Terminal counts held by a worker; beyond it the trie starts anew.
 MAX_TERMINALS = 600_000
+#: Nodes kept from one insertion to the next, about; beyond it the trie starts anew.
+MAX_NODES = 400_000
+_INSERT_CHARS = 1 << 22
 
 
 class UnigramVocabulary:
@@ -56,47 +59,66 @@ class UnigramVocabulary:
 class PrefixTrie:
     """Terminal counts of pre-tokens; forward scores are shared along prefixes.
 
-    Sorted insertion walks the trie depth first, so only the path from the root
-    to the last pre-token has to be kept: ``best[i]`` and ``tokens[i]`` belong to
-    the node at depth i of that path, and ``alive[i]`` holds the depths from
-    which the path up to there is still a prefix of some piece.
+    A node is ``[best, tokens, alive, children]``: the best score of its prefix and
+    that path's tokens, the depths from which the prefix goes on being a prefix of
+    some piece, and the nodes one character on. Nodes stay from one insertion to
+    the next, so a prefix is scored once for all pre-tokens that share it; beyond
+    ``MAX_NODES`` the trie starts anew, and terminal counts stay.
     """
 
     def __init__(self, vocabulary: UnigramVocabulary):
         self.vocabulary = vocabulary
         self.counts: dict[str, tuple[int, float]] = {}
         self.nodes = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self._root, self._held = [0.0, 0, (), None], 0
 
     def insert(self, words) -> None:
         """Add distinct pre-tokens (without the mark) that are not in yet."""
-        prefixes, byte_score = self.vocabulary.prefixes, self.vocabulary.byte_score
-        best, tokens, alive, path = [0.0], [0], [[]], ""
-        for word in sorted(words):
+        if self._held > MAX_NODES:
+            self._clear()
+        path, last, made = [self._root], "", 0
+        for word in sorted(words):  # neighbours share most of their path
             marked = WORD_MARK + word
-            shared = len(os.path.commonprefix([path, marked]))
-            del best[shared + 1:], tokens[shared + 1:], alive[shared + 1:]
+            shared = len(os.path.commonprefix([last, marked]))
+            del path[shared + 1:]
             for j in range(shared + 1, len(marked) + 1):
-                self.nodes += 1
-                top, n, still = None, 0, []
-                for i in (*alive[j - 1], j - 1):
-                    s = prefixes.get(marked[i:j], 0)
-                    if s == 0:  # no prefix of a piece (scores are below zero)
-                        continue
-                    still.append(i)
-                    if s is not None:
-                        s += best[i]
-                        if top is None or s > top or (s == top and tokens[i] < n - 1):
-                            top, n = s, tokens[i] + 1
-                c = marked[j - 1]
-                size = 1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
-                s = best[j - 1] + size * byte_score
-                if top is None or s > top:
-                    top, n = s, tokens[j - 1] + size
-                best.append(top)
-                tokens.append(n)
-                alive.append(still)
-            path = marked
-            self.counts[word] = (tokens[-1], best[-1])
+                above, c = path[-1], marked[j - 1]
+                below = above[3]
+                if below is None:
+                    below = above[3] = {}
+                node = below.get(c)
+                if node is None:
+                    made += 1
+                    node = below[c] = self._scored(path, marked, j)
+                path.append(node)
+            last = marked
+            self.counts[word] = (path[-1][1], path[-1][0])
+        self.nodes += made
+        self._held += made
+
+    def _scored(self, path: list, marked: str, j: int) -> list:
+        """The node of the first ``j`` characters below the nodes of ``path``."""
+        prefixes = self.vocabulary.prefixes
+        top, n, still = None, 0, []
+        for i in (*path[-1][2], j - 1):
+            s = prefixes.get(marked[i:j], 0)
+            if s == 0:  # no prefix of a piece (scores are below zero)
+                continue
+            still.append(i)
+            if s is not None:
+                above = path[i]
+                s += above[0]
+                if top is None or s > top or (s == top and above[1] < n - 1):
+                    top, n = s, above[1] + 1
+        c = marked[j - 1]
+        size = 1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
+        s = path[j - 1][0] + size * self.vocabulary.byte_score
+        if top is None or s > top:
+            top, n = s, path[j - 1][1] + size
+        return [top, n, tuple(still), None]
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -115,20 +137,24 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def counted(batches):
         trie = _trie(path)
+        counts = trie.counts
         for b in batches:
             n_words, n_tokens, score = [], [], []
-            for text in b.column(1).to_pylist():
-                words = text.split()
-                counts = trie.counts
-                new = {w for w in words if w not in counts}
+            texts = b.column(1).to_pylist()
+            # The new pre-tokens of many texts go in together, sorted.
+            for part in cut(texts, [len(t) for t in texts], _INSERT_CHARS):
+                split = [t.split() for t in texts[part]]
+                words = set().union(*split)
+                new = words - counts.keys()
                 if len(counts) + len(new) > MAX_TERMINALS and counts:
                     counts.clear()
-                    new = set(words)
+                    new = words
                 trie.insert(new)
-                found = [counts[w] for w in words]
-                n_words.append(len(found))
-                n_tokens.append(sum([c for c, _ in found]))
-                score.append(math.fsum([s for _, s in found]))
+                for found in split:
+                    found = [counts[w] for w in found]
+                    n_words.append(len(found))
+                    n_tokens.append(sum([c for c, _ in found]))
+                    score.append(math.fsum([s for _, s in found]))
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array(n_words, pa.int64()), pa.array(n_tokens, pa.int64()),
                 pa.array(np.array(score, dtype=np.float64))], schema.fieldNames())
