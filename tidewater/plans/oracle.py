@@ -183,6 +183,20 @@ GROUP BY l.quality""",
         "WITH " + _CORPUS
         + r" SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM corpus"
     ),
+    "csv_reject_side": """
+WITH lines AS (
+  SELECT *, o_orderkey % 13 AS k, CAST(o_totalprice AS DECIMAL(15,2)) AS price,
+         o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',' AS head
+  FROM orders
+)
+SELECT 'good' AS side, o_orderkey, o_custkey, o_orderstatus, price AS o_totalprice, o_orderpriority,
+       CAST(NULL AS VARCHAR) AS line
+FROM lines WHERE k NOT IN (4, 7, 9)
+UNION ALL
+SELECT 'reject', NULL, NULL, NULL, NULL, NULL,
+       CASE k WHEN 4 THEN head || 'n/a,' || o_orderpriority WHEN 7 THEN head || price
+              ELSE head || price || ',' || o_orderpriority || ',more' END
+FROM lines WHERE k IN (4, 7, 9)""",
     "select_rename": f"WITH {_DIM} SELECT IATA_CODE, AIRLINE AS AIRLINE_NAME FROM dim",
     "left_outer_join": _JOINED + "\nSELECT * FROM joined",
     "salted_outer_join": _JOINED + "\nSELECT * FROM joined",
@@ -275,6 +289,12 @@ msgs AS (
   FROM token_text WHERE n_tokens > 0
 )
 SELECT *, md5(value) AS value_md5 FROM msgs""",
+    "messages_delivered_once": "WITH "
+    + _LINES
+    + f"""
+SELECT doc_id, line_no, strftime({_BASE}, '%Y-%m-%dT%H:%M:%S.%f') AS key,
+       strftime({_BASE}, '%Y-%m-%dT%H:%M:%S.%f') || ' ' || words AS value
+FROM token_text WHERE n_tokens > 0""",
     "timed_replay": "WITH "
     + _LINES
     + ","

@@ -9,12 +9,13 @@ result checks the round trip. Timestamps are returned as TIMESTAMP_NTZ
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType, TimestampType
 
 from tidewater.functions.numbers import format_2dp
 from tidewater.functions.records import explode_words, parse_records
@@ -42,9 +43,10 @@ from tidewater.operators.summary import (
 )
 from tidewater.plans import standins as S
 from tidewater.session import scratch_path
+from tidewater.sinks.delivery import deliver_batches, delivered_once, read_ledger
 from tidewater.sinks.files import write_json, write_sorted_single_file
 from tidewater.sinks.preview import preview_rows
-from tidewater.sources.csv import read_csv
+from tidewater.sources.csv import RAW_LINE, read_csv, read_csv_sides
 from tidewater.sources.envelope import decode_value, read_envelope_stream
 from tidewater.sources.text import read_lines, read_lines_in_order
 from tidewater.streaming.snapshots import read_snapshot
@@ -75,6 +77,15 @@ SUMMARY_SCHEMA = StructType(
         StructField(AVG_TEXT_COL, StringType(), True),
     ]
 )
+ORDERS_CSV = StructType(
+    [
+        StructField("o_orderkey", LongType()),
+        StructField("o_custkey", LongType()),
+        StructField("o_orderstatus", StringType()),
+        StructField("o_totalprice", DecimalType(15, 2)),
+        StructField("o_orderpriority", StringType()),
+    ]
+)
 COUNTS_SCHEMA = StructType(
     [
         StructField("START_TIME", TimestampType(), True),
@@ -199,6 +210,45 @@ def csv_infer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_reject_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV lines, some of which do not fit: rows of the good side and
+    raw lines of the other."""
+    path, k = scratch_path(spark, "orders-lines"), F.col("o_orderkey") % 13
+    price = F.when(k == 4, "n/a").otherwise(F.col("o_totalprice").cast("decimal(15,2)").cast("string"))
+    fields = ["o_orderkey", "o_custkey", "o_orderstatus", price]
+    whole = F.concat_ws(",", *fields, "o_orderpriority")
+    line = F.when(k == 7, F.concat_ws(",", *fields)).when(k == 9, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    spread(S.table(spark, sf_dir, "orders")).select(line.alias("line")).write.text(path)
+    good, rejects = read_csv_sides(spark, path, ORDERS_CSV, header=False)
+    return good.select(F.lit("good").alias("side"), *ORDERS_CSV.fieldNames(), F.lit(None).cast("string").alias("line")).union(
+        rejects.select(F.lit("reject"), *[F.lit(None).cast(f.dataType) for f in ORDERS_CSV.fields], F.col(RAW_LINE)))
+
+
+def messages_delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpus messages sent in one batch that fails midway and runs again, with
+    some of them sent twice: every message is read once."""
+    sent, ledger = scratch_path(spark, "sent"), scratch_path(spark, "ledger")
+    lines = replay(nonempty_lines(_tokens(spark, sf_dir)), 1, S.REPLAY_BASE_TIME)
+    messages = to_messages(lines, extra=["doc_id", "line_no"])
+    failing = {3}
+
+    def send(part: DataFrame) -> None:
+        number = part.select("part").first()
+        rows = part.where("message_id like '%7-1'").union(part)  # a task that was tried again
+        rows.write.mode("append").parquet(sent)
+        if number is not None and number.part in failing:
+            failing.clear()
+            raise RuntimeError("the sink failed")
+
+    deliver = deliver_batches(send, ledger)
+    with contextlib.suppress(RuntimeError):
+        deliver(messages, 0)
+    deliver(messages, 0)
+    once = delivered_once(spark.read.parquet(sent), read_ledger(spark, ledger))
+    return once.select("doc_id", "line_no", F.col("key").cast("string").alias("key"),
+                       F.col("value").cast("string").alias("value"))
+
+
 def text_line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "documents-text")
     S.documents(spark, sf_dir).select("text").write.text(path)
@@ -525,6 +575,7 @@ QUERIES: dict[str, QueryFn] = {
     "delay_summary_direct": delay_summary_direct,
     "document_label_summary": document_label_summary,
     "csv_infer_scan": csv_infer_scan,
+    "csv_reject_side": csv_reject_side,
     "text_line_scan": text_line_scan,
     "numbered_lines": numbered_lines,
     "json_sink_roundtrip": json_sink_roundtrip,
@@ -559,6 +610,7 @@ QUERIES: dict[str, QueryFn] = {
     "first_n_selected": first_n_selected,
     "build_messages": build_messages,
     "message_frames": message_frames,
+    "messages_delivered_once": messages_delivered_once,
     "timed_replay": timed_replay,
     "replay_counts": replay_counts_query,
 }
