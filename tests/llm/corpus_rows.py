@@ -54,4 +54,4 @@ def groups_of():
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
-__all__ = ["SF_CHECK", "SF_SMALL", "groups_of", "no_docs", "odd_docs", "odd_rows"]
+__all__ = ["CLASHING", "SF_CHECK", "SF_SMALL", "groups_of", "no_docs", "odd_docs", "odd_rows"]

@@ -1,33 +1,69 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
+import xxhash
 from corpus_rows import *  # noqa: F403  fixtures
 from hypothesis import given, settings, strategies as st
 
 from tidewater.llm import substring_dedup
 from tidewater.llm.queries import op6_substring_dedup
-from tidewater.llm.substring_dedup import MIN_WORDS, cut_runs, normal, remove_repeats, units
+from tidewater.llm.substring_dedup import MIN_WORDS, REACH, UNIT_WORDS, cut_runs, normal, remove_repeats, units
+
+
+def plain_units(text):
+    """Character spans and words of the units, character by character."""
+    sentences, start = [], 0
+    for k in range(1, len(text) + 1):
+        ends = text[k - 1] in ".!?" and k < len(text) and text[k] in " \t\r\x0b\x0c"
+        if text[k - 1] == "\n" or ends or k == len(text):
+            sentences.append((start, k))
+            start = k
+    out, start, held = [], 0, []
+    for a, b in sentences:
+        words = [(m.start() + a, m[0]) for m in re.finditer(r"[A-Za-z0-9\u0080-\U0010ffff]+", text[a:b])]
+        words = [(at, re.sub("[A-Z]", lambda m: m[0].lower(), w)) for at, w in words]
+        ranks = [xxhash.xxh3_64_intdigest(w.encode()) for _, w in words]
+        last = -REACH
+        for i, (at, w) in enumerate(words):
+            inner = REACH <= i < len(words) - REACH and i - last >= REACH
+            if inner and ranks[i] == min(ranks[i - REACH:i + REACH + 1]):
+                out.append((start, at, held))
+                start, held, last = at, [], i
+            held = [*held, w]
+        if len(held) >= UNIT_WORDS or text[b - 1] == "\n" or b == len(text):
+            out.append((start, b, held))
+            start, held = b, []
+    return out
 
 
 def brute(rows, min_words):
-    """Kept text and runs per (id, text): earliest occurrence by (id, text hash rank, position)."""
-    order = {}
-    seen = {}
+    """Kept text and removed runs per (id, text) from the rules alone: the earliest
+    unit of each word sequence stays, later ones go in runs of enough words."""
     ranked = sorted({(i, t or "") for i, t in rows}, key=lambda x: (x[0] is not None, x[0] or 0))
-    for i, t in ranked:
-        for k, (_, _, words) in enumerate(units(t.encode())):
-            words = tuple(words)
+    cut, first = {row: plain_units(row[1]) for row in ranked}, {}
+    for row in ranked:
+        for k, (_, _, words) in enumerate(cut[row]):
             if words:
-                seen.setdefault(words, (i, t, k))
-    for i, t in ranked:
-        marks = {}
-        for k, (_, _, words) in enumerate(units(t.encode())):
-            words = tuple(words)
-            if words and seen[words] != (i, t, k):
-                marks[k] = seen[words][0]
-        order[i, t] = cut_runs(t.encode(), marks, min_words)
-    return order
+                first.setdefault(tuple(words), (row, k))
+    out = {}
+    for row in ranked:
+        runs, now = [], None
+        for k, (a, b, words) in enumerate(cut[row]):
+            if words and first[tuple(words)] != (row, k):
+                if now is None:
+                    now = {"start": a, "first_id": first[tuple(words)][0][0], "n": 0}
+                    runs.append(now)
+                now |= {"end": b, "n": now["n"] + len(words)}
+            elif words:
+                now = None
+        runs = [r for r in runs if r["n"] >= min_words]
+        text, at, kept = row[1], 0, ""
+        for r in runs:
+            kept, at = kept + text[at:r["start"]], r["end"]
+        out[row] = (kept + text[at:]).encode(), [{x: r[x] for x in ("start", "end", "first_id")} for r in runs]
+    return out
 
 
 def test_query_matches_brute_force(spark):
@@ -109,3 +145,11 @@ def test_units_cover_the_text(text):
     assert all(b"\n" not in data[a:b - 1] and words == normal(data[a:b]) for a, b, words in spans)
     assert cut_runs(data, dict.fromkeys(range(len(spans)), 1), 10**6) == (data, [])
     assert substring_dedup.normal(data) == substring_dedup.normal(data.upper().replace(b"\xc3\x89", b"\xc3\x89").lower())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abc .!?\n\tÉé-", max_size=120))
+def test_units_match_the_rules(text):
+    data = text.encode()
+    got = [(len(data[:a].decode()), len(data[:b].decode()), [w.decode() for w in words]) for a, b, words in units(data)]
+    assert got == plain_units(text)
