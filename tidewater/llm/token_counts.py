@@ -59,11 +59,13 @@ class UnigramVocabulary:
 class PrefixTrie:
     """Terminal counts of pre-tokens; forward scores are shared along prefixes.
 
-    A node is ``[best, tokens, alive, children]``: the best score of its prefix and
-    that path's tokens, the depths from which the prefix goes on being a prefix of
-    some piece, and the nodes one character on. Nodes stay from one insertion to
-    the next, so a prefix is scored once for all pre-tokens that share it; beyond
-    ``MAX_NODES`` the trie starts anew, and terminal counts stay.
+    Nodes are numbers. A node has the best score of its prefix, that path's tokens,
+    and the depths from which the prefix goes on being a prefix of some piece;
+    ``_next`` leads from a node and a character to the node below. Nodes stay from
+    one insertion to the next, so a prefix is scored once for all pre-tokens that
+    share it; beyond ``MAX_NODES`` the trie starts anew, and terminal counts stay.
+    (Plain lists of numbers, as Python's collector would go through millions of
+    small containers again and again.)
     """
 
     def __init__(self, vocabulary: UnigramVocabulary):
@@ -73,52 +75,49 @@ class PrefixTrie:
         self._clear()
 
     def _clear(self) -> None:
-        self._root, self._held = [0.0, 0, (), None], 0
+        self._best, self._tokens, self._alive, self._next = [0.0], [0], [()], {}
 
     def insert(self, words) -> None:
         """Add distinct pre-tokens (without the mark) that are not in yet."""
-        if self._held > MAX_NODES:
+        if len(self._best) > MAX_NODES:
             self._clear()
-        path, last, made = [self._root], "", 0
+        best, tokens, alive, below = self._best, self._tokens, self._alive, self._next
+        prefixes, byte_score = self.vocabulary.prefixes.get, self.vocabulary.byte_score
+        path, last, before = [0], "", len(best)
         for word in sorted(words):  # neighbours share most of their path
             marked = WORD_MARK + word
             shared = len(os.path.commonprefix([last, marked]))
             del path[shared + 1:]
+            node = path[-1]
             for j in range(shared + 1, len(marked) + 1):
-                above, c = path[-1], marked[j - 1]
-                below = above[3]
-                if below is None:
-                    below = above[3] = {}
-                node = below.get(c)
+                c = marked[j - 1]
+                step = node << 21 | ord(c)
+                node = below.get(step)
                 if node is None:
-                    made += 1
-                    node = below[c] = self._scored(path, marked, j)
+                    node = below[step] = len(best)
+                    above = path[-1]
+                    top, n, still = None, 0, []
+                    for i in (*alive[above], j - 1):
+                        s = prefixes(marked[i:j], 0)
+                        if s == 0:  # no prefix of a piece (scores are below zero)
+                            continue
+                        still.append(i)
+                        if s is not None:
+                            at = path[i]
+                            s += best[at]
+                            if top is None or s > top or (s == top and tokens[at] < n - 1):
+                                top, n = s, tokens[at] + 1
+                    size = 1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
+                    s = best[above] + size * byte_score
+                    if top is None or s > top:
+                        top, n = s, tokens[above] + size
+                    best.append(top)
+                    tokens.append(n)
+                    alive.append(tuple(still))
                 path.append(node)
             last = marked
-            self.counts[word] = (path[-1][1], path[-1][0])
-        self.nodes += made
-        self._held += made
-
-    def _scored(self, path: list, marked: str, j: int) -> list:
-        """The node of the first ``j`` characters below the nodes of ``path``."""
-        prefixes = self.vocabulary.prefixes
-        top, n, still = None, 0, []
-        for i in (*path[-1][2], j - 1):
-            s = prefixes.get(marked[i:j], 0)
-            if s == 0:  # no prefix of a piece (scores are below zero)
-                continue
-            still.append(i)
-            if s is not None:
-                above = path[i]
-                s += above[0]
-                if top is None or s > top or (s == top and above[1] < n - 1):
-                    top, n = s, above[1] + 1
-        c = marked[j - 1]
-        size = 1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
-        s = path[j - 1][0] + size * self.vocabulary.byte_score
-        if top is None or s > top:
-            top, n = s, path[j - 1][1] + size
-        return [top, n, tuple(still), None]
+            self.counts[word] = (tokens[node], best[node])
+        self.nodes += len(best) - before
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
