@@ -4,8 +4,10 @@ from collections import Counter, defaultdict
 import numpy as np
 from corpus_rows import *  # noqa: F403  fixtures
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
-from tidewater.llm.line_dedup import PerfectHash, dedup_lines
+from tidewater.llm.common import id_text
+from tidewater.llm.line_dedup import PerfectHash, dedup_lines, frequent_lines
 from tidewater.llm.queries import op1_line_dedup
 
 
@@ -73,3 +75,17 @@ def test_perfect_hash_is_minimal_and_exact(keys):
     other = lo ^ np.uint64(1)
     new = [i for i in range(len(keys)) if (int(hi[i]), int(other[i])) not in set(keys)]
     assert not index.counts_of(hi[new], other[new]).any()
+
+
+def test_rows_without_an_id_have_lists_of_their_own(spark):
+    rows = [(None if k % 2 else 5, f"common {k % 40}\ncommon {(k + 1) % 40}\nown {k}") for k in range(400)] + [
+        (1000 + k, "\n".join(f"common {j}" for j in range(40))) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = dedup_lines(docs, min_docs=3)
+    got = Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect())
+    assert got == Counter(brute(rows, 3))
+    texts = id_text(docs, "doc_id", "text")
+    marked = texts.select(F.xxhash64("id", "text").alias("id"), "text")
+    lists = frequent_lines(texts, marked, 3, 1).distinct().groupBy("id").count()
+    assert lists.agg(F.max("count")).first()[0] == 40  # a text's own lines; two for those that share an id
+    assert lists.where("count > 2").count() == 3

@@ -175,11 +175,12 @@ def _shard(n_shards):
     return F.expr(f"cast(pmod(hi, {n_shards}) as int)")
 
 
-def frequent_lines(rows: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
-    """``(id, hi, lo)``: line hashes of a document that ``min_docs`` documents hold."""
+def frequent_lines(rows: DataFrame, texts: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
+    """``(id, hi, lo)``: line hashes of each of ``texts`` (id, text) that ``min_docs``
+    documents of ``rows`` hold."""
     counts, n_shards, common = line_index(rows, min_chars)
-    probes = materialise(line_hashes(rows, min_chars, common.to_bytes(), min_docs), "probes")
-    kind = rows.schema["id"].dataType
+    probes = materialise(line_hashes(texts, min_chars, common.to_bytes(), min_docs), "probes")
+    kind = texts.schema["id"].dataType
     none = F.lit(None).cast(kind)
     asked = probes.where("not sure").select(_shard(n_shards).alias("shard"), F.lit(None).cast("binary").alias("arrays"),
                                             "id", "hi", "lo")
@@ -228,11 +229,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with all its columns.
     """
     rows = id_text(docs, id_col, text_col)
-    drops = frequent_lines(rows, min_docs, min_chars).distinct().groupBy("id").agg(
-        F.collect_list(F.struct("hi", "lo")).alias("drop"))  # no longer than the document's lines
+    # Lists belong to a text under its id, so none is longer than the text's lines,
+    # however many rows share an id or have none. Should two texts share a hash, their
+    # list is longer, but still of frequent lines only.
+    mark = F.xxhash64("id", "text")
+    drops = frequent_lines(rows, rows.select(mark.alias("id"), "text"), min_docs, min_chars).distinct().groupBy("id").agg(
+        F.collect_list(F.struct("hi", "lo")).alias("drop"))
     key, drop, total, gone = fresh_names(docs, "line_doc", "line_drop", "n_lines", "n_dropped")
+    (marked,) = fresh_names(docs.withColumn(key, F.lit(0)).withColumn(drop, F.lit(0)), "line_text")
     drops = drops.select(F.col("id").alias(key), F.col("drop").alias(drop))
-    joined = docs.join(drops, column(docs, id_col).eqNullSafe(F.col(key)), "left").drop(key)
+    text = F.coalesce(column(docs, text_col).cast("string"), F.lit(""))
+    joined = docs.withColumn(marked, F.xxhash64(column(docs, id_col), text)).join(
+        drops, F.col(marked) == F.col(key), "left").drop(key, marked)
     text_at, drop_at = joined.columns.index(text_col), joined.columns.index(drop)
     schema = docs.select(*[column(docs, c).cast("string").alias(c) if c == text_col else column(docs, c)
                            for c in docs.columns]).schema
