@@ -189,6 +189,62 @@ def test_update_snapshots_equal_the_complete_result(spark, scratch):
     assert [r.tier for r in layout] == [1, 1, 0] and layout[-1].rows == 2  # one line changed two rows
 
 
+def _split(spark, root, files, start=0):
+    from tidewater.functions.records import explode_words, parse_records
+    from tidewater.streaming.late_rows import start_split_counts
+
+    _write_files(f"{root}/src", files, start_index=start)
+    stream = spark.readStream.format("text").option("maxFilesPerTrigger", "1").load(f"{root}/src")
+    run_until_done(start_split_counts(explode_words(parse_records(stream)), f"{root}/out", f"{root}/ck", "1 minute",
+                                      trigger="available_now"))
+
+
+def _sides(spark, root):
+    from tidewater.streaming.late_rows import read_split_counts
+
+    counts, late = read_split_counts(spark, f"{root}/out")
+    return (sorted((r.START_TIME.strftime("%H:%M"), r.WORD, r.COUNT) for r in counts.collect()),
+            sorted((r.timestamp.strftime("%H:%M:%S"), r.value, r.watermark.strftime("%H:%M:%S"), r.batch_id)
+                   for r in late.collect()))
+
+
+def test_late_rows_go_to_a_table(spark, scratch):
+    root = scratch("sides")
+    _split(spark, root, LATE_FILES)
+    counts, late = _sides(spark, root)
+    # The rows of files c and d whose minutes had closed, with the watermark they were behind.
+    assert late == [("00:00:30", "late", "00:02:00", 2), ("00:00:30", "late", "00:02:00", 2),
+                    ("00:00:40", "verylate", "00:02:00", 3), ("00:01:30", "edge", "00:02:00", 2)]
+    assert counts == [("00:00", "foo", 1), ("00:03", "baz", 1), ("00:03", "foo", 1), ("00:10", "end", 1)]
+    _split(spark, root, [["00:10:30+00:00 end", "00:05:00+00:00 later"]], start=len(LATE_FILES))
+    counts, late = _sides(spark, root)
+    assert counts[-1] == ("00:10", "end", 2) and late[-1] == ("00:05:00", "later", "00:09:00", 5)
+    assert len(os.listdir(f"{root}/out/marks")) <= 2
+
+
+def test_a_split_batch_that_runs_again(spark, scratch):
+    from tidewater.streaming.late_rows import split_batches
+
+    root = scratch("sides")
+    write = split_batches(f"{root}/out", "1 minute")
+
+    def words(*rows):
+        return spark.createDataFrame(list(rows), "at string, value string").selectExpr(
+            f"cast(concat('{DAY}', at) as timestamp) as timestamp", "value")
+
+    write(words(("00:05:10", "a")), 0)
+    for _ in range(3):
+        write(words(("00:03:10", "b"), ("00:04:59", "c"), ("00:06:00", "a"), (None, "d")), 1)
+    write(words(("00:05:20", "a")).limit(0), 2)
+    write(words(("00:05:20", "a")), 3)
+    from tidewater.streaming.late_rows import read_split_counts
+
+    counts, late = read_split_counts(spark, f"{root}/out")
+    assert sorted((r.WORD, r.COUNT) for r in counts.where("START_TIME is not null").collect()) == [
+        ("a", 1), ("a", 2), ("c", 1)]
+    assert [(r.value, r.batch_id) for r in late.collect()] == [("b", 1)]
+
+
 def test_no_snapshot_yet(spark, scratch):
     with pytest.raises(ValueError, match="no snapshot"):
         read_snapshot(spark, scratch("none"))

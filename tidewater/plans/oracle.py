@@ -265,6 +265,14 @@ SELECT row_number() OVER (ORDER BY doc_id, line_no) - 1 AS number, line FROM lin
 SELECT l_returnflag, l_shipdate, l_linenumber, count(*) AS n FROM (
   SELECT * FROM lineitem ORDER BY l_returnflag, l_shipdate, l_linenumber LIMIT {_FIRST_LINES}
 ) t GROUP BY ALL""",
+    "stream_late_side": "WITH " + _PARSED + """,
+bounds AS (SELECT min(us) AS lo, max(us) AS hi FROM records),
+sided AS (
+  SELECT ts, word, CASE WHEN us >= lo + (hi - lo) // 3 THEN 'counted' ELSE 'late' END AS side FROM word_rows, bounds
+)
+SELECT side, date_trunc('minute', ts) AS START_TIME, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS END_TIME,
+       word AS WORD, count(*) AS "COUNT"
+FROM sided GROUP BY ALL""",
     "tokenize_lines": "WITH " + _LINES + "\nSELECT * FROM token_text",
     "drop_empty_lines": "WITH " + _LINES + "\nSELECT * FROM token_text WHERE n_tokens > 0",
     "first_n_messages": "WITH "

@@ -41,6 +41,7 @@ from tidewater.operators.summary import (
     dimension_summary,
     summary_aggregate,
 )
+from tidewater.operators.windows import windowed_counts
 from tidewater.plans import standins as S
 from tidewater.session import scratch_path
 from tidewater.sinks.delivery import deliver_batches, delivered_once, read_ledger
@@ -49,10 +50,12 @@ from tidewater.sinks.preview import preview_rows
 from tidewater.sources.csv import RAW_LINE, read_csv, read_csv_sides
 from tidewater.sources.envelope import decode_value, read_envelope_stream
 from tidewater.sources.text import read_lines, read_lines_in_order
+from tidewater.streaming.late_rows import read_split_counts, start_split_counts
 from tidewater.streaming.snapshots import read_snapshot
 from tidewater.streaming.state import open_windows
 from tidewater.streaming.word_count import (
     CSV_NULL_VALUE,
+    WATERMARK_DELAY,
     read_good_records,
     read_rejects,
     run_until_done,
@@ -496,6 +499,22 @@ def stream_late_rows_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_late_rows(spark, sf_dir, single=True)
 
 
+def stream_late_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same order of events with a side table: counted words, and the late
+    ones by window, so that both sides together are the input."""
+    first, middle, last = _event_thirds(spark, sf_dir)
+    source, out, ckpt = (scratch_path(spark, n) for n in ("envelope", "late-split", "ckpt"))
+    lines = decode_value(read_envelope_stream(spark, f"{source}/*"))
+    words = explode_words(parse_records(lines))
+    for part, name in ((middle, "run1"), (last.unionByName(first), "run2")):
+        _stage_envelope(spark, part, source, name)
+        run_until_done(start_split_counts(words, out, ckpt, WATERMARK_DELAY, trigger="available_now"))
+    counts, late = read_split_counts(spark, out)
+    side = windowed_counts(late.select("timestamp", "value"))
+    both = counts.select(F.lit("counted").alias("side"), "*").unionByName(side.select(F.lit("late").alias("side"), "*"))
+    return _wall_clock(both, "START_TIME", "END_TIME")
+
+
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs on one checkpoint: first half, second half, nothing new.
     Each closed window is emitted exactly once across the runs."""
@@ -603,6 +622,7 @@ QUERIES: dict[str, QueryFn] = {
     "stream_quarantine": stream_quarantine,
     "stream_late_rows": stream_late_rows,
     "stream_late_rows_single": stream_late_rows_single,
+    "stream_late_side": stream_late_side,
     "stream_restart": stream_restart,
     "tokenize_lines": tokenize_lines,
     "drop_empty_lines": drop_empty_lines,

@@ -3,7 +3,8 @@
 Every micro-batch adds one segment. In update mode it holds the rows that the batch
 changed, so what a batch writes follows its changes and not the size of the result.
 Once ``FAN_IN`` segments of one tier lie next to each other they are merged into
-one of the next tier, the newest row of a key winning: a row is written again once
+one of the next tier, the newest row of a key winning (or rows of a key adding up, if
+a batch holds only what it adds): a row is written again once
 a tier, and the number of segments grows with the logarithm of the batches. In
 complete mode a segment replaces all before it.
 
@@ -28,7 +29,7 @@ FAN_IN = 4
 #: Published snapshots that stay readable besides the last.
 OLD_SNAPSHOTS = 1
 
-_MANIFEST = "place int, folder string, tier int, keys array<string>"
+_MANIFEST = "place int, folder string, tier int, keys array<string>, sums array<string>"
 
 
 @dataclass(frozen=True)
@@ -64,29 +65,37 @@ def _published(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n) for n in manifests.names() if (manifests / f"{n}/_SUCCESS").exists())
 
 
-def _segments(spark: SparkSession, path: str, batch_id: int) -> tuple[list[Segment], list[str]]:
-    """A manifest's segments and key columns; its length is logarithmic in the batches."""
+def _segments(spark: SparkSession, path: str, batch_id: int) -> tuple[list[Segment], list[str], list[str]]:
+    """A manifest's segments, key columns and summed columns; its length is
+    logarithmic in the batches."""
     rows = spark.read.schema(_MANIFEST).json(f"{path}/manifests/{batch_id}").orderBy("place").collect()
-    return [Segment(r.folder, r.tier) for r in rows], list(rows[0]["keys"]) if rows else []
+    if not rows:
+        return [], [], []
+    return [Segment(r.folder, r.tier) for r in rows], list(rows[0]["keys"]), list(rows[0]["sums"])
 
 
-def _newest(spark: SparkSession, path: str, segments: list[Segment], keys: list[str]) -> DataFrame:
-    """The newest row of each key over segments from old to new."""
+def _merged(spark: SparkSession, path: str, segments: list[Segment], keys: list[str], sums: list[str]) -> DataFrame:
+    """The newest row of each key over segments from old to new, or their sums."""
     parts = [spark.read.parquet(f"{path}/segments/{s.folder}") for s in segments]
     if len(parts) == 1:
         return parts[0]
     columns = parts[0].columns
+    if sums:
+        rows = reduce(DataFrame.unionByName, parts)
+        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]).select(*columns)
     aged = reduce(DataFrame.unionByName, [p.select(F.struct(*columns).alias("row"), F.lit(i).alias("age"))
                                           for i, p in enumerate(parts)])
     by_key = aged.groupBy(*[F.col(f"row.`{k}`").alias(f"key{i}") for i, k in enumerate(keys)])
     return by_key.agg(F.max_by("row", "age").alias("row")).select("row.*")
 
 
-def publish_batches(path: str, keys: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+def publish_batches(path: str, keys: list[str] | None = None,
+                    sums: list[str] | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that publishes snapshots under ``path``.
 
     With ``keys`` a batch holds changed rows, and rows of equal keys replace each
-    other; without, every batch is the whole result.
+    other, or, with ``sums``, add up in these columns; without, every batch is the
+    whole result.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -103,9 +112,9 @@ def publish_batches(path: str, keys: list[str] | None = None) -> Callable[[DataF
 
         segments.append(put(batch, 0))
         while len(segments) >= FAN_IN and len({s.tier for s in segments[-FAN_IN:]}) == 1:
-            merged = put(_newest(spark, path, segments[-FAN_IN:], keys), segments[-1].tier + 1)
+            merged = put(_merged(spark, path, segments[-FAN_IN:], keys, list(sums or [])), segments[-1].tier + 1)
             segments[-FAN_IN:] = [merged]
-        rows = [(i, s.folder, s.tier, list(keys or [])) for i, s in enumerate(segments)]
+        rows = [(i, s.folder, s.tier, list(keys or []), list(sums or [])) for i, s in enumerate(segments)]
         manifest = spark.createDataFrame(rows, _MANIFEST).coalesce(1)
         # Overwriting drops what a failed attempt of this batch has left.
         manifest.write.mode("overwrite").json(f"{path}/manifests/{batch_id}")
@@ -131,8 +140,7 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     done = _published(spark, path)
     if not done:
         raise ValueError(f"no snapshot is published under {path}")
-    segments, keys = _segments(spark, path, done[-1])
-    return _newest(spark, path, segments, keys)
+    return _merged(spark, path, *_segments(spark, path, done[-1]))
 
 
 def snapshot_layout(spark: SparkSession, path: str) -> DataFrame:
