@@ -2,6 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import bounded_side as numbering_side
 from tidewater.operators.numbering import number_rows
 from tidewater.sources.text import read_lines_in_order
 
@@ -44,7 +45,15 @@ def test_only_counts_are_shuffled(spark, scratch):
     folder = scratch("lines")
     _write(folder, {"a.txt": ["x"] * 50})
     rows = number_rows(read_lines_in_order(spark, folder))
-    plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    assert "RepartitionByExpression" not in plan
-    sums = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(sums) == 2 and not any("value" in line for line in sums)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+
+
+def test_more_pieces_than_may_be_sent_to_every_task(spark, scratch, monkeypatch):
+    from tidewater.operators import numbering
+
+    folder = scratch("lines")
+    _write(folder, {"a.txt": ["x", "y"] * 50, "b.txt": ["z"]})
+    monkeypatch.setattr(numbering, "bounded_side", lambda df: numbering_side(df, max_rows=1))
+    assert _numbered(spark, folder) == dict(enumerate(["x", "y"] * 50 + ["z"]))

@@ -97,8 +97,10 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, dim_key: str, how: st
     if share is None:
         share = 0.5 / int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = fact.filter(F.col(key).isNotNull())
-    # At most 1 / share rows, which is bounded by the shuffle's width.
-    heavy = F.broadcast(heavy_keys(known, key, share).select("key", "salts"))
+    # At most 1 / share rows, which is bounded by the shuffle's width; kept on the
+    # driver, so that the plan does not count them again.
+    found = heavy_keys(known, key, share).select("key", "salts")
+    heavy = F.broadcast(spark.createDataFrame(found.collect(), found.schema))
     salts, salt = F.coalesce(F.col("salts"), F.lit(1)), "__salt"
     place = F.monotonically_increasing_id()
     left = known.withColumn("__place", place).join(heavy, F.col(key) == F.col("key"), "left")

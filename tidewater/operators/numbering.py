@@ -4,7 +4,9 @@ A piece is a run of rows that lie together in one task, such as one split of a
 file. Only one row a piece is moved: its count, summed up per file and then over
 the files before. A row's number is its place in its piece, which its increasing
 id gives, plus the rows of all pieces before. So a file may be split any way, and
-no task sorts or collects rows.
+no task sorts or collects rows. The table of pieces is measured: within the bound of
+``operators.joins`` it is sent to every task and the rows stay where they are, beyond
+it (a million splits) rows meet it piece by piece in a shuffle join.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import bounded_side
+from tidewater.session import scratch_path
+
 
 def piece_offsets(rows: DataFrame, group: str, piece: str, row: str) -> DataFrame:
     """``(group, piece, first, offset)``: the least row id of each piece, and the
@@ -22,7 +27,7 @@ def piece_offsets(rows: DataFrame, group: str, piece: str, row: str) -> DataFram
     The sums over groups run over one row a group, those over pieces within
     their group; both are as many as the input has files and splits.
     """
-    pieces = rows.groupBy(group, piece).agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("rows"))
+    pieces = _kept(rows.groupBy(group, piece).agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("rows")))
     groups = pieces.groupBy(group).agg(F.sum("rows").alias("rows"))
     before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     starts = groups.select(F.col(group).alias("start_of"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
@@ -34,6 +39,13 @@ def piece_offsets(rows: DataFrame, group: str, piece: str, row: str) -> DataFram
     )
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df``, one row a piece, as a table, so that the rows are read once for it."""
+    path = scratch_path(df.sparkSession, "pieces")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def number_rows(rows: DataFrame, group: str = "file", piece: str = "block", row: str = "row",
                 number: str = "line_no", keep: Sequence[str] = ("value",)) -> DataFrame:
     """``keep`` columns of ``rows`` with dense numbers from 0, by group, piece and row.
@@ -42,7 +54,7 @@ def number_rows(rows: DataFrame, group: str = "file", piece: str = "block", row:
     ``monotonically_increasing_id`` does right above a scan; ``rows`` is read
     twice, the first time without the kept columns.
     """
-    offsets = piece_offsets(rows, group, piece, row).select(
-        F.col(group).alias("of_group"), F.col(piece).alias("of_piece"), "first", "offset")
-    met = rows.join(offsets, F.col(group).eqNullSafe(F.col("of_group")) & F.col(piece).eqNullSafe(F.col("of_piece")))
+    offsets = _kept(piece_offsets(rows, group, piece, row).select(
+        F.col(group).alias("of_group"), F.col(piece).alias("of_piece"), "first", "offset"))
+    met = rows.join(bounded_side(offsets), F.col(group).eqNullSafe(F.col("of_group")) & F.col(piece).eqNullSafe(F.col("of_piece")))
     return met.select((F.col(row) - F.col("first") + F.col("offset")).alias(number), *keep)
