@@ -108,3 +108,21 @@ def test_a_stream_delivers_through_the_ledger(spark, scratch):
 
 def test_no_ledger_yet(spark, scratch):
     assert read_ledger(spark, scratch("none")).collect() == []
+
+
+def test_numbering_moves_no_message(spark):
+    """Values are not shuffled or sorted to get their ids, and equal messages of
+    any number keep ids and parts of their own, however the batch is partitioned."""
+    rows = [(b"k", b"same")] * 3000 + [(b"k", f"v{i}".encode()) for i in range(500)]
+    messages = spark.createDataFrame(rows, "key binary, value binary")
+    numbered = number_messages(messages.repartition(6), 5, parts=4)
+    ids = {r.message_id for r in numbered.select("message_id").collect()}
+    assert len(ids) == len(rows) and all(i.startswith("5-") for i in ids)
+
+    def parts(df):
+        return sorted((bytes(r.value), r.part) for r in number_messages(df, 5, parts=4).collect())
+
+    assert parts(messages.coalesce(1)) == parts(messages.repartition(7))
+    plan = number_messages(spark.range(9).selectExpr("cast(string(id) as binary) key", "cast(string(id) as binary) value"), 0)
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan

@@ -237,7 +237,8 @@ def messages_delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def send(part: DataFrame) -> None:
         number = part.select("part").first()
-        rows = part.where("message_id like '%7-1'").union(part)  # a task that was tried again
+        again = F.pmod(F.xxhash64("message_id"), F.lit(8)) == 7
+        rows = part.where(again).union(part)  # a task that was tried again
         rows.write.mode("append").parquet(sent)
         if number is not None and number.part in failing:
             failing.clear()

@@ -1,8 +1,9 @@
 """Messages delivered once through sinks that can only promise at least once.
 
-A batch's messages are dealt to parts by a hash of their bytes and numbered within
-equal ones, so a message has the same id however often the batch runs and however
-it is partitioned. Each part is sent by an attempt of its own name and then entered
+A batch's messages are dealt to parts by a hash of their bytes, so a message is in
+the same part however often the batch runs and however it is partitioned. Its id is
+that hash and its place among the batch's rows, which tells equal messages apart;
+ids are written once a run, before anything is sent. Each part is sent by an attempt of its own name and then entered
 in a ledger. A batch that runs again sends only the parts the ledger lacks, so a
 batch or part that was done adds nothing. What a failed attempt or a repeated task
 has sent besides is told apart by what every message carries: a reader takes the
@@ -14,7 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Parts of a batch that are sent and entered on their own.
@@ -29,19 +30,16 @@ Send = Callable[[DataFrame], None]
 def number_messages(batch: DataFrame, batch_id: int, parts: int = PARTS) -> DataFrame:
     """``batch`` (with ``key`` and ``value``) and ``batch_id``, ``part``, ``message_id``.
 
-    Equal messages are numbered in any order, which does not matter as they are
-    equal; the id is the hash of the bytes and that number.
+    The place is the task and the row in it: no message moves to be numbered,
+    however many equal ones there are.
     """
     digest = F.sha2(F.concat_ws("/", F.md5(F.coalesce("key", F.lit(b""))), F.md5(F.coalesce("value", F.lit(b"")))), 256)
-    hashed = batch.withColumn("__digest", digest)
-    # Equal messages may be very many: they are numbered within slices of a task's rows.
-    slices = hashed.withColumn("__slice", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
-    number = F.row_number().over(Window.partitionBy("__digest", "__slice").orderBy("__digest"))
-    return slices.select(
+    return batch.withColumns({"__digest": digest, "__place": F.monotonically_increasing_id()}).select(
         *batch.columns, F.lit(batch_id).cast("bigint").alias("batch_id"),
         F.pmod(F.xxhash64("__digest"), F.lit(parts)).cast("int").alias("part"),
-        F.concat_ws("-", F.lit(batch_id), "__digest", "__slice", number).alias("message_id"),
-    ).drop("__digest", "__slice")
+        # Half of the hash: the place makes the id unique.
+        F.concat_ws("-", F.lit(batch_id), F.substring("__digest", 1, 32), "__place").alias("message_id"),
+    )
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
