@@ -98,3 +98,28 @@ def test_cached_ids_are_the_librarys(library, text):
     cached = CachedTokenizer(public_path("byte_bpe_50k.json"), chunks=3, words=3)
     for t in (text, f"{text} {text}", "<|endoftext|>" + text):
         assert np.frombuffer(cached.encode([t])[0], dtype="<u4").tolist() == library(t)
+
+
+def test_a_chunk_is_encoded_once_for_many_texts(library, monkeypatch):
+    """However few words and chunks the caches hold."""
+    cached = CachedTokenizer(public_path("byte_bpe_50k.json"), chunks=1, words=1)
+    calls, split, words = [], cached._split, cached._words
+    cached._split = lambda text: calls.append(text) or split(text)
+    tokenize = words._tokenize
+    words._tokenize = lambda word: calls.append(word) or tokenize(word)
+    texts = ["one two, three.\nFour\n\nfive é42 x-y"] * 100
+    got = cached.encode(texts)
+    assert np.frombuffer(got[0], "<u4").tolist() == library(texts[0]) and len(set(got)) == 1
+    assert len(calls) < 200  # 100 for the texts' first chunks
+
+
+def test_caches_leave_a_worker_room():
+    """What stays in a worker after a stage, in entries; the pipeline's later stages share it."""
+    from tidewater.llm import toxicity
+
+    cached = CachedTokenizer(public_path("byte_bpe_50k.json"))
+    assert cached._chunks._most + 2 * cached._words._most <= 650_000 and toxicity._CACHE_WORDS <= 150_000
+    cached = CachedTokenizer(public_path("byte_bpe_50k.json"), chunks=5, words=7)
+    for n in range(40):
+        cached.encode([f"word{n} other {n}-{n} wör{n}", "abc" * n])
+        assert len(cached._words) <= 7 and len(cached._words._before) <= 7 and len(cached._chunks) <= 5

@@ -79,6 +79,12 @@ def raw_texts(col: pa.Array) -> list[bytes]:
     return [b if b is not None else b"" for b in col.cast(pa.large_binary()).to_pylist()]
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``rows`` at most, so what a task makes of one stays small."""
+    for b in batches:
+        yield from (b.slice(k, rows) for k in range(0, b.num_rows, rows))
+
+
 def to_batch(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [v if isinstance(v, pa.Array) else pa.array(v) for v in columns.values()],

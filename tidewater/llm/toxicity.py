@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewater.llm.common import column, fresh_names, id_text, raw_texts, schema_of, stable_sample
+from tidewater.llm.common import column, fresh_names, id_text, raw_texts, schema_of, small_batches, stable_sample
 
 #: Labelled documents a class that the model is fitted on, at most.
 MAX_LABELLED = 10_000
@@ -40,7 +40,7 @@ DRIFT = 0.15
 SIGNIFICANT = 0.05
 THRESHOLD = 0.3
 STEMS = (6, 5, 4)
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 150_000
 #: Features a task counts before it sends the counts on.
 _HELD_FEATURES = 200_000
 _LETTERS = bytes(b if b >= 128 else (b | 32 if chr(b).isalpha() else 32) for b in range(256))
@@ -207,7 +207,7 @@ def _calibrate(model: ToxicityModel, texts: DataFrame, weights: list[float]) ->
 
     def scanned(batches):
         scores = _Scores(model)
-        for b in batches:
+        for b in small_batches(batches):
             rows = [model.segments(t, scores) for t in raw_texts(b.column(0))]
             hits = [sorted((s for _, _, s in found), reverse=True) for _, found in rows]
             singles = [[round(scores[w], 1) for w in words(t) if scores[w]] for t in raw_texts(b.column(0))]
@@ -280,7 +280,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
 
     def scored(batches):
         scores = _Scores(model)
-        for b in batches:
+        for b in small_batches(batches):
             p, spans = [], []
             for text in raw_texts(b.column(b.num_columns - 1)):
                 n, found = model.segments(text, scores)
