@@ -17,7 +17,7 @@ from tidewater.llm.common import cut
 CACHE_CHUNKS = 50_000
 CACHE_WORDS = 300_000
 #: Characters of texts that are encoded together, unless one text has more.
-SLICE_CHARS = 1 << 22
+SLICE_CHARS = 1 << 23
 _MARKS = ".,;:!?"
 #: The places to cut a text with a blank after white space.
 _CUTS = re.compile(r"(?<=\S)(?=[ \t\n])")
@@ -148,8 +148,8 @@ class CachedTokenizer:
         joined = pc.binary_join(pa.ListArray.from_arrays([0, len(chunks)], chunks.cast(pa.string())), " ")
         for i, chunk in enumerate(joined[0].as_py().split(" ")):
             word = chunk.rstrip(_MARKS)
-            if word.isalpha() and (word.isascii() or _LATIN.fullmatch(word)):
-                found = words[" " + (word if word.isascii() else self._spelt(word))]
+            if word.isalpha() and (plain := word.isascii() or _LATIN.fullmatch(word)):
+                found = words[" " + (word if plain is True else self._spelt(word))]
                 ids.append(found if len(word) == len(chunk) else found + words[chunk[len(word):]])
             else:
                 ids.append(kept[chunk if chunk[:1] == "\n" else " " + chunk])
